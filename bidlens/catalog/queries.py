@@ -58,8 +58,7 @@ def screened(spark: SparkSession, sf: str) -> DataFrame:
 
 @lru_cache(maxsize=8)
 def analysed(spark: SparkSession, sf: str) -> DataFrame:
-    kept = screened(spark, sf).filter("screen_reason IS NULL").drop("screen_reason")
-    return daily.analyse(kept, RULES, NOW)
+    return daily.analyse(daily.shortlisted(screened(spark, sf)), RULES, NOW)
 
 
 @lru_cache(maxsize=8)
@@ -77,20 +76,20 @@ def clauses_only(spark: SparkSession, sf: str) -> DataFrame:
 
 @lru_cache(maxsize=8)
 def screened_out(spark: SparkSession, sf: str) -> DataFrame:
-    return screened(spark, sf).filter("screen_reason IS NOT NULL")
+    return daily.screened_out(screened(spark, sf))
 
 
 @lru_cache(maxsize=8)
 def reported(spark: SparkSession, sf: str) -> DataFrame:
-    return judged(spark, sf).filter("verdict <> 'rejected'")
+    return daily.with_verdict(judged(spark, sf), "accepted", "watchlist")
 
 
 def accepted(spark: SparkSession, sf: str) -> DataFrame:
-    return judged(spark, sf).filter("verdict = 'accepted'")
+    return daily.with_verdict(judged(spark, sf), "accepted")
 
 
 def watch(spark: SparkSession, sf: str) -> DataFrame:
-    return judged(spark, sf).filter("verdict = 'watchlist'")
+    return daily.with_verdict(judged(spark, sf), "watchlist")
 
 
 def ranked(df: DataFrame) -> DataFrame:
@@ -100,7 +99,7 @@ def ranked(df: DataFrame) -> DataFrame:
 @lru_cache(maxsize=8)
 def second_day(spark: SparkSession, sf: str) -> DataFrame:
     kept, _ = daily.run(views.view(spark, sf, "next_day"), RULES, NOW_2)
-    return kept.filter("verdict <> 'rejected'")
+    return daily.with_verdict(kept, "accepted", "watchlist")
 
 
 @lru_cache(maxsize=8)
@@ -494,8 +493,7 @@ def reviewed(spark, sf):
         identity.identity_key(tender_id=F.lit(""), title=F.lit(""), buyer=F.lit(""), closing=F.lit(None).cast("timestamp_ntz")).alias("identity_key"),
         "payload",
     )
-    kept = screened(spark, sf).filter("screen_reason IS NULL").drop("screen_reason")
-    return daily.analyse(kept, RULES, NOW, payload)
+    return daily.analyse(daily.shortlisted(screened(spark, sf)), RULES, NOW, payload)
 
 
 @query

@@ -16,6 +16,7 @@ from bidlens.operators.scoring import score
 from bidlens.operators.security import analyze_security
 from bidlens.rules import Rules
 from bidlens.schema import conform
+from bidlens.session import keep
 
 
 def screen(bids: DataFrame, rules: Rules, now: str) -> DataFrame:
@@ -47,6 +48,17 @@ def run(
 ) -> tuple[DataFrame, DataFrame]:
     """(judged shortlist, bids screened out on the listing)."""
     screened = screen(bids, rules, now)
-    out = screened.filter(F.col("screen_reason").isNotNull())
-    kept = screened.filter(F.col("screen_reason").isNull()).drop("screen_reason")
-    return judge(analyse(kept, rules, now, corrections), rules), out
+    analysed = analyse(shortlisted(screened), rules, now, corrections)
+    return judge(analysed, rules), screened_out(screened)
+
+
+def shortlisted(screened: DataFrame) -> DataFrame:
+    return keep(screened, F.col("screen_reason").isNull()).drop("screen_reason")
+
+
+def screened_out(screened: DataFrame) -> DataFrame:
+    return keep(screened, F.col("screen_reason").isNotNull())
+
+
+def with_verdict(judged: DataFrame, *verdicts: str) -> DataFrame:
+    return keep(judged, F.col("verdict").isin(*verdicts))

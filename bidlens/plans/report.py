@@ -18,6 +18,7 @@ from bidlens.operators.scoring import component_lines
 from bidlens.operators.snapshot import change_sentence
 from bidlens.rules import Rules
 from bidlens.schema import CONFIRMED, NOT_REQUIRED, NOT_STATED, REQUIRED, UNCLEAR
+from bidlens.session import keep
 
 # Symbols, labels and line wording of the report.
 URGENCY_SIGN = {"URGENT": "🔴", "HIGH PRIORITY": "🟠", "ACTION REQUIRED": "🟡", "WATCHLIST": "🔭", "EXPIRED": "⛔", "UNKNOWN": "⚪"}
@@ -136,10 +137,11 @@ def counters(accepted: DataFrame) -> DataFrame:
 
 def rejections(judged: DataFrame, screened_out: DataFrame) -> DataFrame:
     """Both passes together, counted by reason."""
-    reasons = judged.filter("verdict = 'rejected'").select(F.col("rejected_reason").alias("reason")).unionByName(
-        screened_out.select(F.col("screen_reason").alias("reason"))
+    gated = judged.groupBy(F.col("rejected_reason").alias("reason")).agg(F.count("*").alias("n"))
+    both = gated.filter("reason IS NOT NULL").unionByName(
+        screened_out.groupBy(F.col("screen_reason").alias("reason")).agg(F.count("*").alias("n"))
     )
-    return reasons.groupBy("reason").agg(F.count("*").alias("n"))
+    return both.groupBy("reason").agg(F.sum("n").alias("n"))
 
 
 def label_reasons(counts: DataFrame, rules: Rules) -> DataFrame:
@@ -243,7 +245,7 @@ def priority(ranked: DataFrame) -> DataFrame:
 
 
 def urgent(ranked: DataFrame) -> DataFrame:
-    near = ranked.filter(F.col("urgency").isin("URGENT", "HIGH PRIORITY"))
+    near = keep(ranked, F.col("urgency").isin("URGENT", "HIGH PRIORITY"))
     return _section(near, "urgent", F.array(F.when(F.col("urgency") == "URGENT", 0).otherwise(1), F.col("rank")), "bullet", deadline_line())
 
 
@@ -351,7 +353,7 @@ def documents_summary(accepted: DataFrame) -> DataFrame:
 
 
 def risks(ranked: DataFrame) -> DataFrame:
-    risky = ranked.filter(F.size("eligibility.gaps") > 0)
+    risky = keep(ranked, F.size("eligibility.gaps") > 0)
     head = _section(risky, "risks", F.array(F.col("rank"), F.lit(0)), "paragraph", _c(F.col("bid_number"), " — ", _title(90)))
     gaps = risky.select("rank", F.posexplode("eligibility.gaps").alias("i", "gap"))
     return head.unionByName(_section(gaps, "risks", F.array(F.col("rank"), F.col("i") + 1), "bullet", F.col("gap")))

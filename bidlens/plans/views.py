@@ -192,8 +192,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def view(spark: SparkSession, sf_dir: str, name: str = "bids") -> DataFrame:
     """A derived view, spread over the cluster's cores before any text work."""
+    # Braces in the text are data, not parameters of spark.sql.
+    query = sql(name, SPARK).replace("{", "{{").replace("}", "}}")
     return spark.sql(
-        sql(name, SPARK).replace("FROM orders o JOIN customer c", "FROM {orders} o JOIN {customer} c"),
+        query.replace("FROM orders o JOIN customer c", "FROM {orders} o JOIN {customer} c"),
         orders=spread(table(spark, sf_dir, "orders")),
         customer=table(spark, sf_dir, "customer"),
     )

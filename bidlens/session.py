@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -31,3 +32,15 @@ def spread(df: DataFrame) -> DataFrame:
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays where it is written.
+
+    A plain filter on an analysed column is pushed below the analysis by copying
+    its expressions into the filter, so that they run twice (and a chain of such
+    filters multiplies). Exploding a one- or zero-element array drops the same
+    rows and leaves nothing to push.
+    """
+    once = F.when(condition, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
+    return df.withColumn("_keep", F.explode(once)).drop("_keep")
