@@ -59,7 +59,7 @@ ds AS (SELECT *, CASE WHEN (n_cards = 0 AND canaries >= 2) OR (n_cards > 0 AND n
 add("A6_drift", DRIFT, "SELECT * FROM ds")
 add("A6_drift_issues", DRIFT, "SELECT 'listing' AS stage, url AS target, state AS error_type, CASE WHEN n_cards = 0 THEN 'bid-shaped content but no card matched' ELSE n_cards || ' cards found but none yielded a bid number' END AS detail FROM ds WHERE state = 'PARSER_DRIFT'")
 ORACLES["A7_challenge_pages"] = f"SELECT page_id, {' OR '.join(f'contains(h, {q(m)})' for m in R.portal['challenge_markers'])} AS challenge FROM (SELECT page_id, lower(left(CASE page_id % 10 WHEN 0 THEN '<div class=\"G-reCaptcha\">' || html WHEN 1 THEN html || repeat('x', 20000) || 'hcaptcha' ELSE html END, 20000)) AS h FROM pages)"
-HITS = f"""h0 AS ({V['hits']}), hc AS (SELECT *, upper(regexp_extract(concat_ws(' ', title, snippet, link), '(?i)\\bGEM/\\d{{4}}/[A-Z]/\\d+\\b')) AS bn FROM h0 WHERE {official('link')})"""
+HITS = f"""h0 AS (SELECT * REPLACE ({clean('snippet')} AS snippet) FROM ({V['hits']})), hc AS (SELECT *, upper(regexp_extract(concat_ws(' ', title, snippet, link), '(?i)\\bGEM/\\d{{4}}/[A-Z]/\\d+\\b')) AS bn FROM h0 WHERE {official('link')})"""
 add("A8_search_hits", HITS, "SELECT k, query, bn AS bid_number, link AS source_url, coalesce(nullif(title, ''), nullif(left(snippet, 120), ''), link) AS title, snippet AS item_description, title || ' ' || snippet AS listing_text FROM hc")
 add("A9_zero_results", HITS, f"SELECT 'none' AS \"case\", 'listing' AS stage, {PORTAL}/all-bids' AS target, 'ZERO_RESULTS_ALL_QUERIES' AS error_type, (SELECT count(DISTINCT query) FROM h0) || ' search terms returned no rows' AS detail WHERE (SELECT count(*) FROM hc WHERE link LIKE '%/nowhere/%') = 0 UNION ALL SELECT 'all', 'listing', {PORTAL}/all-bids', 'ZERO_RESULTS_ALL_QUERIES', '' WHERE (SELECT count(*) FROM hc) = 0")
 DOCS = "df AS (SELECT 'doc:' || CAST(floor(doc_id / 3) AS BIGINT) AS identity_key, doc_id AS pos, 'File ' || (doc_id % 3) AS name, text, length(text) AS text_chars FROM documents)"
@@ -181,10 +181,10 @@ SUMMARY = f"""(buyer_organization || ' ' || CASE kind WHEN 'service' THEN 'is pr
  || ' (' || {g('quantity')} || ' ' || coalesce(nullif(quantity_unit, ''), 'units') || '). Delivery/service location: ' || coalesce(nullif(delivery_location, ''), 'an unspecified location') || '.')"""
 ORACLES["C9_corrections"] = ORACLES["C9_corrections"].replace("SUMMARY", SUMMARY)
 _mine = arr(d.lower() for d in R.profile["service_districts"])
-add("C10_district_coverage", BS, f"SELECT k, CASE WHEN len(lds) > 0 THEN list_has_any(list_transform(lds, lambda x: lower(x)), {_mine}) END AS serves FROM scr")
+add("C10_district_coverage", BS, f"SELECT k, CASE WHEN len(lds) > 0 THEN CAST(list_has_any(list_transform(lds, lambda x: lower(x)), {_mine}) AS VARCHAR) ELSE 'not known' END AS serves FROM scr")
 LINE = "'⚠ ' || field_name || ' changed from ' || old_value || ' to ' || new_value"
 add("C11_change_labels", CH, f"""SELECT ch.identity_key, coalesce(max(z.bid_number || ' — ' || left(z.title, 70)), ch.identity_key) AS label, string_agg({LINE}, chr(10) ORDER BY {LINE}) AS lines
- FROM ch LEFT JOIN (SELECT * FROM zju WHERE verdict <> 'rejected' AND k % 3 <> 0) z ON z.identity_key = ch.identity_key GROUP BY ch.identity_key""")
+ FROM ch LEFT JOIN (SELECT * FROM zju WHERE verdict <> 'rejected' AND dr % 3 <> 0) z ON z.identity_key = ch.identity_key GROUP BY ch.identity_key""")
 _labels_of = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.decision["rejection_labels"].items())
 add("C12_rejection_labels", FULL + "," + ISSUES, f"SELECT reason, CAST(n AS BIGINT) AS n, CASE reason {_labels_of} ELSE replace(reason, '_', ' ') END AS label FROM rj")
 
@@ -202,7 +202,7 @@ add("D6_new_and_updated", TWO, "SELECT action, count(*) AS n FROM mg GROUP BY 1"
 add("D7_matched_queries", FOUND, "SELECT identity_key, string_agg(query || 'x' || n, ',' ORDER BY f) AS queries, sum(n) AS sightings FROM pq WHERE adapter = 'portal' GROUP BY 1")
 add("D8_expire", TWO, "SELECT CASE WHEN coalesce(left(bid_end_at, 10) < '2026-09-12', false) THEN 'closed' ELSE 'open' END AS status, count(*) AS n, count(*) FILTER (left(bid_end_at, 10) < '2026-09-12') AS just_closed FROM mg GROUP BY 1")
 add("D9_has_text", DOCS, "SELECT identity_key, bool_or(CASE WHEN pos % 2 = 0 THEN text_chars ELSE 0 END > 0) AS has_document_text FROM df WHERE pos % 5 <> 1 GROUP BY 1")
-add("D10_changes_on_day", CH, "SELECT field_name, old_value, new_value, note FROM ch WHERE identity_key = 'bid:GEM/2026/B/7000000'")
+add("D10_changes_on_day", CH, "SELECT field_name, old_value, new_value, note FROM ch WHERE identity_key = (SELECT min(identity_key) FROM ch)")
 add("D11_score_total", FULL, "SELECT k, total FROM ju")
 
 # -- E ---------------------------------------------------------------------
@@ -246,7 +246,7 @@ ORACLES["G8_snippet"] = f"SELECT doc_id, CASE WHEN lo > 0 THEN '…' ELSE '' END
 add("G9_truncate", B, "SELECT k, CASE WHEN length(title) <= 20 THEN title ELSE rtrim(left(title, 19)) || '…' END AS short FROM bids")
 add("G10_identity_key", B, "SELECT k, CASE WHEN bid_number <> '' THEN 'bid:' || bid_number WHEN k % 100 <> 99 THEN 'url:' || left(sha256(source_url), 32) ELSE 'fp:' || left(sha256(title || '|' || buyer_organization || '|' || coalesce(strftime(bid_end_at, '%Y-%m-%d %H:%M:%S+05:30'), 'None')), 32) END AS identity_key FROM bids")
 add("G11_bid_number", B, "SELECT k, bid_number AS found FROM bids")
-add("G12_days_remaining", B, "SELECT k, CASE WHEN k % 30 = 5 THEN -1 ELSE dr END AS days FROM base")
+add("G12_days_remaining", B, "SELECT k, CAST(CASE WHEN k % 30 = 5 THEN -1 ELSE dr END AS DOUBLE) AS days FROM base")
 add("G13_urgency", B, "SELECT urg AS urgency, count(*) AS n FROM base GROUP BY 1")
 add("G14_same_value", B, """SELECT k, abs(coalesce(o, 0) - coalesce(n, 0)) < 0.01 AS same_number, coalesce(nullif(portal_status, ''), '') = ra_enabled AS same_text FROM (SELECT *, CASE WHEN k % 9 = 3 THEN NULL ELSE estimated_value END AS o,
  CASE k % 6 WHEN 0 THEN estimated_value + 0.005 WHEN 3 THEN 0.0 ELSE estimated_value * 1.1 END AS n FROM bids)""")
@@ -294,7 +294,7 @@ add("H15_cue_counts", BC, f"SELECT {', '.join(f'sum(len(q_{n})) AS {n}' for n in
 add("H16_requirement_flags", BC, "SELECT k, flag FROM (SELECT k, unnest(cflags) AS flag FROM fl) WHERE flag LIKE 'Required-documents list%' OR flag LIKE 'No specific document%'")
 _tp = "(?i)annual\\s+turnover[^.\\n]{0,60}?(?:rs\\.?|inr|₹)?\\s*([\\d,]+(?:\\.\\d+)?)\\s*(lakh?s?|crores?|cr)?"
 add("H17_turnover_and_years", BC, f"""SELECT k, list_filter(list_transform(q_eligibility, lambda s: TRY_CAST(replace(regexp_extract(s, {q(_tp)}, 1), ',', '') AS DOUBLE) * CASE lower(regexp_extract(s, {q(_tp)}, 2)) WHEN 'lakh' THEN 100000 WHEN 'lakhs' THEN 100000 WHEN 'crore' THEN 10000000 ELSE 1 END), lambda v: v IS NOT NULL)[1] AS turnover,
- list_filter(list_transform(q_eligibility, lambda s: TRY_CAST(regexp_extract(s, '(\\d{{1,2}})\\s*years?\\s+of\\s+(?:past\\s+)?experience', 1) AS INT)), lambda v: v IS NOT NULL)[1] AS years FROM cl""")
+ list_filter(list_transform(q_eligibility, lambda s: TRY_CAST(regexp_extract(s, '(\\d{{1,2}})\\s*years?\\s+of\\s+(?:past\\s+)?experience', 1) AS DOUBLE)), lambda v: v IS NOT NULL)[1] AS years FROM cl""")
 
 # -- I ---------------------------------------------------------------------
 add("I1_classification", BD, f"SELECT k, related, conf AS confidence, {J('cats')} AS categories, {J('sigs')} AS signals, {J('vetoed')} AS vetoed_by, creason AS reason FROM ccls")

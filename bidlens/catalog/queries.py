@@ -21,7 +21,7 @@ from bidlens.operators import (
 from bidlens.plans import daily, report, views
 from bidlens.rules import load_rules
 from bidlens.schema import conform
-from bidlens.session import checkpoint_dir, spread
+from bidlens.session import checkpoint_dir, spread, stable
 from bidlens.sources import documents, exports, hits, pages, snapshots
 from bidlens.streaming import amendments
 
@@ -79,29 +79,39 @@ def screened_out(spark: SparkSession, sf: str) -> DataFrame:
     return daily.screened_out(screened(spark, sf))
 
 
+# The analysed bids feed the gate, the snapshot and every report section, so
+# they are stored once (shared checkpoint folder) and read from there.
 @lru_cache(maxsize=8)
+def stored(spark: SparkSession, sf: str) -> DataFrame:
+    return stable(judged(spark, sf).drop("doc_text"))
+
+
+@lru_cache(maxsize=8)
+def stored_next(spark: SparkSession, sf: str) -> DataFrame:
+    kept, _ = daily.run(views.view(spark, sf, "next_day"), RULES, NOW_2)
+    return stable(kept.drop("doc_text"))
+
+
 def reported(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.with_verdict(judged(spark, sf), "accepted", "watchlist")
+    return stored(spark, sf).filter("verdict <> 'rejected'")
+
+
+def second_day(spark: SparkSession, sf: str) -> DataFrame:
+    return stored_next(spark, sf).filter("verdict <> 'rejected'")
 
 
 def accepted(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.with_verdict(judged(spark, sf), "accepted")
+    return stored(spark, sf).filter("verdict = 'accepted'")
 
 
 def watch(spark: SparkSession, sf: str) -> DataFrame:
-    return daily.with_verdict(judged(spark, sf), "watchlist")
+    return stored(spark, sf).filter("verdict = 'watchlist'")
 
 
 def ranked(df: DataFrame) -> DataFrame:
     return ranking.number_rows(df, ranking.report_order())
 
 
-@lru_cache(maxsize=8)
-def second_day(spark: SparkSession, sf: str) -> DataFrame:
-    kept, _ = daily.run(views.view(spark, sf, "next_day"), RULES, NOW_2)
-    return daily.with_verdict(kept, "accepted", "watchlist")
-
-
 @lru_cache(maxsize=8)
 def two_days(spark: SparkSession, sf: str) -> DataFrame:
     """Both days' stored rows side by side; the payload stays out of the join."""
@@ -279,7 +289,7 @@ def A13_rule_tables(spark, sf):
 
 @query
 def A13_signal_table(spark, sf):
-    book = classify.table([t for g in RULES.groups for t in g["signals"] + g["negatives"]])
+    book = classify.table(list(dict.fromkeys(t for g in RULES.groups for t in g["signals"] + g["negatives"])))
     found = bids(spark, sf).select(F.explode(book.names(book.numbers(F.lower(text.clean("title"))))).alias("t"))
     n = found.groupBy("t").agg(F.count("*").alias("bids"))
     table = dims.signals(spark, RULES)
@@ -513,24 +523,24 @@ def C9_corrections(spark, sf):
 @query
 def C10_district_coverage(spark, sf):
     serves = eligibility.serves_district(F.col("geo.districts"), RULES)
-    return screened(spark, sf).select("k", serves.alias("serves"))
+    return screened(spark, sf).select("k", F.coalesce(serves.cast("string"), F.lit("not known")).alias("serves"))
 
 
 @query
 def C11_change_labels(spark, sf):
-    out = report.change_log(changed(spark, sf), second_day(spark, sf).filter("k % 3 <> 0"))
+    out = report.change_log(changed(spark, sf), second_day(spark, sf).filter("days_remaining % 3 <> 0"))
     return out.select("identity_key", "label", joined("lines", "\n").alias("lines"))
 
 
 @query
 def C12_rejection_labels(spark, sf):
-    return report.label_reasons(report.rejections(judged(spark, sf), screened_out(spark, sf)), RULES)
+    return report.label_reasons(report.rejections(stored(spark, sf), screened_out(spark, sf)), RULES)
 
 
 # -- D: aggregates ---------------------------------------------------------
 @query
 def D1_rejections(spark, sf):
-    return report.rejections(judged(spark, sf), screened_out(spark, sf)).orderBy(F.col("n").desc(), "reason")
+    return report.rejections(stored(spark, sf), screened_out(spark, sf)).orderBy(F.col("n").desc(), "reason")
 
 
 @query
@@ -550,7 +560,7 @@ def D4_document_demand(spark, sf):
 
 def run_manifest(spark, sf):
     return report.manifest(
-        judged(spark, sf), screened_out(spark, sf), merged(spark, sf), issues(spark, sf), degraded(spark, sf),
+        stored(spark, sf), screened_out(spark, sf), merged(spark, sf), issues(spark, sf), degraded(spark, sf),
         89, 250, 400, "run-1", "2026-09-06T08:30:00+05:30", "2026-09-06T09:00:00+05:30",
     )
 
@@ -591,9 +601,9 @@ def D9_has_text(spark, sf):
 
 @query
 def D10_changes_on_day(spark, sf):
-    return changed(spark, sf).filter(F.col("identity_key") == "bid:GEM/2026/B/7000000").filter(
-        F.col("detected_on") == TODAY_2
-    ).select("field_name", "old_value", "new_value", "note")
+    c = changed(spark, sf).filter(F.col("detected_on") == TODAY_2)
+    one = c.agg(F.min("identity_key").alias("identity_key"))
+    return c.join(F.broadcast(one), "identity_key", "left_semi").select("field_name", "old_value", "new_value", "note")
 
 
 @query
@@ -765,7 +775,7 @@ def G11_bid_number(spark, sf):
 @query
 def G12_days_remaining(spark, sf):
     at = F.when(F.col("k") % 30 == 5, F.lit("2026-09-06 07:00:00").cast("timestamp_ntz")).otherwise(F.col("bid_end_at"))
-    return bids(spark, sf).select("k", values.days_remaining(at, NOW).alias("days"))
+    return bids(spark, sf).select("k", values.days_remaining(at, NOW).cast("double").alias("days"))
 
 
 @query
@@ -946,7 +956,7 @@ def H16_requirement_flags(spark, sf):
 def H17_turnover_and_years(spark, sf):
     lines = F.col("requirements.eligibility")
     return clauses_only(spark, sf).select(
-        "k", eligibility.required_turnover(lines).alias("turnover"), eligibility.required_years(lines).alias("years")
+        "k", eligibility.required_turnover(lines).alias("turnover"), eligibility.required_years(lines).cast("double").alias("years")
     )
 
 
@@ -1102,7 +1112,7 @@ def M1_executive_summary(spark, sf):
 
 @query
 def M2_data_quality(spark, sf):
-    counts = report.rejections(judged(spark, sf), screened_out(spark, sf))
+    counts = report.rejections(stored(spark, sf), screened_out(spark, sf))
     return lines(report.data_quality(counts, issues(spark, sf), degraded(spark, sf), RULES))
 
 

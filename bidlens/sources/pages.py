@@ -70,7 +70,7 @@ def resolve(base: Column, href: Column) -> Column:
 
 def cards(html: Column) -> Column:
     """ARRAY of card fragments, each running to the start of the next card."""
-    return F.slice(F.split(html, CARD), 2, F.lit(2147483647))
+    return F.filter(F.split(html, CARD), lambda piece, i: i > 0)
 
 
 def listing_cards(pages: DataFrame, rules: Rules) -> DataFrame:
