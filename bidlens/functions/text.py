@@ -11,6 +11,8 @@ from bidlens.functions import as_column, let
 # dashes, quotes and bullet, the rupee sign. Text made of these skips NFKC.
 _MAY_CHANGE = "[^\\x00-\\x7F\\u00C0-\\u00FF\\u2010\\u2012-\\u2016\\u2018-\\u2023\\u20B9]"
 _WS = "\\s\\x1C-\\x1F"
+# Anything but printable ASCII with single spaces: only such text needs work.
+_UNCLEAN = "[^\\x20-\\x7E]|  "
 # A whitespace run that is not already one plain space.
 _RUN = f"(?U)(?:[{_WS}&&[^ ]][{_WS}]*| [{_WS}]+)"
 _NOT_WORD = f"(?U)[^\\p{{L}}\\p{{N}}_]+"
@@ -32,10 +34,13 @@ def clean(col: Column | str, normalise: bool = True) -> Column:
 
     Null gives ''. ``normalise=False`` is for text that is NFKC already.
     """
-    c = F.coalesce(as_column(col), F.lit(""))
-    if normalise:
-        c = nfkc(c)
-    return F.trim(F.regexp_replace(F.translate(c, "\u00a0\u200b", " "), _RUN, " "))
+
+    def tidy(c: Column) -> Column:
+        composed = nfkc(c) if normalise else c
+        worked = F.regexp_replace(F.translate(composed, "\u00a0\u200b", " "), _RUN, " ")
+        return F.trim(F.when(c.rlike(_UNCLEAN), worked).otherwise(c))
+
+    return let(F.coalesce(as_column(col), F.lit("")), tidy)
 
 
 def normalize_key(col: Column | str, normalise: bool = True) -> Column:
