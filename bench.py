@@ -35,6 +35,8 @@ def main() -> None:
     spark = (
         SparkSession.builder.master(f"local[{cpus}]").appName("bench").config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g")).config("spark.sql.shuffle.partitions", cpus)
+        # No call-site capture for every Column: the plans here are large.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false").getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

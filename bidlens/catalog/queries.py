@@ -5,7 +5,6 @@ Results are flat so that another engine can be compared with them.
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -21,7 +20,7 @@ from bidlens.operators import (
 from bidlens.plans import daily, report, views
 from bidlens.rules import load_rules
 from bidlens.schema import conform
-from bidlens.session import checkpoint_dir, spread, stable
+from bidlens.session import new_folder, spread, stable
 from bidlens.sources import documents, exports, hits, pages, snapshots
 from bidlens.streaming import amendments
 
@@ -300,9 +299,7 @@ def A13_signal_table(spark, sf):
 
 @query
 def A14_snapshot_sink(spark, sf):
-    root = tempfile.mkdtemp(prefix="snapshots-", dir=checkpoint_dir(spark).removeprefix("file:")) if _local(spark) else (
-        f"{checkpoint_dir(spark)}/snapshots-{spark.sparkContext.applicationId}-{_next()}"
-    )
+    root = new_folder(spark, "snapshots")
     rows = snapshot.flat_rows(reported(spark, sf), TODAY).drop("payload")
     snapshots.write_partition(rows, root, "snapshot_date", TODAY)
     snapshots.write_partition(rows.filter("days_remaining > 3"), root, "snapshot_date", TODAY_2)
@@ -313,18 +310,6 @@ def A14_snapshot_sink(spark, sf):
     )
 
 
-def _local(spark: SparkSession) -> bool:
-    place = checkpoint_dir(spark)
-    return place.startswith("/") or place.startswith("file:/")
-
-
-_serial = iter(range(1_000_000))
-
-
-def _next() -> int:
-    return next(_serial)
-
-
 @query
 def A15_flat_rows(spark, sf):
     return snapshot.flat_rows(reported(spark, sf), TODAY).drop("payload")
@@ -1086,9 +1071,7 @@ def K10_known_profile(spark, sf):
 @query
 def L1_amendment_feed(spark, sf):
     """Two days of listing files through the stream; actions and changes counted."""
-    root = tempfile.mkdtemp(prefix="feed-", dir=checkpoint_dir(spark).removeprefix("file:")) if _local(spark) else (
-        f"{checkpoint_dir(spark)}/feed-{spark.sparkContext.applicationId}-{_next()}"
-    )
+    root = new_folder(spark, "feed")
     source = f"{root}/incoming"
     days = ((reported(spark, sf), TODAY), (second_day(spark, sf), TODAY_2))
     for df, today in days:

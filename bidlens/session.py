@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a new temp folder only if unset."""
+    """The cluster's shared checkpoint folder; a new temp folder in local mode only."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         configured = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(configured)
     return configured
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A name of its own in the shared folder; Spark creates it on the first write."""
+    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder and cut the lineage."""
     checkpoint_dir(df.sparkSession)
