@@ -36,11 +36,12 @@ def clean(col: Column | str, normalise: bool = True) -> Column:
     """
 
     def tidy(c: Column) -> Column:
-        composed = nfkc(c) if normalise else c
-        worked = F.regexp_replace(F.translate(composed, "\u00a0\u200b", " "), _RUN, " ")
+        worked = F.regexp_replace(F.translate(c, "\u00a0\u200b", " "), _RUN, " ")
         return F.trim(F.when(c.rlike(_UNCLEAN), worked).otherwise(c))
 
-    return let(F.coalesce(as_column(col), F.lit("")), tidy)
+    # NFKC stays outside the lambda: Spark pulls such calls out of grouping keys.
+    c = F.coalesce(as_column(col), F.lit(""))
+    return let(nfkc(c) if normalise else c, tidy)
 
 
 def normalize_key(col: Column | str, normalise: bool = True) -> Column:

@@ -110,3 +110,8 @@ def test_term_table_equals_one_regex_per_term(spark, rules):
 @pytest.mark.parametrize("term,said,hit", [("amc", "dynamics", False), ("wi-fi", "wifi zone", True), ("wifi", "wi-fi zone", False), ("lan", "lan.", True)])
 def test_term_boundaries(spark, term, said, hit):
     assert apply(spark, TermTable((term,)).occurs, [said]) == [hit]
+
+
+def test_clean_works_in_grouping_keys(spark):
+    df = spark.createDataFrame([("A  b",), ("a b",), ("Ａ b",)], "x string")
+    assert [(r.k, r["count"]) for r in df.groupBy(text.normalize_key("x").alias("k")).count().collect()] == [("a b", 3)]
