@@ -92,7 +92,7 @@ def apply_corrections(df: DataFrame, payloads: DataFrame | None, rules: Rules) -
                 source = blank_to("source_url", F.lit("GeM tender documents"))
                 return F.struct(
                     d["key"].alias("canonical"), d["name"].alias("name"), F.lit(INFERRED).alias("confidence"),
-                    F.array(evidence(source, "tender documents (AI-identified)", F.substring(d["quote"], 1, 300), "llm:claude")).alias("evidence"),
+                    F.array(evidence(source, "tender documents (AI-identified)", F.substring(d["quote"], 1, 300), "llm:review")).alias("evidence"),
                 )
 
             return F.transform(

@@ -107,7 +107,7 @@ def assess_eligibility(df: DataFrame, rules: Rules) -> DataFrame:
 
     if not rules.profile_configured:
         verify.append(F.lit(
-            "Everything below is unverified: config/company_profile.yaml has not "
+            "Everything below is unverified: the company profile has not "
             "been filled in, so the system has no basis to judge our capability."
         ))
     # Category.
