@@ -41,7 +41,8 @@ def drop_repeated_lines(df: DataFrame, id: str = "doc_id", text: str = "text", m
     # Two 64-bit hashes: different keys don't meet in practice.
     lines = cut(lines.select("_id", "_hash", "_at", F.xxhash64("_key").alias("_k1"), F.xxhash64(F.lit(1), "_key").alias("_k2")), "lines")
     common = lines.groupBy("_k1", "_k2").agg(F.count_distinct("_id").alias("_n"), F.max("_id").alias("_last"))
-    common = common.where(F.col("_n") >= min_docs).drop("_n")
+    # Written, so that the join below deals lines out anew and may split a common one's.
+    common = cut(common.where(F.col("_n") >= min_docs).drop("_n"), "common")
     gone = lines.join(common, ["_k1", "_k2"]).where("_id <> _last").groupBy("_id", "_hash").agg(F.collect_set("_at").alias("_gone"))
     out = row.join(gone, ["_id", "_hash"], "left")
     kept = F.filter(split_lines(F.col("_text")), lambda line, at: ~F.coalesce(F.array_contains("_gone", at), F.lit(False)))

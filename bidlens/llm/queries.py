@@ -6,8 +6,10 @@ from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from bidlens.llm import bpe, lines, mixture
+from bidlens.llm import bpe, chosen_path, language, lines, mixture, toxicity
+from bidlens.llm.shared import id_hash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +37,19 @@ def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer(spark))
 
 
+@query
+def op4_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
+    return chosen_path.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)
+
+
+@query
+def op5_byte_cnn(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = id_hash(F.col("doc_id"), 3) == 1
+    net = language.fit(docs.where(~held_out))
+    return language.identify(docs.select("doc_id", "text", held_out.alias("held_out")), net).drop("text")
+
+
 @query
 def op6_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.digests(table(spark, folder, "documents"))
@@ -49,3 +64,12 @@ def op7_mixture(spark: SparkSession, folder: str) -> DataFrame:
 
 
 ORACLES["op7_mixture"] = mixture.SQL
+
+
+@query
+def op10_nb_ngrams(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held_out = id_hash(F.col("doc_id"), 5) == 0
+    model = toxicity.fit(toxicity.labelled(docs, labels.where(~held_out)))
+    out = toxicity.score(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
+    return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))

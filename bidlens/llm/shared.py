@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -77,3 +78,22 @@ def components(links: DataFrame, name: str = "links") -> DataFrame:
         before = state
     roots = pairs.select(F.col("b").alias("node")).distinct()
     return pairs.select(F.col("a").alias("node"), F.col("b").alias("component")).union(roots.select("node", F.col("node").alias("component")))
+
+
+class Memory(dict):
+    """What ``make`` gives for a short string, as bytes; of ``limit`` entries, those used lately stay."""
+
+    def __init__(self, make: Callable[[str], bytes], limit: int, longest: int = 64):
+        super().__init__()
+        self.make, self.limit, self.longest, self.older = make, limit, longest, {}
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= self.longest:
+            if len(self) >= self.limit // 2:
+                self.older = self.copy()
+                self.clear()
+            self[key] = value
+        return value
