@@ -26,10 +26,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from bidlens.llm.shared import Memory
+
 #: Unicode's White_Space property, which is what ``\s`` stands for in the tokenizers' patterns.
 WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
-#: Entries that a Python worker remembers: words with what adjoins them, pieces (of so many characters at most), pairs of tokens.
-CHUNKS, PIECES, KEY_CHARS, PAIRS = 600_000, 1_200_000, 64, 1_000_000
+#: Entries that a Python worker remembers: words with what adjoins them, pieces, pairs of tokens.
+CHUNKS, PIECES, PAIRS = 400_000, 1_000_000, 500_000
+#: Rows handled at once, so that a batch's texts, ids and bytes aren't all held.
+ROWS = 500
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -56,25 +60,6 @@ class Crossing(Exception):
     """White space meets white space at a chunk's edge, so the text can't be read chunk by chunk."""
 
 
-class Memory(dict):
-    """What ``make`` gives for a short string, as bytes; of ``limit`` entries, those used lately stay."""
-
-    def __init__(self, make: Callable[[str], bytes], limit: int):
-        super().__init__()
-        self.make, self.limit, self.older = make, limit, {}
-
-    def __missing__(self, key: str) -> bytes:
-        value = self.older.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(key) <= KEY_CHARS:
-            if len(self) >= self.limit // 2:
-                self.older = self.copy()
-                self.clear()
-            self[key] = value
-        return value
-
-
 class Encoder:
     """One vocabulary in a Python worker."""
 
@@ -211,6 +196,10 @@ def _encoder(ranks, pattern: str, key: str) -> Encoder:
     return _ENCODERS[key]
 
 
+def _slices(batch: pa.Array) -> Iterator[pa.Array]:
+    return (batch.slice(i, ROWS) for i in range(0, len(batch), ROWS))
+
+
 class Tokenizer:
     """Columns of token ids and of decoded bytes. The vocabulary (its file's size) is broadcast."""
 
@@ -227,21 +216,23 @@ class Tokenizer:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             encoder = _encoder(ranks, pattern, key)
             for batch in batches:
-                found = [encoder.encode(x.as_py() or "") for x in batch]
-                ends = np.cumsum([0, *(len(x) // 4 for x in found)])
-                yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                for rows in _slices(batch):
+                    found = [encoder.encode(x.as_py() or "") for x in rows]
+                    ends = np.cumsum([0, *(len(x) // 4 for x in found)])
+                    yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(found), np.int32)))
 
         return encode(text)
 
     def decoded(self, ids: Column) -> Column:
         """binary: the bytes that the ids stand for."""
-        ranks, pattern, key = self.ranks, self.pattern, self.key
+        ranks = self.ranks
 
         @arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            token = _encoder(ranks, pattern, key).bytes_of.__getitem__
+            token = {rank: token for token, rank in ranks.value.items()}.__getitem__
             for batch in batches:
-                yield pa.array([b"".join(map(token, x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ())) for x in batch], pa.binary())
+                for rows in _slices(batch):
+                    yield pa.array([b"".join(map(token, x.values.to_numpy(zero_copy_only=False).tolist() if x.is_valid else ())) for x in rows], pa.binary())
 
         return decode(ids)
 

@@ -22,7 +22,7 @@ from bidlens.llm.samples import bounded
 from bidlens.llm.shared import Memory
 
 SIZES, FEATURES = (3, 4, 5), 1 << 18
-PER_CLASS, ROUNDS, PENALTY = 3_000, 120, 1e-4
+PER_CLASS, ROUNDS, PENALTY, SMOOTH = 3_000, 120, 1e-2, 5
 WORDS, EDGES = 300_000, ".,;:!?\"'()[]{}<>*-_/\\"
 
 
@@ -53,8 +53,9 @@ def train(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, fl
     sizes = np.array([len(f) for f in features])
     owner = np.repeat(np.arange(len(features)), sizes)
     toxic = toxic.astype(np.float64)
-    counts = [1 + np.bincount(index, weights=part[owner], minlength=FEATURES) for part in (toxic, 1 - toxic)]
-    ratio = np.log(counts[0] / counts[0].sum()) - np.log(counts[1] / counts[1].sum())
+    # Smoothed by SMOOTH texts dealt to the labels by their sizes: an n-gram that few texts hold has a ratio near 1.
+    held = [(np.bincount(index, weights=part[owner], minlength=FEATURES) + SMOOTH * part.mean()) / part.sum() for part in (toxic, 1 - toxic)]
+    ratio = np.log(held[0]) - np.log(held[1])
     scaled = ratio[index]
     w, offset = np.zeros(FEATURES), 0.0
     balance = np.where(toxic == 1, 0.5 / max(1.0, toxic.sum()), 0.5 / max(1.0, (1 - toxic).sum()))
