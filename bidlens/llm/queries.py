@@ -8,8 +8,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlens.llm import bpe, chosen_path, language, lines, mixture, toxicity
-from bidlens.llm.shared import id_hash
+from bidlens.llm import bpe, chat, chosen_path, language, lines, mixture, toxicity, wrappers
+from bidlens.llm.shared import cut, id_hash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +66,21 @@ def op7_mixture(spark: SparkSession, folder: str) -> DataFrame:
 ORACLES["op7_mixture"] = mixture.SQL
 
 
+@query
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    return chat.digests(table(spark, folder, "conversations"))
+
+
+ORACLES["op8_chat"] = chat.SQL
+
+
+@query
+def op9_wrappers(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    found = cut(wrappers.wrappers(pages), "wrappers")
+    return wrappers.extract(pages, found).select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op10_nb_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
