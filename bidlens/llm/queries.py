@@ -8,7 +8,7 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlens.llm import bpe, chat, chosen_path, language, lines, mixture, toxicity, wrappers
+from bidlens.llm import bpe, chat, chosen_path, language, learned_partitions, lines, mixture, multi_index, toxicity, wrappers
 from bidlens.llm.shared import cut, id_hash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,11 +32,22 @@ def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
     return bpe.Tokenizer(spark, bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN)
 
 
+@query
+def op1_learned_partitions(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return learned_partitions.search(rows, rows.where("vec_id % 100 = 0"))
+
+
 @query
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.digests(table(spark, folder, "documents"), tokenizer(spark))
 
 
+@query
+def op3_multi_index(spark: SparkSession, folder: str) -> DataFrame:
+    return multi_index.near_vectors(table(spark, folder, "embeddings"))
+
+
 @query
 def op4_chosen_path(spark: SparkSession, folder: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, folder, "documents"), words=3, percent=85)

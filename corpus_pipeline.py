@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bidlens.llm import bpe, lines, mixture
+from bidlens.llm import bpe, chosen_path, language, lines, mixture
 from bidlens.llm.queries import tokenizer
 from bidlens.session import new_folder
 
@@ -14,12 +14,37 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+#: Less than this probability for the likeliest language is no language.
+LEAST_SCORE = 0.3
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a language is found; those without text or letters go.
+
+    The network learns from a bounded sample of the documents with a language;
+    if there is none, nothing can be told and all documents stay.
+    """
+    docs = docs.select(*COLUMNS)
+    net = language.fit(docs)
+    if net is None:
+        return docs
+    out = language.identify(docs, net, lang="_found", score="_score")
+    return out.where(f"_found <> '{language.UNKNOWN}' AND _score >= {LEAST_SCORE}").select(*COLUMNS)
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that many of them share; n_chars is counted anew."""
     out = lines.drop_repeated_lines(docs.select(*COLUMNS))
     return out.selectExpr("doc_id", "kept AS text", "lang", "source", "CAST(char_length(kept) AS BIGINT) AS n_chars")
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each group of near-duplicates (five-word shingles, similarity 0.8)."""
+    docs = docs.select(*COLUMNS)
+    gone = chosen_path.near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+
+
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix of sources takes it."""
     return mixture.mix(docs.select(*COLUMNS))
@@ -33,7 +58,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
     ("line_dedup", line_dedup),
+    ("near_dedup", near_dedup),
     ("mixing", mixing),
     ("byte_bpe", encoding),
 ]
