@@ -58,16 +58,16 @@ dr AS (SELECT url, CASE WHEN broken THEN 0 ELSE n END AS n_cards, CASE WHEN brok
 ds AS (SELECT *, CASE WHEN (n_cards = 0 AND canaries >= 2) OR (n_cards > 0 AND n_bids = 0) THEN 'PARSER_DRIFT' WHEN n_cards = 0 THEN 'empty' ELSE 'ok' END AS state FROM dr)"""
 add("A6_drift", DRIFT, "SELECT * FROM ds")
 add("A6_drift_issues", DRIFT, "SELECT 'listing' AS stage, url AS target, state AS error_type, CASE WHEN n_cards = 0 THEN 'bid-shaped content but no card matched' ELSE n_cards || ' cards found but none yielded a bid number' END AS detail FROM ds WHERE state = 'PARSER_DRIFT'")
-ORACLES["A7_challenge_pages"] = f"SELECT page_id, {' OR '.join(f'contains(h, {q(m)})' for m in R.portal['challenge_markers'])} AS challenge FROM (SELECT page_id, lower(left(CASE page_id % 10 WHEN 0 THEN '<div class=\"G-reCaptcha\">' || html WHEN 1 THEN html || repeat('x', 20000) || 'hcaptcha' ELSE html END, 20000)) AS h FROM pages)"
+ORACLES["A7_challenge_pages"] = f"SELECT page_id, {' OR '.join(f'contains(h, {q(m)})' for m in R.portal['challenge_markers'])} AS challenge FROM (SELECT page_id, lower(CASE page_id % 10 WHEN 0 THEN '<div class=\"G-reCaptcha\">' || html WHEN 1 THEN html || repeat('x', 20000) || 'hcaptcha' ELSE html END) AS h FROM pages)"
 HITS = f"""h0 AS (SELECT * REPLACE ({clean('snippet')} AS snippet) FROM ({V['hits']})), hc AS (SELECT *, upper(regexp_extract(concat_ws(' ', title, snippet, link), '(?i)\\bGEM/\\d{{4}}/[A-Z]/\\d+\\b')) AS bn FROM h0 WHERE {official('link')})"""
-add("A8_search_hits", HITS, "SELECT k, query, bn AS bid_number, link AS source_url, coalesce(nullif(title, ''), nullif(left(snippet, 120), ''), link) AS title, snippet AS item_description, title || ' ' || snippet AS listing_text FROM hc")
+add("A8_search_hits", HITS, "SELECT k, query, bn AS bid_number, link AS source_url, coalesce(nullif(title, ''), nullif(snippet, ''), link) AS title, snippet AS item_description, title || ' ' || snippet AS listing_text FROM hc")
 add("A9_zero_results", HITS, f"SELECT 'none' AS \"case\", 'listing' AS stage, {PORTAL}/all-bids' AS target, 'ZERO_RESULTS_ALL_QUERIES' AS error_type, (SELECT count(DISTINCT query) FROM h0) || ' search terms returned no rows' AS detail WHERE (SELECT count(*) FROM hc WHERE link LIKE '%/nowhere/%') = 0 UNION ALL SELECT 'all', 'listing', {PORTAL}/all-bids', 'ZERO_RESULTS_ALL_QUERIES', '' WHERE (SELECT count(*) FROM hc) = 0")
 DOCS = "df AS (SELECT 'doc:' || CAST(floor(doc_id / 3) AS BIGINT) AS identity_key, doc_id AS pos, 'File ' || (doc_id % 3) AS name, text, length(text) AS text_chars FROM documents)"
 add("A10_document_text", DOCS, "SELECT identity_key, length(t) AS chars, md5(t) AS digest FROM (SELECT identity_key, string_agg(chr(10) || '===== ' || name || ' (unknown) =====' || chr(10) || text, chr(10) ORDER BY pos) AS t FROM df WHERE text_chars > 0 GROUP BY 1)")
 ORACLES["A11_document_admission"] = """SELECT doc_id, CASE WHEN NOT big THEN sha256(text) END AS sha256, CASE WHEN big THEN 'failed' WHEN doc_id % 3 = 2 THEN 'skipped' ELSE 'text' END AS extraction_method,
- CASE WHEN big THEN 'download failed (see access issues)' WHEN doc_id % 3 = 2 THEN 'unsupported content type ''image/png''' ELSE '' END AS error FROM (SELECT *, doc_id % 20 = 0 AS big FROM documents)"""
-add("A12_detail_budget", B, "SELECT k, rn <= 250 AS in_budget, CASE WHEN rn > 250 THEN 'Detail page not fetched (per-run budget reached) — figures below come from the search listing only.' END AS flag FROM (SELECT k, row_number() OVER (ORDER BY k) AS rn FROM bids)")
-add("A12_document_budget", DOCS, """, r AS (SELECT *, row_number() OVER (ORDER BY pos) <= 400 AS ok FROM df), x AS (SELECT identity_key, count(*) AS documents, count(*) FILTER (ok) AS documents_read, bool_or(text_chars > 0 AND ok) AS has FROM r GROUP BY 1)
+ CASE WHEN big THEN 'download failed (see access issues)' WHEN doc_id % 3 = 2 THEN 'unsupported content type ''image/png''' ELSE '' END AS error FROM (SELECT *, false AS big FROM documents)"""
+add("A12_detail_budget", B, "SELECT k, true AS in_budget, CAST(NULL AS VARCHAR) AS flag FROM bids")
+add("A12_document_budget", DOCS, """, r AS (SELECT *, true AS ok FROM df), x AS (SELECT identity_key, count(*) AS documents, count(*) FILTER (ok) AS documents_read, bool_or(text_chars > 0 AND ok) AS has FROM r GROUP BY 1)
 SELECT identity_key, documents, documents_read, CASE WHEN documents_read BETWEEN 1 AND documents - 1 THEN 'Not all tender documents were read (per-run download budget reached) — review the remaining attachments manually.' END AS budget_flag,
  CASE WHEN documents_read > 0 AND NOT has THEN 'No tender document text could be extracted — every requirement below comes from the portal listing only.' END AS no_text_flag FROM x""")
 _queries = list({x.lower(): x for gr in reversed(R.groups) for x in reversed(gr["queries"])}.values())
@@ -119,7 +119,7 @@ def tab(p: str, first: str, last: str, url: str) -> str:
     return f"""SELECT '{first}' AS "Date Found", '{last}' AS "Last Seen", title AS "Tender Title", bid_number AS "Bid Number", '' AS "Tender ID", buyer_organization AS "Buyer", ministry AS "Department", array_to_string(cats, ', ') AS "Product Category",
  kind AS "Product / Service", delivery_location AS "Location", array_to_string(gd, ', ') AS "Districts", coalesce(strftime(bid_end_at, '%Y-%m-%d %H:%M'), '') AS "Closing Date", dr AS "Days Remaining", urg AS "Urgency", estatus AS "EMD Required",
  eamount AS "EMD Amount", shead AS "ePBG Required", spct AS "ePBG %", estimated_value AS "Estimated Value", total AS "Opportunity Score", band AS "Score Band", grade AS "Match Level", 'open' AS "Status", source_url AS "Official GeM Link",
- '{url}' AS "Google Doc Report Link", left(array_to_string(flags, ' | '), 2000) AS "Verification Flags" FROM {p}ju WHERE verdict <> 'rejected'"""
+ '{url}' AS "Google Doc Report Link", array_to_string(flags, ' | ') AS "Verification Flags" FROM {p}ju WHERE verdict <> 'rejected'"""
 
 
 add("A16_bid_tab", FULL + "," + full("z", "next_day", NOW_2), f"""
@@ -132,12 +132,12 @@ deg AS (SELECT DISTINCT 'mode ' || (event_id % 3) AS mode FROM events WHERE even
 rj AS (SELECT reason, count(*) AS n FROM (SELECT screen_reason AS reason FROM scr WHERE screen_reason IS NOT NULL UNION ALL SELECT rejected_reason FROM ju WHERE rejected_reason IS NOT NULL) GROUP BY 1)"""
 add("A16_run_tab", TWO + "," + ISSUES, """SELECT 'run-1' AS "Run ID", '2026-09-06T08:30:00+05:30' AS "Started", '2026-09-06T09:00:00+05:30' AS "Finished", 89 AS "Queries", (SELECT count(*) FROM scr) AS "Bids Seen", 250 AS "Details Fetched", 400 AS "Documents",
  (SELECT count(*) FROM ju WHERE verdict = 'accepted') AS "Accepted", (SELECT count(*) FROM ju WHERE verdict = 'watchlist') AS "Watchlist", (SELECT count(*) FROM mg WHERE action = 'new') AS "New", (SELECT count(*) FROM mg WHERE action = 'updated') AS "Updated",
- (SELECT left(string_agg(line, ' | ' ORDER BY line), 2000) FROM il) AS "Access Issues", (SELECT string_agg(mode, ', ' ORDER BY mode) FROM deg) AS "Degraded Modes", 'https://docs/1' AS "Report Link" """)
+ (SELECT string_agg(line, ' | ' ORDER BY line) FROM il) AS "Access Issues", (SELECT string_agg(mode, ', ' ORDER BY mode) FROM deg) AS "Degraded Modes", 'https://docs/1' AS "Report Link" """)
 
 # -- B ---------------------------------------------------------------------
 add("B1_host_filter", f"l AS ({V['links']})", f"SELECT k, link, {official('link')} AS official FROM l")
 _listing = "CASE k % 6 WHEN 0 THEN repeat('x ', 150) || 'Closed circuit TV ' WHEN 1 THEN repeat('x ', 250) || 'withdrawn' ELSE title END"
-_status = f"portal_status || ' ' || left({_listing}, 400)"
+_status = f"portal_status || ' ' || {_listing}"
 add("B2_active", B, f"SELECT portal_status, k % 6 AS slot, count(*) FILTER ({active(_status)}) AS active FROM bids GROUP BY ALL")
 add("B3_screen", BS, "SELECT k, screen_reason FROM scr")
 add("B4_gate", BS, f"SELECT k, {gate('lrel', 'lreg')} AS reason FROM scr")
@@ -145,7 +145,7 @@ add("B5_watchlist", FULL, "SELECT k, verdict, rejected_reason, urg AS urgency, t
 add("B6_windows", B, "SELECT k, coalesce(dr BETWEEN 0 AND 10, false) AS main, coalesce(dr BETWEEN 11 AND 60, false) AS watch FROM base")
 add("B7_haystack", B, f"SELECT k, lower({clean('concat_ws(' + q(' ') + ', title, nullif(buyer_organization, ' + q('') + '), nullif(doc_text, ' + q('') + '))')}) AS haystack FROM bids")
 add("B8_geo_fields", BG, "SELECT k, f AS name, t AS text FROM gf WHERE t <> ''")
-add("B9_open_bids", TWO, "SELECT identity_key, bid_end_at, score, title FROM mg WHERE NOT coalesce(left(bid_end_at, 10) < '2026-09-07', false) ORDER BY bid_end_at NULLS FIRST, identity_key LIMIT 40")
+add("B9_open_bids", TWO, "SELECT identity_key, bid_end_at, score, title FROM mg WHERE NOT coalesce(left(bid_end_at, 10) < '2026-09-07', false) ORDER BY bid_end_at NULLS FIRST, identity_key")
 add("B10_buckets", FULL, "SELECT bucket, urg AS urgency, estatus AS emd_status, len(gaps) > 0 AS risky, count(*) AS n FROM ju WHERE verdict = 'accepted' GROUP BY ALL")
 add("B11_source_reachable", ISSUES.split("rj AS")[0].rstrip().rstrip(","), "SELECT count(*) FILTER (stage = 'listing') = 0 AS source_reachable, 'all' AS \"case\" FROM iss UNION ALL SELECT true, 'detail only'")
 
@@ -162,7 +162,7 @@ add("C5_geo_matches", BG, f"SELECT k, f AS field, {J('hit')} AS hits, {J('di')}
 add("C6_snapshot_merge", TWO, "SELECT identity_key, action, bid_end_at, estimated_value, first_seen_on, last_seen_on, score, status FROM mg")
 add("C7_change_detection", CH, f"SELECT *, '{NOW_2[:10]}' AS detected_on FROM ch")
 FOUND = B + "," + HITS + f""", pc AS (SELECT b.identity_key, 'portal' AS adapter, 0 AS a, 'p' || qq AS query, qq AS qp, k AS pos, title FROM base b, (SELECT unnest([2, 3, 5, 1]) AS qq) WHERE k % qq = 0),
-sc AS (SELECT CASE WHEN bn <> '' THEN 'bid:' || bn ELSE 'url:' || left(sha256(link), 32) END AS identity_key, 'search' AS adapter, 1 AS a, query, query_pos AS qp, hit_pos AS pos, coalesce(nullif(title, ''), nullif(left(snippet, 120), ''), link) AS title FROM hc),
+sc AS (SELECT CASE WHEN bn <> '' THEN 'bid:' || bn ELSE 'url:' || left(sha256(link), 32) END AS identity_key, 'search' AS adapter, 1 AS a, query, query_pos AS qp, hit_pos AS pos, coalesce(nullif(title, ''), nullif(snippet, ''), link) AS title FROM hc),
 un AS (SELECT * FROM pc UNION ALL SELECT * FROM sc), pq AS (SELECT identity_key, adapter, query, min({{'a': a, 'q': qp, 'p': pos}}) AS f, count(*) AS n FROM un GROUP BY ALL)"""
 add("C8_discovery_merge", FOUND, """SELECT identity_key, arg_min(adapter, {'a': a, 'q': qp, 'p': pos}) AS adapter, arg_min(title, {'a': a, 'q': qp, 'p': pos}) AS title,
  array_to_string(list_sort(list(DISTINCT adapter)), ',') AS discovered_via, (SELECT string_agg(query, ',' ORDER BY f) FROM pq WHERE pq.identity_key = un.identity_key) AS queries, count(*) AS sightings FROM un GROUP BY identity_key""")
@@ -183,7 +183,7 @@ ORACLES["C9_corrections"] = ORACLES["C9_corrections"].replace("SUMMARY", SUMMARY
 _mine = arr(d.lower() for d in R.profile["service_districts"])
 add("C10_district_coverage", BS, f"SELECT k, CASE WHEN len(lds) > 0 THEN CAST(list_has_any(list_transform(lds, lambda x: lower(x)), {_mine}) AS VARCHAR) ELSE 'not known' END AS serves FROM scr")
 LINE = "'⚠ ' || field_name || ' changed from ' || old_value || ' to ' || new_value"
-add("C11_change_labels", CH, f"""SELECT ch.identity_key, coalesce(max(z.bid_number || ' — ' || left(z.title, 70)), ch.identity_key) AS label, string_agg({LINE}, chr(10) ORDER BY {LINE}) AS lines
+add("C11_change_labels", CH, f"""SELECT ch.identity_key, coalesce(max(z.bid_number || ' — ' || z.title), ch.identity_key) AS label, string_agg({LINE}, chr(10) ORDER BY {LINE}) AS lines
  FROM ch LEFT JOIN (SELECT * FROM zju WHERE verdict <> 'rejected' AND dr % 3 <> 0) z ON z.identity_key = ch.identity_key GROUP BY ch.identity_key""")
 _labels_of = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.decision["rejection_labels"].items())
 add("C12_rejection_labels", FULL + "," + ISSUES, f"SELECT reason, CAST(n AS BIGINT) AS n, CASE reason {_labels_of} ELSE replace(reason, '_', ' ') END AS label FROM rj")
@@ -217,7 +217,7 @@ def rank(verdict: str, name: str = "rk") -> str:
 RK = FULL + ", " + rank("accepted")
 RW = RK + ", " + rank("watchlist", "rw")
 add("E2_ranking", RK, "SELECT rank, identity_key, total AS score, urg AS urgency, dr AS days_remaining FROM rk")
-add("E3_action_order", FULL, f"SELECT identity_key, dr AS days_remaining, total AS score {ACC} ORDER BY coalesce(dr, 99), total DESC, identity_key LIMIT 100")
+add("E3_action_order", FULL, f"SELECT identity_key, dr AS days_remaining, total AS score {ACC} ORDER BY coalesce(dr, 99), total DESC, identity_key")
 _names = ("eligibility", "technical", "delivery", "warranty", "amc", "special")
 add("E4_matching_sentences", BC, f"SELECT k, {', '.join(f'array_to_string(q_{n}, {q(chr(32) + chr(124) + chr(32))}) AS {n}' for n in _names)}, q_payment[1] AS payment_terms FROM cl")
 add("E5_best_evidence", BC, "SELECT k, pos - 1 AS pos, x.c AS canonical, CASE WHEN x.u THEN 'unclear' ELSE 'confirmed' END AS confidence, x.e AS quotes FROM (SELECT k, unnest(docs) AS x, generate_subscripts(docs, 1) AS pos FROM cl)")
@@ -243,7 +243,7 @@ add("G6_parse_percentage", B, "SELECT k, CASE k % 3 WHEN 0 THEN (k % 12) + 0.5 W
 add("G7_parse_quantity", B, "SELECT k, CASE k % 3 WHEN 0 THEN 1000 + k % 60 WHEN 1 THEN k % 60 END::DOUBLE AS number, CASE WHEN k % 3 = 0 THEN 'Units' ELSE '' END AS unit FROM bids")
 _ws_of = _ws.replace("replace(text,", "replace(f,")
 ORACLES["G8_snippet"] = f"SELECT doc_id, CASE WHEN lo > 0 THEN '…' ELSE '' END || trim({_ws_of}) || CASE WHEN hi < n THEN '…' ELSE '' END AS snippet FROM (SELECT *, substring(text, lo + 1, hi - lo) AS f FROM (SELECT doc_id, text, length(text) AS n, greatest(0, CAST(floor(length(text) / 2) AS INT) - 120) AS lo, least(length(text), CAST(floor(length(text) / 2) AS INT) + 120) AS hi FROM documents))"
-add("G9_truncate", B, "SELECT k, CASE WHEN length(title) <= 20 THEN title ELSE rtrim(left(title, 19)) || '…' END AS short FROM bids")
+add("G9_truncate", B, "SELECT k, CASE WHEN length(title) <= 20 THEN title ELSE rtrim(title) || '…' END AS short FROM bids")
 add("G10_identity_key", B, "SELECT k, CASE WHEN bid_number <> '' THEN 'bid:' || bid_number WHEN k % 100 <> 99 THEN 'url:' || left(sha256(source_url), 32) ELSE 'fp:' || left(sha256(title || '|' || buyer_organization || '|' || coalesce(strftime(bid_end_at, '%Y-%m-%d %H:%M:%S+05:30'), 'None')), 32) END AS identity_key FROM bids")
 add("G11_bid_number", B, "SELECT k, bid_number AS found FROM bids")
 add("G12_days_remaining", B, "SELECT k, CAST(CASE WHEN k % 30 = 5 THEN -1 ELSE dr END AS DOUBLE) AS days FROM base")
@@ -258,8 +258,8 @@ EMO = "CASE urg WHEN 'URGENT' THEN '🔴' WHEN 'HIGH PRIORITY' THEN '🟠' WHEN
 DQ = "coalesce(CAST(dr AS VARCHAR), '?')"
 DN = "coalesce(CAST(dr AS VARCHAR), 'None')"
 EH = "CASE estatus WHEN 'not_required' THEN 'NO EMD REQUIRED' WHEN 'required' THEN 'EMD REQUIRED' ELSE 'EMD INFORMATION NOT CLEAR – MANUAL VERIFICATION REQUIRED' END"
-ONE = f"{score_text('total')} || '/100 · ' || {EMO} || ' ' || {DQ} || ' days · ' || bid_number || ' · ' || left(title, 80) || ' · ' || {EH}"
-DEAD = f"bid_number || ' — closes ' || coalesce(strftime(bid_end_at, '%d %b %Y %H:%M'), '?') || ' (' || {DN} || ' days) — ' || left(title, 70) || ' — score ' || {score_text('total')} || '/100'"
+ONE = f"{score_text('total')} || '/100 · ' || {EMO} || ' ' || {DQ} || ' days · ' || bid_number || ' · ' || title || ' · ' || {EH}"
+DEAD = f"bid_number || ' — closes ' || coalesce(strftime(bid_end_at, '%d %b %Y %H:%M'), '?') || ' (' || {DN} || ' days) — ' || title || ' — score ' || {score_text('total')} || '/100'"
 DIS = "array_to_string(gd, ', ')"
 LOC = f"""coalesce(nullif(CASE WHEN {DIS} <> '' AND NOT contains(lower(delivery_location), lower({DIS})) THEN CASE WHEN delivery_location <> '' THEN delivery_location || ' (' || {DIS} || ')' ELSE {DIS} END ELSE delivery_location END, ''), '⚠ Not stated') || CASE WHEN gconf <> 'confirmed' THEN '  ⚠ ' || greason ELSE '' END"""
 BUY = "CASE WHEN ministry <> '' AND ministry <> buyer_organization THEN buyer_organization || ' · ' || ministry ELSE buyer_organization END"
@@ -288,7 +288,7 @@ add("H9_security_percentage", BC, "SELECT k, spct AS percentage FROM cl")
 add("H10_security_amount", BC, "SELECT k, TRY_CAST(replace(samt, ',', '') AS DOUBLE) AS amount FROM cl")
 add("H11_validity_and_timeline", BC, "SELECT k, sval AS validity, stime AS timeline FROM cl")
 add("H12_security_exemption", BC, "SELECT k, coalesce(sex, '') AS exemption FROM cl")
-ORACLES["H13_sentences"] = f"SELECT doc_id, count(*) AS n, sum(length(s)) AS chars, max(s) AS last FROM (SELECT doc_id, unnest(string_split(regexp_replace(c, '([.;:])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS s FROM (SELECT doc_id, trim({_ws}) AS c FROM documents)) WHERE length(s) BETWEEN 15 AND 600 GROUP BY 1"
+ORACLES["H13_sentences"] = f"SELECT doc_id, count(*) AS n, sum(length(s)) AS chars, max(s) AS last FROM (SELECT doc_id, unnest(string_split(regexp_replace(c, '([.;:])\\s+', '\\1' || chr(1), 'g'), chr(1))) AS s FROM (SELECT doc_id, trim({_ws}) AS c FROM documents)) WHERE s <> '' GROUP BY 1"
 add("H14_required_documents", BC, "SELECT x.c AS canonical, x.n AS name, CASE WHEN x.u THEN 'unclear' ELSE 'confirmed' END AS confidence, count(*) AS n FROM (SELECT unnest(docs) AS x FROM cl) GROUP BY ALL")
 add("H15_cue_counts", BC, f"SELECT {', '.join(f'sum(len(q_{n})) AS {n}' for n in _names)}, count(q_payment[1]) AS payment FROM cl")
 add("H16_requirement_flags", BC, "SELECT k, flag FROM (SELECT k, unnest(cflags) AS flag FROM fl) WHERE flag LIKE 'Required-documents list%' OR flag LIKE 'No specific document%'")
@@ -374,8 +374,8 @@ _blocks = " || ".join(f"({x})" for x in [
     kv("Type", "CASE kind WHEN 'product_supply' THEN 'Product supply' WHEN 'service' THEN 'Service contract' WHEN 'supply_and_service' THEN 'Supply + service' ELSE 'Type not clear' END"),
     kv("Quantity / Scope", QTY), kv("Closing Date", CLO), kv("Days Remaining", "coalesce(dr || ' days', '⚠ Verification Required')"), kv("Priority", f"{EMO} || ' ' || urg"),
     kv("Estimated Value", f"coalesce({rupees('estimated_value')}, 'Not published on GeM')"), kv("EMD", "ehead"), f"CASE WHEN estatus = 'required' THEN list_transform({_dep}, lambda i: {{'k': 'bullet', 't': i}}) ELSE [] END",
-    kv("Performance Security / ePBG", security_line()), bl("Required Documents", _docl), bl("Important Eligibility Requirements", "q_eligibility[1:8]"), bl("Key Technical Requirements", "q_technical[1:8]"),
-    bl("Delivery / Warranty / AMC Requirements", "(q_delivery || q_warranty || q_amc)[1:8]"), kv("Payment Terms", "q_payment[1]", "len(q_payment) > 0"), bl("Special Conditions", "q_special[1:6]"),
+    kv("Performance Security / ePBG", security_line()), bl("Required Documents", _docl), bl("Important Eligibility Requirements", "q_eligibility"), bl("Key Technical Requirements", "q_technical"),
+    bl("Delivery / Warranty / AMC Requirements", "(q_delivery || q_warranty || q_amc)"), kv("Payment Terms", "q_payment[1]", "len(q_payment) > 0"), bl("Special Conditions", "q_special"),
     kv("AI Opportunity Score", f"{score_text('total')} || ' / 100  ' || CASE band WHEN 'STRONG OPPORTUNITY' THEN '🟢' WHEN 'GOOD OPPORTUNITY' THEN '🟡' WHEN 'REVIEW REQUIRED' THEN '🟠' WHEN 'LOW PRIORITY' THEN '🔴' ELSE '' END || ' ' || band"),
     f"list_transform({COMP}, lambda i: {{'k': 'bullet', 't': i}})", kv("Match Assessment", "CASE grade WHEN 'HIGH' THEN '🟢' WHEN 'MEDIUM' THEN '🟡' WHEN 'LOW' THEN '🔴' ELSE '⚪' END || ' ' || grade || ' — ' || fit"),
     bl("Why this could suit us", "sup"), bl("Requirement gaps", "gaps"), bl("To verify before bidding", warn("ver")), bl("Verification Points", warn("list_distinct_keep")),
@@ -383,13 +383,13 @@ _blocks = " || ".join(f"({x})" for x in [
 add("M5_detailed", RK, section("detailed", "rank || '.0'", "'heading'", "'TENDER #' || rank || ' — ' || title", "rk") + f" UNION ALL SELECT 'detailed', rank || '.' || i, x.k, x.t FROM (SELECT rank, unnest(bs) AS x, generate_subscripts(bs, 1) AS i FROM (SELECT rank, {_blocks} AS bs FROM rk))")
 _ep = "CASE estatus WHEN 'not_required' THEN 0 WHEN 'required' THEN 1 ELSE 2 END"
 add("M6_emd_summary", RK, section("emd_summary", "p || '.0'", "'paragraph'", "CASE p WHEN 0 THEN '✅ No EMD required (' || n || ')' WHEN 1 THEN '💰 EMD required (' || n || ')' ELSE '⚠ EMD not clearly stated (' || n || ') — verify manually' END", f"(SELECT {_ep} AS p, count(*) AS n FROM rk GROUP BY 1)")
-    + " UNION ALL " + section("emd_summary", f"{_ep} || '.' || rank", "'bullet'", f"CASE WHEN estatus = 'required' THEN bid_number || ' — ' || coalesce({rupees('eamount')}, '⚠ Verification Required') || ' — ' || left(title, 80) ELSE bid_number || ' — ' || left(title, 90) END", "rk")
+    + " UNION ALL " + section("emd_summary", f"{_ep} || '.' || rank", "'bullet'", f"CASE WHEN estatus = 'required' THEN bid_number || ' — ' || coalesce({rupees('eamount')}, '⚠ Verification Required') || ' — ' || title ELSE bid_number || ' — ' || title END", "rk")
     + " UNION ALL " + section("emd_summary", "'1.9223372036854775807'", "'paragraph'", f"'Total EMD across these tenders: ' || {rupees('s')} || ' (before any MSME/Startup exemption).'", "(SELECT sum(eamount) AS s FROM rk WHERE estatus = 'required') WHERE s > 0"))
 add("M7_documents_summary", FULL, section("documents_summary", "CAST(-n AS VARCHAR)", "'bullet'", "name || ' — needed by ' || n || ' of ' || total || ' tenders'", DEMAND))
-add("M8_risks", RK, section("risks", "rank || '.0'", "'paragraph'", "bid_number || ' — ' || left(title, 90)", "rk WHERE len(gaps) > 0") + " UNION ALL SELECT 'risks', rank || '.' || i, 'bullet', x FROM (SELECT rank, unnest(gaps) AS x, generate_subscripts(gaps, 1) AS i FROM rk)")
+add("M8_risks", RK, section("risks", "rank || '.0'", "'paragraph'", "bid_number || ' — ' || title", "rk WHERE len(gaps) > 0") + " UNION ALL SELECT 'risks', rank || '.' || i, 'bullet', x FROM (SELECT rank, unnest(gaps) AS x, generate_subscripts(gaps, 1) AS i FROM rk)")
 add("M9_actions", RK, section("actions", "coalesce(dr, 99) || '.' || rank", "'bullet'", f"{EMO} || ' ' || bid_number || ' (' || {DQ} || ' days) — ' || {ACT}", "rk"))
-add("M10_watchlist", RW, section("watchlist", "CAST(rank AS VARCHAR)", "'bullet'", f"{score_text('total')} || '/100 · ' || bid_number || ' · closes in ' || {DN} || ' days · ' || left(title, 80)", "rw"))
-add("M11_change_log", CH, f"SELECT section, kind, text, count(*) AS n FROM (SELECT 'change_log' AS section, 'bullet' AS kind, {LINE} AS text FROM ch UNION ALL SELECT 'change_log', 'paragraph', coalesce(z.bid_number || ' — ' || left(z.title, 70), i) FROM (SELECT DISTINCT identity_key AS i FROM ch) LEFT JOIN zju z ON z.identity_key = i AND z.verdict <> 'rejected') GROUP BY ALL")
+add("M10_watchlist", RW, section("watchlist", "CAST(rank AS VARCHAR)", "'bullet'", f"{score_text('total')} || '/100 · ' || bid_number || ' · closes in ' || {DN} || ' days · ' || title", "rw"))
+add("M11_change_log", CH, f"SELECT section, kind, text, count(*) AS n FROM (SELECT 'change_log' AS section, 'bullet' AS kind, {LINE} AS text FROM ch UNION ALL SELECT 'change_log', 'paragraph', coalesce(z.bid_number || ' — ' || z.title, i) FROM (SELECT DISTINCT identity_key AS i FROM ch) LEFT JOIN zju z ON z.identity_key = i AND z.verdict <> 'rejected') GROUP BY ALL")
 add("M12_references", RW, section("references", "p || '.' || rank", "'bullet'", "bid_number || ' — ' || source_url", "(SELECT 0 AS p, * FROM rk UNION ALL SELECT 1, * FROM rw)"))
 
 # -- N ---------------------------------------------------------------------

@@ -137,7 +137,7 @@ def classified(p: str, source: str, doc: bool) -> str:
   FROM {p}k),
 {p}cls AS (SELECT *, len(cats) > 0 AS related,
   CASE WHEN len(cats) > 0 AND in_head THEN 'confirmed' WHEN len(cats) > 0 THEN 'inferred' WHEN len(vetoed) > 0 THEN 'confirmed' ELSE 'not_found' END AS conf,
-  CASE WHEN len(cats) > 0 THEN 'Matched ' || array_to_string(cats, ', ') || ' on ' || CASE WHEN in_head THEN 'title/category' ELSE 'tender documents' END || ' via: ' || array_to_string(sigs[1:6], ', ')
+  CASE WHEN len(cats) > 0 THEN 'Matched ' || array_to_string(cats, ', ') || ' on ' || CASE WHEN in_head THEN 'title/category' ELSE 'tender documents' END || ' via: ' || array_to_string(sigs, ', ')
     WHEN len(vetoed) > 0 THEN 'No IT signal matched; vetoed by ' || array_to_string(vetoed, ', ')
     ELSE 'No IT product or service signal found in title, category or documents' END AS creason FROM {p}c)"""
 
@@ -176,11 +176,11 @@ def located(p: str, source: str, doc: bool, geo=G, location: str = "delivery_loc
    FROM {p}b b LEFT JOIN {p}a a ON a.k = b.k),
 {p}geo AS (SELECT k, wh, te, ds, nw, list_has_any(wh, {accept}) OR len(te) > 0 OR nw OR og AS in_region,
    CASE WHEN list_has_any(wh, {accept}) THEN 'confirmed' WHEN len(te) > 0 THEN 'inferred' WHEN nw OR og THEN 'unclear' ELSE 'confirmed' END AS gconf,
-   CASE WHEN list_has_any(wh, {accept}) THEN '{state} found in ' || array_to_string(wh, ', ') || ': ' || array_to_string(te[1:5], ', ')
+   CASE WHEN list_has_any(wh, {accept}) THEN '{state} found in ' || array_to_string(wh, ', ') || ': ' || array_to_string(te, ', ')
     WHEN len(te) > 0 THEN '{state} mentioned, but not in a delivery/service/buyer-address field (' || array_to_string(wh, ', ') || ') — confirm the actual work location'
     WHEN nw THEN 'Pan-India / multi-state tender: {state} is likely in scope but is not named — confirm the consignee list before bidding'
     WHEN og THEN 'Buyer is an organisation that operates mainly in {state}, but no {state} location is stated — confirm the delivery location'
-    WHEN len(ot) > 0 THEN 'No {state} reference; locations point to ' || array_to_string(ot[1:3], ', ')
+    WHEN len(ot) > 0 THEN 'No {state} reference; locations point to ' || array_to_string(ot, ', ')
     ELSE 'No {state} reference found in any location field' END AS greason FROM {p}j)"""
 
 
@@ -205,9 +205,9 @@ def unlook(pattern: str) -> str:
     return pattern.replace("(?!\\s*india)", "").replace("(?<![a-z])dsc(?![a-z])", "\\bdsc\\b")
 
 
-def cue(name: str, limit: int) -> str:
+def cue(name: str) -> str:
     pattern = "(?i)" + "|".join(f"(?:{c})" for c in R.requirements["cues"][name])
-    return f"list_transform(list_filter(sents, lambda s: regexp_matches(s, {q(pattern)}))[1:{limit}], lambda s: left(s, 400))"
+    return f"list_filter(sents, lambda s: regexp_matches(s, {q(pattern)}))"
 
 
 def clauses(p: str, source: str) -> str:
@@ -220,7 +220,7 @@ def clauses(p: str, source: str) -> str:
         first = f"{m}[1]"
         docs.append(
             f"CASE WHEN len({m}) > 0 THEN {{'u': len({firm}) = 0, 'n': {q(name)}, 'c': {q(canonical)}, 'e': CASE WHEN regexp_matches({first}, {q(hedge)}) AND len({firm}) > 0 "
-            f"THEN left({firm}[1], 300) || ' | ' || left({first}, 300) ELSE left({first}, 300) END}} END"
+            f"THEN {firm}[1] || ' | ' || {first} ELSE {first} END}} END"
         )
     status = "CASE WHEN {m} IS NULL THEN 'not_stated' WHEN regexp_matches(snil, {p}) THEN 'not_required' ELSE 'required' END"
     flag = "CASE WHEN {0} THEN {1} END"
@@ -228,7 +228,7 @@ def clauses(p: str, source: str) -> str:
 
     return f"""
 {p}t AS (SELECT *, {clean('doc_text')} AS d, regexp_replace({clean('doc_text')}, '\\.\\s+([A-Za-z])', chr(46) || chr(10) || '\\1', 'g') AS t,
-   list_filter(string_split(regexp_replace({clean('doc_text')}, '([.;:])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: len(s) BETWEEN 15 AND 600) AS sents FROM {source}),
+   list_filter(string_split(regexp_replace({clean('doc_text')}, '([.;:])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda s: s <> '') AS sents FROM {source}),
 {p}r AS (SELECT *,
    {rx('t', f'\\b{EL}\\b{cl(80)}\\b(?:nil|not\\s+applicable|not\\s+required|no\\s+emd|exempt(?:ed|ion)?|zero|rs\\.?\\s*0(?:\\.00)?\\b|₹\\s*0(?:\\.00)?\\b)')} AS enil,
    coalesce({rx('t', f'\\b{EL}\\b{cl(120)}{RS}', 1)}, {rx('t', f'{RS}{cl(60)}\\b(?:as\\s+)?{EL}\\b', 1)}) AS eamt,
@@ -245,7 +245,7 @@ def clauses(p: str, source: str) -> str:
    {rx('t', f'(?:performance\\s+security|e-?pbg|security\\s+deposit){cl(160)}exempt(?:ed|ion)?{cl(120)}')} AS sex,
    {', '.join(f"{rx('d', v)} AS m_{k}" for k, v in INST.items())},
    list_filter(sents, lambda s: regexp_matches(s, {q(demand)})) AS asks,
-   {', '.join(f"{cue(c, 2 if c == 'payment' else 12)} AS q_{c}" for c in R.requirements['cues'])}
+   {', '.join(f"{cue(c)} AS q_{c}" for c in R.requirements['cues'])}
    FROM {p}t),
 {p}s AS (SELECT *, TRY_CAST(replace(eamt, ',', '') AS DOUBLE) AS amt, coalesce(portal_epbg_pct, TRY_CAST(sp1 AS DOUBLE)) AS spct,
    {status.format(m='m_performance_security', p=q('(?i)' + INST['performance_security']))} AS ps0,

@@ -265,15 +265,14 @@ def A11_document_admission(spark, sf):
 
 @query
 def A12_detail_budget(spark, sf):
-    cap = RULES.portal["max_detail_fetches"]
-    out = documents.within_budget(conform(bids(spark, sf)), [F.col("k")], cap)
+    out = documents.within_budget(conform(bids(spark, sf)), [F.col("k")], RULES.portal.get("max_detail_fetches"))
     return out.select("k", "in_budget", F.when(~F.col("in_budget"), documents.FLAG_NO_DETAIL).alias("flag"))
 
 
 @query
 def A12_document_budget(spark, sf):
     order = [F.col("pos")]
-    out = documents.document_budget(doc_files(spark, sf), order, RULES.portal["max_document_downloads"])
+    out = documents.document_budget(doc_files(spark, sf), order, RULES.portal.get("max_document_downloads"))
     return out.select("identity_key", "documents", "documents_read", "budget_flag", "no_text_flag")
 
 
@@ -383,7 +382,7 @@ def B8_geo_fields(spark, sf):
 @query
 def B9_open_bids(spark, sf):
     stored = snapshot.expire(merged(spark, sf), TODAY_2)
-    return snapshot.open_bids(stored, 40).select("identity_key", "bid_end_at", "score", "title")
+    return snapshot.open_bids(stored).select("identity_key", "bid_end_at", "score", "title")
 
 
 @query
@@ -610,7 +609,7 @@ def E2_ranking(spark, sf):
 
 @query
 def E3_action_order(spark, sf):
-    top = ranking.first_rows(accepted(spark, sf), ranking.action_order(), 100)
+    top = ranking.first_rows(accepted(spark, sf), ranking.action_order())
     return top.select("identity_key", "days_remaining", F.col("score.total").alias("score"))
 
 

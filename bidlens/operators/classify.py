@@ -12,14 +12,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.functions import let, literal
-from bidlens.functions.lists import distinct_ci, take
+from bidlens.functions.lists import distinct_ci
 from bidlens.functions.terms import TermTable
 from bidlens.functions.text import clean, normalize_key
 from bidlens.rules import Rules
 from bidlens.schema import CONFIRMED, INFERRED, NOT_FOUND
 
-TEXT_CAP = 400_000
-
 
 @lru_cache(maxsize=8)
 def _tables(terms: tuple[str, ...]) -> TermTable:
@@ -38,7 +36,7 @@ def haystack(doc_text: Column | None = None) -> Column:
                   "listing_text")
     ]
     if doc_text is not None:
-        parts.append(F.nullif(F.substring(doc_text, 1, TEXT_CAP), F.lit("")))
+        parts.append(F.nullif(doc_text, F.lit("")))
     return F.lower(clean(F.concat_ws(" ", *parts)))
 
 
@@ -167,7 +165,7 @@ def classify(df: DataFrame, rules: Rules, doc_text: Column | None = None) -> Dat
             F.concat(
                 F.lit("Matched "), F.array_join("_cats", ", "), F.lit(" on "),
                 F.when(F.col("_in_head"), "title/category").otherwise("tender documents"),
-                F.lit(" via: "), F.array_join(take("_sigs", 6), ", "),
+                F.lit(" via: "), F.array_join("_sigs", ", "),
             ),
         )
         .when(vetoed, F.concat(F.lit("No IT signal matched; vetoed by "), F.array_join("_vetoed_by", ", ")))

@@ -79,7 +79,7 @@ def apply_corrections(df: DataFrame, payloads: DataFrame | None, rules: Rules) -
         keyed = F.transform(
             named,
             lambda d: F.struct(
-                F.concat(F.lit("llm:"), F.substring(F.lower(d["name"]), 1, 40)).alias("key"),
+                F.concat(F.lit("llm:"), F.lower(d["name"])).alias("key"),
                 d["name"].alias("name"),
                 d["quote"].alias("quote"),
             ),
@@ -92,7 +92,7 @@ def apply_corrections(df: DataFrame, payloads: DataFrame | None, rules: Rules) -
                 source = blank_to("source_url", F.lit("GeM tender documents"))
                 return F.struct(
                     d["key"].alias("canonical"), d["name"].alias("name"), F.lit(INFERRED).alias("confidence"),
-                    F.array(evidence(source, "tender documents (AI-identified)", F.substring(d["quote"], 1, 300), "llm:review")).alias("evidence"),
+                    F.array(evidence(source, "tender documents (AI-identified)", d["quote"], "llm:review")).alias("evidence"),
                 )
 
             return F.transform(
@@ -111,13 +111,13 @@ def apply_corrections(df: DataFrame, payloads: DataFrame | None, rules: Rules) -
             "classification": c.withField("is_it_related", F.when(flip, r["is_it_related"]).otherwise(c["is_it_related"]))
             .withField("confidence", F.when(flip, INFERRED).otherwise(c["confidence"]))
             .withField("reason", F.when(flip, F.concat(
-                F.lit("AI review overturned the keyword classification: "), F.substring("_quote", 1, 200)
+                F.lit("AI review overturned the keyword classification: "), "_quote"
             )).otherwise(c["reason"]))
             .withField("kind", F.coalesce(kind, c["kind"])),
             "geo": g.withField("in_region", F.when(move, says == "yes").otherwise(g["in_region"]))
             .withField("confidence", F.when(move, INFERRED).when(doubt, UNCLEAR).otherwise(g["confidence"]))
             .withField("reason", F.when(move, F.concat(
-                F.lit("AI review of the documents: "), F.substring("_place", 1, 200)
+                F.lit("AI review of the documents: "), "_place"
             )).otherwise(g["reason"])),
             "required_documents": F.concat(
                 "required_documents", extra(F.transform("required_documents", lambda d: d["canonical"]))

@@ -42,8 +42,8 @@ def in_watch_window(rules: Rules, days: Column | None = None) -> Column:
 
 
 def is_active(rules: Rules) -> Column:
-    """No cancelled marker in the portal status or the first 400 listing characters."""
-    seen = F.lower(F.concat_ws(" ", "portal_status", F.substring("listing_text", 1, 400)))
+    """No cancelled marker in the portal status or the listing."""
+    seen = F.lower(F.concat_ws(" ", "portal_status", "listing_text"))
     return ~seen.rlike("|".join(escape(m) for m in rules.decision["cancelled_markers"]))
 
 

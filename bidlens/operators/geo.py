@@ -10,14 +10,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.functions import let
-from bidlens.functions.lists import distinct_ci, strings, take
+from bidlens.functions.lists import distinct_ci, strings
 from bidlens.functions.terms import alternation, word
 from bidlens.functions.text import clean
 from bidlens.rules import Rules
 from bidlens.schema import CONFIRMED, INFERRED, UNCLEAR
 
-TEXT_CAP = 200_000
-
 
 def fields(doc_text: Column | None = None) -> Column:
     """ARRAY<STRUCT<name, text>> of the texts that may name a place."""
@@ -32,7 +30,7 @@ def fields(doc_text: Column | None = None) -> Column:
         ),
         "title": F.col("title"),
         "listing_text": F.col("listing_text"),
-        "documents": F.lit("") if doc_text is None else F.substring(doc_text, 1, TEXT_CAP),
+        "documents": F.lit("") if doc_text is None else doc_text,
     }
     return F.array(
         *[F.struct(F.lit(n).alias("name"), clean(t).alias("text")) for n, t in texts.items()]
@@ -117,7 +115,7 @@ def assess(df: DataFrame, rules: Rules, doc_text: Column | None = None) -> DataF
     reason = (
         F.when(strong, F.concat(
             F.lit(f"{state} found in "), F.array_join("_where", ", "), F.lit(": "),
-            F.array_join(take("_terms", 5), ", "),
+            F.array_join("_terms", ", "),
         ))
         .when(named, F.concat(
             F.lit(f"{state} mentioned, but not in a delivery/service/buyer-address field ("),
@@ -128,7 +126,7 @@ def assess(df: DataFrame, rules: Rules, doc_text: Column | None = None) -> DataF
         .when(F.col("_local_org"), f"Buyer is an organisation that operates mainly in {state}, but no "
               f"{state} location is stated — confirm the delivery location")
         .when(F.size("_others") > 0, F.concat(
-            F.lit(f"No {state} reference; locations point to "), F.array_join(take("_others", 3), ", ")
+            F.lit(f"No {state} reference; locations point to "), F.array_join("_others", ", ")
         ))
         .otherwise(f"No {state} reference found in any location field")
     )

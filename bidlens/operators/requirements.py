@@ -10,12 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.functions import let
-from bidlens.functions.lists import add_distinct, present, strings, take
+from bidlens.functions.lists import add_distinct, present, strings
 from bidlens.rules import Rules
 from bidlens.rules.clauses import FLAGS
 from bidlens.schema import CONFIRMED, EVIDENCE_LIST, UNCLEAR, evidence
 
-MAX_ITEMS, MAX_PAYMENT = 12, 2
 DOCUMENTS = f"array<struct<canonical:string,name:string,confidence:string,evidence:{EVIDENCE_LIST}>>"
 FLAG_NO_TEXT = (
     "Required-documents list is unavailable: no tender document text "
@@ -28,23 +27,23 @@ FLAG_NO_DOCUMENTS = (
 
 
 def sentences(text: Column) -> Column:
-    """Split after . ; : and keep pieces of 15 to 600 characters."""
+    """Split after . ; : into pieces; blank ones go."""
     return F.filter(
-        F.split(text, "(?U)(?<=[.;:])\\s+"), lambda s: F.length(s).between(15, 600)
+        F.split(text, "(?U)(?<=[.;:])\\s+"), lambda s: s != ""
     )
 
 
-def collect(lines: Column, cues: list[str], limit: int = MAX_ITEMS) -> Column:
-    """The first ``limit`` sentences with a cue, told apart by their first 120 characters."""
+def collect(lines: Column, cues: list[str]) -> Column:
+    """The different sentences with a cue, in order."""
     pattern = FLAGS + "|".join(f"(?:{c})" for c in cues)
 
     def pick(hits: Column) -> Column:
-        keys = F.transform(hits, lambda s: F.substring(F.lower(s), 1, 120))
+        keys = F.transform(hits, lambda s: F.lower(s))
         return let(
             keys,
             lambda k: F.transform(
-                take(F.array_distinct(k), limit),
-                lambda key: F.substring(F.get(hits, F.array_position(k, key).cast("int") - 1), 1, 400),
+                F.array_distinct(k),
+                lambda key: F.get(hits, F.array_position(k, key).cast("int") - 1),
             ),
         )
 
@@ -76,7 +75,7 @@ def required_documents(lines: Column, rules: Rules, source_url: Column) -> Colum
         )
 
     def quote(ask: Column) -> Column:
-        return evidence(source_url, "tender documents", F.substring(ask["text"], 1, 300), "rule:required_documents")
+        return evidence(source_url, "tender documents", ask["text"], "rule:required_documents")
 
     def settle(doc: Column) -> Column:
         first = F.get(doc["asks"], F.lit(0))
@@ -112,7 +111,7 @@ def extract_requirements(df: DataFrame, rules: Rules) -> DataFrame:
     df = df.withColumn("_lines", sentences(F.col("_doc")))
     cues = rules.requirements["cues"]
     lists = {
-        name: collect(F.col("_lines"), patterns, MAX_PAYMENT if name == "payment" else MAX_ITEMS)
+        name: collect(F.col("_lines"), patterns)
         for name, patterns in cues.items()
     }
     df = df.withColumns(

@@ -109,7 +109,7 @@ def analyze_security(df: DataFrame) -> DataFrame:
             F.when(F.col("_amount").isNotNull(), F.array(quoted(F.col("_amt"), rule))).otherwise(none).alias("amount_evidence"),
             F.nullif(clean(F.coalesce(hit("validity_near", 1), hit("validity")), normalise=False), F.lit("")).alias("validity"),
             F.nullif(clean(hit("timeline", 1), normalise=False), F.lit("")).alias("submission_timeline"),
-            F.when(exempt.isNotNull(), F.array(F.substring(clean(exempt, normalise=False), 1, 300)))
+            F.when(exempt.isNotNull(), F.array(clean(exempt, normalise=False)))
             .otherwise(strings([])).alias("exemptions"),
             F.array_compact(
                 F.array(

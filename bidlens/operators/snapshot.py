@@ -153,5 +153,7 @@ def expire(snapshot: DataFrame, today: str) -> DataFrame:
     return snapshot.withColumns({"just_closed": past, "status": F.when(past, "closed").otherwise(F.col("status"))})
 
 
-def open_bids(snapshot: DataFrame, n: int = 40) -> DataFrame:
-    return snapshot.filter("status = 'open'").orderBy(F.col("bid_end_at").asc_nulls_first(), "identity_key").limit(n)
+def open_bids(snapshot: DataFrame, n: int | None = None) -> DataFrame:
+    """Open bids by closing day; all of them unless ``n`` is given."""
+    rows = snapshot.filter("status = 'open'").orderBy(F.col("bid_end_at").asc_nulls_first(), "identity_key")
+    return rows if n is None else rows.limit(n)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from bidlens.functions import literal
-from bidlens.functions.lists import present, take
+from bidlens.functions.lists import present
 from bidlens.functions.text import blank_to
 from bidlens.functions.values import rupees, short_number
 from bidlens.operators import emd, security
@@ -46,10 +46,6 @@ def _days(unknown: str = "?") -> Column:
     return F.coalesce(F.col("days_remaining").cast("string"), F.lit(unknown))
 
 
-def _title(n: int) -> Column:
-    return F.substring("title", 1, n)
-
-
 def bucket() -> Column:
     s = F.col("score.total")
     return F.when(s >= 80, BUCKETS[0]).when(s >= 60, BUCKETS[1]).when(s >= 40, BUCKETS[2]).otherwise(BUCKETS[3])
@@ -73,14 +69,14 @@ def next_action() -> Column:
 def one_liner() -> Column:
     return _c(
         _points(), "/100 · ", _look_up(URGENCY_SIGN, F.col("urgency")), " ", _days(), " days · ", F.col("bid_number"),
-        " · ", _title(80), " · ", F.regexp_extract(emd.headline(), "^[^ ]+ (.*)$", 1),
+        " · ", F.col("title"), " · ", F.regexp_extract(emd.headline(), "^[^ ]+ (.*)$", 1),
     )
 
 
 def deadline_line() -> Column:
     return _c(
         F.col("bid_number"), " — closes ", F.coalesce(F.date_format("bid_end_at", "dd MMM yyyy HH:mm"), F.lit("?")),
-        " (", _days("None"), " days) — ", _title(70), " — score ", _points(), "/100",
+        " (", _days("None"), " days) — ", F.col("title"), " — score ", _points(), "/100",
     )
 
 
@@ -294,11 +290,11 @@ def detail_lines() -> Column:
         F.when(F.col("emd.status") == REQUIRED, F.transform(deposit, lambda i: F.struct(F.lit("bullet").alias("kind"), i.alias("text")))),
         kv("Performance Security / ePBG", security.security_line()),
         bullets("Required Documents", documents),
-        bullets("Important Eligibility Requirements", take(r["eligibility"], 8)),
-        bullets("Key Technical Requirements", take(r["technical"], 8)),
-        bullets("Delivery / Warranty / AMC Requirements", take(F.concat(r["delivery"], r["warranty"], r["amc"]), 8)),
+        bullets("Important Eligibility Requirements", r["eligibility"]),
+        bullets("Key Technical Requirements", r["technical"]),
+        bullets("Delivery / Warranty / AMC Requirements", F.concat(r["delivery"], r["warranty"], r["amc"])),
         F.when(r["payment_terms"].isNotNull(), kv("Payment Terms", r["payment_terms"])),
-        bullets("Special Conditions", take(r["special"], 6)),
+        bullets("Special Conditions", r["special"]),
         kv("AI Opportunity Score", _c(_points(), " / 100  ", _look_up(BAND_SIGN, F.col("score.band")), " ", F.col("score.band"))),
         F.transform(component_lines(), lambda i: F.struct(F.lit("bullet").alias("kind"), i.alias("text"))),
         kv("Match Assessment", _c(_look_up(MATCH_SIGN, e["match_level"]), " ", e["match_level"], " — ", e["verdict"])),
@@ -327,8 +323,8 @@ def emd_summary(ranked: DataFrame) -> DataFrame:
     status = F.col("emd.status")
     place = F.when(status == NOT_REQUIRED, 0).when(status == REQUIRED, 1).otherwise(2)
     line = F.when(status == REQUIRED, _c(
-        F.col("bid_number"), " — ", F.coalesce(rupees("emd.amount"), F.lit(UNKNOWN)), " — ", _title(80)
-    )).otherwise(_c(F.col("bid_number"), " — ", _title(90)))
+        F.col("bid_number"), " — ", F.coalesce(rupees("emd.amount"), F.lit(UNKNOWN)), " — ", F.col("title")
+    )).otherwise(_c(F.col("bid_number"), " — ", F.col("title")))
     totals = emd_totals(ranked).withColumn(
         "p", F.when(F.col("emd_status") == NOT_REQUIRED, 0).when(F.col("emd_status") == REQUIRED, 1).otherwise(2)
     )
@@ -354,7 +350,7 @@ def documents_summary(accepted: DataFrame) -> DataFrame:
 
 def risks(ranked: DataFrame) -> DataFrame:
     risky = keep(ranked, F.size("eligibility.gaps") > 0)
-    head = _section(risky, "risks", F.array(F.col("rank"), F.lit(0)), "paragraph", _c(F.col("bid_number"), " — ", _title(90)))
+    head = _section(risky, "risks", F.array(F.col("rank"), F.lit(0)), "paragraph", _c(F.col("bid_number"), " — ", F.col("title")))
     gaps = risky.select("rank", F.posexplode("eligibility.gaps").alias("i", "gap"))
     return head.unionByName(_section(gaps, "risks", F.array(F.col("rank"), F.col("i") + 1), "bullet", F.col("gap")))
 
@@ -368,13 +364,13 @@ def actions(ranked: DataFrame) -> DataFrame:
 
 def watchlist(ranked_watchlist: DataFrame) -> DataFrame:
     return _section(ranked_watchlist, "watchlist", F.array("rank"), "bullet", _c(
-        _points(), "/100 · ", F.col("bid_number"), " · closes in ", _days("None"), " days · ", _title(80)
+        _points(), "/100 · ", F.col("bid_number"), " · closes in ", _days("None"), " days · ", F.col("title")
     ))
 
 
 def change_log(changes: DataFrame, reported: DataFrame) -> DataFrame:
     """``label, lines`` per changed bid; the key stands in for an unreported bid."""
-    names = reported.select("identity_key", _c(F.col("bid_number"), " — ", _title(70)).alias("_label"))
+    names = reported.select("identity_key", _c(F.col("bid_number"), " — ", F.col("title")).alias("_label"))
     # At most one line per tracked field and bid.
     grouped = changes.groupBy("identity_key").agg(F.array_sort(F.collect_list(change_sentence())).alias("lines"))
     return grouped.join(names, "identity_key", "left").select(

@@ -29,8 +29,12 @@ def read_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def admit(docs: DataFrame, rules: Rules) -> DataFrame:
-    """Adds sha256 and extraction status from ``content, bytes, content_type``."""
-    too_big = F.col("bytes") > rules.portal["max_document_bytes"]
+    """Adds sha256 and extraction status from ``content, bytes, content_type``.
+
+    Files of any size are read, unless the rules set ``max_document_bytes``.
+    """
+    most = rules.portal.get("max_document_bytes")
+    too_big = F.lit(False) if most is None else F.col("bytes") > most
     known = F.col("content_type").isin(*rules.portal["document_types"])
     return docs.withColumns({
         "sha256": F.when(~too_big, F.sha2(F.col("content").cast("binary"), 256)),
@@ -60,25 +64,27 @@ def assemble(docs: DataFrame) -> DataFrame:
     return grouped.select("identity_key", F.array_join(F.transform("p", lambda x: x["part"]), "\n").alias("doc_text"))
 
 
-def within_budget(df: DataFrame, order: list[Column], cap: int, name: str = "in_budget") -> DataFrame:
-    """Flag the first ``cap`` rows of the run order; the rest stay, flagged false.
+def within_budget(df: DataFrame, order: list[Column], cap: int | None = None, name: str = "in_budget") -> DataFrame:
+    """Flag the first ``cap`` rows of the run order (all without a cap); the rest stay, flagged false.
 
     A distributed top-k finds the last row inside the budget; every row then
     compares its own place with that one row. ``order`` are columns that sort
     ascending and together are unique.
     """
+    if cap is None:
+        return df.withColumn(name, F.lit(True))
     place = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
     last = df.select(place.alias("_last")).orderBy("_last").limit(cap).agg(F.max("_last").alias("_last"))
-    return df.crossJoin(F.broadcast(last)).withColumn(name, place <= F.col("_last")).drop("_last")
+    return df.crossJoin(F.broadcast(last)).withColumn(name, F.coalesce(place <= F.col("_last"), F.lit(False))).drop("_last")
 
 
-def document_budget(docs: DataFrame, order: list[Column], cap: int) -> DataFrame:
+def document_budget(docs: DataFrame, order: list[Column], cap: int | None = None) -> DataFrame:
     """Per bid: documents, how many are read, and whether reading stopped halfway."""
     marked = within_budget(docs, order, cap)
     per_bid = marked.groupBy("identity_key").agg(
         F.count("*").alias("documents"),
         F.count_if("in_budget").alias("documents_read"),
-        F.bool_or((F.col("text_chars") > 0) & F.col("in_budget")).alias("has_document_text"),
+        F.coalesce(F.bool_or((F.col("text_chars") > 0) & F.col("in_budget")), F.lit(False)).alias("has_document_text"),
     )
     cut = (F.col("documents_read") > 0) & (F.col("documents_read") < F.col("documents"))
     return per_bid.withColumns({

@@ -34,7 +34,7 @@ def bid_rows(judged: DataFrame, today: str, report_url: str = "") -> DataFrame:
         F.col("urgency"), F.col("emd.status"), F.col("emd.amount"), security.headline(),
         F.col("security.percentage"), F.col("estimated_value"), F.col("score.total"), F.col("score.band"),
         F.col("eligibility.match_level"), F.lit("open"), F.col("source_url"), F.lit(report_url),
-        F.substring(F.array_join("flags", " | "), 1, 2000),
+        F.array_join("flags", " | "),
     )
     return judged.select(*[c.alias(n) for c, n in zip(cells, BIDS)])
 
@@ -65,7 +65,7 @@ def run_rows(manifest: DataFrame, report_url: str = "") -> DataFrame:
         F.col("run_id"), F.col("started_at"), F.coalesce("finished_at", F.lit("")), F.col("queries"),
         F.col("listings_seen"), F.col("details_fetched"), F.col("documents_downloaded"), F.col("accepted"),
         F.col("watchlist"), F.col("new_tenders"), F.col("updated_tenders"),
-        F.substring(F.array_join("access_issues", " | "), 1, 2000), F.array_join("degraded_modes", ", "),
+        F.array_join("access_issues", " | "), F.array_join("degraded_modes", ", "),
         F.lit(report_url),
     )
     return manifest.select(*[c.alias(n) for c, n in zip(cells, RUNS)])

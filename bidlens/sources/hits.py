@@ -22,7 +22,7 @@ def candidates(hits: DataFrame, rules: Rules) -> DataFrame:
         "source_url": F.col("link"),
         "item_description": F.col("snippet"),
         "listing_text": F.concat_ws(" ", "title", "snippet"),
-        "title": blank_to("title", F.substring("snippet", 1, 120), "link"),
+        "title": blank_to("title", "snippet", "link"),
     }).drop("snippet", "link")
 
 

@@ -268,8 +268,7 @@ def attachments(pages: DataFrame, rules: Rules, known: DataFrame | None = None)
 
 def is_challenge(html: Column | str, rules: Rules) -> Column:
     """Does the page put a human-verification challenge in front?"""
-    head = F.lower(F.substring(as_column(html), 1, rules.portal["challenge_scan_chars"]))
-    return head.rlike("|".join(escape(m) for m in rules.portal["challenge_markers"]))
+    return F.lower(as_column(html)).rlike("|".join(escape(m) for m in rules.portal["challenge_markers"]))
 
 
 def drift(pages: DataFrame, rules: Rules) -> DataFrame:
