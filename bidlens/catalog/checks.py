@@ -34,13 +34,13 @@ add("A2_detail_fields", DETAIL_CTE, "SELECT source_url AS page_url, field, value
 add("A3_detail_merge", B + "," + DETAIL_CTE, f"""
 , p AS (SELECT k, {', '.join(f"max(value) FILTER (field = '{c}') AS {c}" for c in ('bid_end_at', 'ministry', 'buyer_organization', 'buyer_address', 'quantity', 'estimated_value', 'emd_amount', 'epbg_percentage', 'msme_exemption', 'ra_enabled'))} FROM f GROUP BY k)
 SELECT b.bid_number, coalesce(p.ministry, b.ministry) AS ministry, coalesce(p.buyer_organization, b.buyer_organization) AS buyer_organization, coalesce(p.buyer_address, '') AS buyer_address,
-  CAST(regexp_extract(p.quantity, '\\d+') AS DOUBLE) AS quantity, coalesce(nullif(regexp_extract(p.quantity, '\\d+\\s*([A-Za-z./]+)', 1), ''), b.quantity_unit) AS quantity_unit,
+  coalesce(CAST(regexp_extract(p.quantity, '\\d+') AS DOUBLE), b.quantity) AS quantity, coalesce(nullif(regexp_extract(p.quantity, '\\d+\\s*([A-Za-z./]+)', 1), ''), b.quantity_unit) AS quantity_unit,
   coalesce(TRY_CAST(replace(regexp_extract(p.estimated_value, '[\\d,]+'), ',', '') AS DOUBLE), b.estimated_value) AS estimated_value,
   TRY_CAST(replace(regexp_extract(p.emd_amount, '[\\d,]+'), ',', '') AS DOUBLE) AS portal_emd_amount, coalesce(p.emd_amount, '') AS portal_emd_text,
   TRY_CAST(p.epbg_percentage AS DOUBLE) AS portal_epbg_pct,
   CASE lower(p.msme_exemption) WHEN 'yes' THEN 'required' WHEN 'no' THEN 'not_required' ELSE 'not_stated' END AS msme_portal_flag,
   coalesce(p.ra_enabled, '') AS ra_enabled, coalesce(strftime(try_strptime(p.bid_end_at, '%d-%m-%Y %H:%M:%S'), '%Y-%m-%d %H:%M:%S'), {at('b.bid_end_at')}) AS bid_end_at
-FROM bids b LEFT JOIN p ON p.k = b.k WHERE b.bid_number <> ''""")
+FROM bids b LEFT JOIN p ON p.k = b.k AND b.bid_number <> ''""")
 add("A4_attachments", B, f"""
 , a AS (SELECT *, regexp_extract(source_url, '^([a-z]+://[^/]+)', 1) AS root, regexp_replace(source_url, '[^/]*$', '') AS folder FROM bids)
 SELECT source_url AS page_url, 0 AS "rank", 'Technical Specification' AS name, folder || 'files/spec-' || (k % 4) || '.pdf' AS url, 'technical_spec' AS kind FROM a

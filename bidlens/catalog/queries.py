@@ -179,8 +179,8 @@ def A2_detail_fields(spark, sf):
 
 @query
 def A3_detail_merge(spark, sf):
-    listing = bids(spark, sf).filter("bid_number <> ''").drop("portal_emd_amount", "portal_epbg_pct", "ra_enabled")
-    out = pages.merge_details(listing, detail_pages(spark, sf).filter("bid_number <> ''"), RULES)
+    listing = bids(spark, sf).drop("portal_emd_amount", "portal_epbg_pct", "ra_enabled")
+    out = pages.merge_details(listing, detail_pages(spark, sf), RULES)
     return out.select(
         "bid_number", "ministry", "buyer_organization", "buyer_address", "quantity", "quantity_unit", "estimated_value",
         "portal_emd_amount", "portal_emd_text", "portal_epbg_pct", "msme_portal_flag", "ra_enabled",

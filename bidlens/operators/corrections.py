@@ -43,12 +43,13 @@ def _lines(arr: Column) -> Column:
 
 
 def apply_corrections(df: DataFrame, payloads: DataFrame | None, rules: Rules) -> DataFrame:
-    """Left-join the payloads (one per bid) and apply them."""
+    """Left-join the payloads and apply them; of several for a bid, the largest text counts."""
     empty = strings([])
     if payloads is None:
         return df.withColumns({n: F.lit("") for n in NARRATIVE} | {"risks": empty})
     state = rules.geography["state"]
-    df = df.join(read_payloads(payloads), "identity_key", "left")
+    one = payloads.filter("identity_key <> ''").groupBy("identity_key").agg(F.max("payload").alias("payload"))
+    df = df.join(read_payloads(one), "identity_key", "left")
     r, c, g = F.col("review"), F.col("classification"), F.col("geo")
     df = df.withColumns(
         {n: clean(r[n]) for n in NARRATIVE}

@@ -119,8 +119,8 @@ def plain_number(value: Column) -> Column:
     ).otherwise(F.regexp_replace(F.format_string("%.6f", value), "0+$", ""))
 
 
-def changes(both: DataFrame, today: str) -> DataFrame:
-    """One row per announced field that differs on a bid seen on both days."""
+def changes(both: DataFrame, today: Column | str) -> DataFrame:
+    """One row per announced field that differs on a bid seen on both days; ``today`` is a day or a column of days."""
     rows = []
     for field, label in TRACKED:
         old, new, numeric = F.col(f"p.{field}"), F.col(f"t.{field}"), field in NUMERIC
@@ -135,8 +135,9 @@ def changes(both: DataFrame, today: str) -> DataFrame:
             F.when(unstated, FIRST_TIME).otherwise("").alias("note"),
         )))
     seen = both.filter(F.col("p").isNotNull() & F.col("t").isNotNull())
-    return seen.select("identity_key", F.explode(F.array_compact(F.array(*rows))).alias("c")).select(
-        "identity_key", "c.*", F.lit(today).alias("detected_on")
+    day = F.lit(today) if isinstance(today, str) else today
+    return seen.select("identity_key", day.alias("detected_on"), F.explode(F.array_compact(F.array(*rows))).alias("c")).select(
+        "identity_key", "c.*", "detected_on"
     )
 
 

@@ -6,9 +6,10 @@ built-in regex functions; the work per page is independent of other pages.
 
 from __future__ import annotations
 
+import html.entities
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from bidlens.functions import as_column, let, literal
@@ -20,17 +21,23 @@ from bidlens.rules import Rules
 from bidlens.schema import NOT_REQUIRED, REQUIRED, conform
 
 # The portal's markup.
-CARD = '(?i)<div[^>]*class="(?:[^"]*\\s)?(?:card|bid-card|block pkglist)(?:\\s[^"]*)?"[^>]*>'
-BLOCK = '(?is)<div[^>]*class="(?:[^"]*\\s)?col-block(?:\\s[^"]*)?"[^>]*>(.*?)</div>'
+CLASS = "class=[\"'](?:[^\"']*\\s)?(?:{})(?:\\s[^\"']*)?[\"']"
+CARD = f"(?i)<div[^>]*{CLASS.format('card|bid-card|block pkglist')}[^>]*>"
+BLOCK = f"(?is)<div[^>]*{CLASS.format('col-block')}[^>]*>(.*?)</div>"
 BID_LINK = (
-    '(?is)<a\\s[^>]*class="(?:[^"]*\\s)?bid_no_hover(?:\\s[^"]*)?"[^>]*>.*?</a>',
-    '(?is)<a\\s[^>]*href="[^"]*showbidDocument[^"]*"[^>]*>.*?</a>',
-    '(?is)<a\\s[^>]*href="[^"]*bidlists[^"]*"[^>]*>.*?</a>',
+    f"(?is)<a\\s[^>]*{CLASS.format('bid_no_hover')}[^>]*>.*?</a>",
+    "(?is)<a\\s[^>]*href=[\"'][^\"']*showbidDocument[^\"']*[\"'][^>]*>.*?</a>",
+    "(?is)<a\\s[^>]*href=[\"'][^\"']*bidlists[^\"']*[\"'][^>]*>.*?</a>",
 )
 ROW = "(?is)<tr[^>]*>(.*?)</tr>"
 CELL = "(?is)<td[^>]*>(.*?)</td>"
-ANCHOR = '(?is)<a\\s[^>]*href="[^"]*"[^>]*>.*?</a>'
-HREF = '(?i)<a\\s[^>]*?href="([^"]*)"'
+DIV_ROW = (
+    f"(?is)<div[^>]*{CLASS.format('bid-detail')}[^>]*>\\s*<div[^>]*{CLASS.format('key')}[^>]*>(.*?)</div>"
+    f"\\s*<div[^>]*{CLASS.format('value')}[^>]*>(.*?)</div>"
+)
+ANCHOR = "(?is)<a\\s[^>]*href=[\"'][^\"']*[\"'][^>]*>.*?</a>"
+HREF = "(?i)<a\\s[^>]*?href=[\"']([^\"']*)[\"']"
+LINK_TEXT = "(?is)<a\\s[^>]*>(.*?)</a>"
 BLOCKS = {
     "items": ("Items",),
     "quantity": ("Quantity",),
@@ -38,16 +45,34 @@ BLOCKS = {
     "category": ("Category",),
 }
 DATE_SPANS = {"start_date": "Start Date", "end_date": "End Date"}
-ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
+ENTITY = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);"
+NAMES = {name: chr(point) for name, point in html.entities.name2codepoint.items()} | {"apos": "'", "nbsp": " "}
+
+
+def decode_entities(text: Column) -> Column:
+    """Numeric and named character references as characters, each decoded once; unknown ones stay."""
+    names = literal(NAMES, "map<string,string>")
+
+    def decoded(part: Column) -> Column:
+        def known(name: Column) -> Column:
+            digits = F.when(name.rlike("^#[xX]"), F.substring(name, 3, 6)).otherwise(F.hex(F.substring(name, 2, 7).cast("long")))
+            char = F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32")
+            whole = F.conv(digits, 16, 10).cast("long")
+            valid = whole.between(1, 0x10FFFF) & ~whole.between(0xD800, 0xDFFF)
+            found = F.when(name.startswith("#"), F.when(valid, char)).otherwise(F.element_at(names, name))
+            return F.coalesce(F.concat(found, F.substring(part, F.length(name) + 2, F.length(part))), F.concat(F.lit("&"), part))
+
+        return let(F.regexp_extract(part, ENTITY, 1), known)
+
+    parts = F.transform(F.split(text, "&", -1), lambda part, i: F.when(i == 0, part).otherwise(decoded(part)))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(parts, "")).otherwise(text)
 
 
 def text_of(html: Column) -> Column:
     """Visible text of a fragment: tags out, entities decoded, whitespace collapsed."""
     out = F.regexp_replace(html, "(?s)<!--.*?-->", " ")
     out = F.regexp_replace(out, "(?s)<[^>]*>", " ")
-    for entity, char in ENTITIES:
-        out = F.replace(out, F.lit(entity), F.lit(char))
-    return clean(out)
+    return clean(let(out, decode_entities))
 
 
 def resolve(base: Column, href: Column) -> Column:
@@ -69,8 +94,25 @@ def resolve(base: Column, href: Column) -> Column:
 
 
 def cards(html: Column) -> Column:
-    """ARRAY of card fragments, each running to the start of the next card."""
-    return F.filter(F.split(html, CARD), lambda piece, i: i > 0)
+    """ARRAY of card fragments, each running to the card's own closing tag (or the next card, if that is missing)."""
+    return F.transform(F.filter(F.split(html, CARD), lambda piece, i: i > 0), inside)
+
+
+def inside(fragment: Column) -> Column:
+    """What precedes the closing tag of the element that the fragment starts in, by the depth of its ``div`` tags."""
+    start = F.struct(F.lit(1).alias("depth"), F.lit(0).alias("chars"))
+
+    def step(state: Column, part: Column) -> Column:
+        low = F.lower(F.substring(part, 1, 5))
+        depth = state["depth"] + F.when(low == "</div", -1).when(low.startswith("<div"), 1).otherwise(0)
+        within = (state["depth"] > 0) & (depth > 0)
+        return F.struct(
+            F.when(state["depth"] > 0, depth).otherwise(0).cast("int").alias("depth"),
+            (state["chars"] + F.when(within, F.length(part)).otherwise(0)).cast("int").alias("chars"),
+        )
+
+    parts = F.split(fragment, "(?i)(?=<div\\b|</div)")
+    return F.substring(fragment, F.lit(1), F.aggregate(parts, start, step, lambda s: s["chars"]))
 
 
 def listing_cards(pages: DataFrame, rules: Rules) -> DataFrame:
@@ -93,7 +135,10 @@ def listing_cards(pages: DataFrame, rules: Rules) -> DataFrame:
             F.get(F.filter("blocks", lambda b: F.contains(b, F.lit(label))), F.lit(0))
             for label in BLOCKS[name]
         ]
-        value = text_of(F.coalesce(*texts, F.lit("")))
+        first = F.coalesce(*texts, F.lit(""))
+        value = text_of(first)
+        if name == "items":  # the link's own text, where the block has one
+            value = blank_to(text_of(F.regexp_extract(first, LINK_TEXT, 1)), value)
         for label in (*rules.portal["labels"].get(name, []), name):
             value = strip_label(value, label)
         return value
@@ -153,7 +198,12 @@ def detail_fields(html: Column, rules: Rules) -> Column:
             text_of(F.coalesce(F.get(cells, F.lit(1)), F.lit(""))).alias("value"),
         )
 
-    rows = F.transform(F.regexp_extract_all(html, F.lit(ROW), F.lit(1)), entry)
+    def div_entry(key: Column, value: Column) -> Column:
+        return F.struct(F.element_at(labels, normalize_key(text_of(key))).alias("field"), text_of(value).alias("value"))
+
+    table = F.transform(F.regexp_extract_all(html, F.lit(ROW), F.lit(1)), entry)
+    divs = F.zip_with(F.regexp_extract_all(html, F.lit(DIV_ROW), F.lit(1)), F.regexp_extract_all(html, F.lit(DIV_ROW), F.lit(2)), div_entry)
+    rows = F.concat(table, divs)
     known = F.filter(rows, lambda r: r["field"].isNotNull() & (r["value"] != ""))
 
     def firsts(rows: Column) -> Column:
@@ -171,15 +221,20 @@ def detail_rows(pages: DataFrame, rules: Rules) -> DataFrame:
 
 
 def merge_details(bids: DataFrame, details: DataFrame, rules: Rules) -> DataFrame:
-    """Lay detail pages (``bid_number, url, html``, one per bid) over listing bids.
+    """Lay detail pages (``bid_number, url, html``) over listing bids.
+
+    Of several pages of a bid the one with the largest url counts; pages and bids
+    without a number match nothing, so no bid is ever repeated.
 
     Text overrides where it is not blank, dates where they parse, quantity where
     it parses (keeping the listing's unit if the page gives none).
     """
-    parsed = details.select(
+    parsed = details.filter("bid_number <> ''").select(
         F.col("bid_number").alias("_bid"), F.col("url").alias("detail_url"),
-        detail_fields(F.col("html"), rules).alias("_d"),
+        F.xxhash64("html").alias("_page"), detail_fields(F.col("html"), rules).alias("_d"),
     )
+    latest = Window.partitionBy("_bid").orderBy(F.desc("detail_url"), "_page")
+    parsed = parsed.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n", "_page")
     df = conform(bids).join(parsed, F.col("bid_number") == F.col("_bid"), "left")
 
     def said(field: str) -> Column:

@@ -11,12 +11,8 @@ from pyspark.sql import functions as F
 
 
 def write_partition(df: DataFrame, path: str, column: str, value: str) -> None:
-    """Replace one partition of a parquet folder."""
-    (
-        df.withColumn(column, F.lit(value))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column).parquet(path)
-    )
+    """Replace one partition of a parquet folder, also by an empty result."""
+    df.write.mode("overwrite").parquet(f"{path}/{column}={value}")
 
 
 def read_partition(spark: SparkSession, path: str, column: str, value: str) -> DataFrame:

@@ -158,3 +158,43 @@ def test_corrections_need_a_quote(make, rows, rules, now):
 def test_missing_stays_missing(spark):
     r = conform(spark.createDataFrame([("x",)], "title string")).first()
     assert r.quantity is None and r.estimated_value is None and r.msme_portal_flag == "not_stated" and r.identity_key.startswith("fp:")
+
+
+def test_an_empty_result_replaces_a_partition(spark, tmp_path):
+    for n in (3, 0):
+        snapshots.write_partition(spark.range(n), str(tmp_path / "s"), "day", "2026-09-06")
+    assert snapshots.read_partition(spark, str(tmp_path / "s"), "day", "2026-09-06").count() == 0
+
+
+def test_details_never_repeat_a_bid(spark, rules):
+    bids = spark.createDataFrame([("",)] * 5 + [("GEM/2026/B/1",)], "bid_number string")
+    details = [("", f"{SITE}/d/{i}", "<table></table>") for i in range(7)] + [("GEM/2026/B/1", f"{SITE}/d/{x}", f"<table>{row('Ministry/State Name', f'Ministry {x}')}</table>") for x in "ab"]
+    got = pages.merge_details(bids, spark.createDataFrame(details, "bid_number string, url string, html string"), rules).collect()
+    assert len(got) == 6 and {r.ministry for r in got if r.bid_number} == {"Ministry b"}
+
+
+SNAP = "identity_key string, bid_end_at string, emd_status string, emd_amount double, epbg_status string, epbg_percentage double, estimated_value double, title string, status string, report_doc_url string, first_seen_on string, as_of string"
+
+
+def feed(spark, root, batches):
+    from bidlens.streaming import amendments
+
+    for i, rows in enumerate(batches):
+        flat = [(k, end, "not_stated", None, "x", None, value, k, "open", link, day, day) for k, end, value, link, day in rows]
+        amendments.merge_batch(spark.createDataFrame(flat, SNAP), i, root)
+    store = amendments.current(spark, root, spark.createDataFrame([], SNAP).drop("as_of").schema)
+    tables = [spark.read.parquet(f"{root}/{t}").drop("batch") for t in ("actions", "changes")]
+    return [sorted(map(tuple, t.select(sorted(t.columns)).collect()), key=str) for t in (store, *tables)]
+
+
+def test_days_in_one_batch_count_as_days_in_several(spark, tmp_path):
+    days = [
+        [("a", "2026-09-10", 100.0, "l", "2026-09-06"), ("b", "2026-09-10", 5.0, "", "2026-09-06")],
+        [("a", "2026-09-12", 100.0, "", "2026-09-07")],
+        [("a", "2026-09-14", 120.0, "", "2026-09-08"), ("c", "2026-09-10", 1.0, "", "2026-09-08")],
+    ]
+    apart = feed(spark, str(tmp_path / "apart"), days)
+    together = feed(spark, str(tmp_path / "together"), [days[0] + days[1] + days[2]])
+    assert apart == together and len(apart[0]) == 3 and len(apart[1]) == 5 and len(apart[2]) == 3
+    replay = feed(spark, str(tmp_path / "apart"), days[:0])
+    assert replay == apart
