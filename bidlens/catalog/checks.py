@@ -324,13 +324,13 @@ _k = {
     "K6_past_supply": ("gaps || sup || ver", ("Past %", "We have prior%")),
     "K7_emd_funding": ("gaps || sup || ver", ("Ability to fund%", "EMD %", "No EMD%", "MSME EMD%")),
     "K8_security": ("ver", ("Performance security%",)),
-    "K9_avoid_list": ("gaps", ("Matches an avoid-list%",)),
 }
 for _name, (_lists, _likes) in _k.items():
     add(_name, FULL, f"SELECT k, point FROM (SELECT k, unnest({_lists}) AS point FROM ju) WHERE {' OR '.join(f'point LIKE {q(x)}' for x in _likes)}")
 add("K10_verdict", FULL, "SELECT k, grade AS match_level, fit AS verdict, len(sup) AS supporting, len(gaps) AS gaps, len(ver) AS verify FROM ju")
 KNOWN = dict(R.profile, annual_turnover_inr=2_000_000, years_in_business=6, can_arrange_emd_upto_inr=50_000, msme_registered=True, government_supply_experience=False, oem_held=["HP"], avoid_keywords=["all-in-one"])
 add("K10_known_profile", base() + "," + screen() + "," + analysed("", KNOWN), "SELECT k, grade AS match_level, fit AS verdict, array_to_string(sup, ' | ') AS supporting, array_to_string(gaps, ' | ') AS gaps, len(ver) AS verify FROM ju")
+add("K9_avoid_list", base() + "," + screen() + "," + analysed("", KNOWN), "SELECT k, point FROM (SELECT k, unnest(gaps) AS point FROM ju) WHERE point LIKE 'Matches an avoid-list%'")
 
 # -- L ---------------------------------------------------------------------
 add("L1_amendment_feed", CH, "SELECT 0 AS batch, 'new' AS what, count(*) AS n FROM d1 UNION ALL SELECT 1, action, count(*) FROM mg WHERE action <> 'kept' GROUP BY 2 UNION ALL SELECT 1, field_name, count(*) FROM ch GROUP BY 2")

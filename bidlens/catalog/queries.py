@@ -1037,7 +1037,6 @@ _points("K5_experience_years", "gaps+supporting_points+verification_points", "Re
 _points("K6_past_supply", "gaps+supporting_points+verification_points", "Past %", "We have prior%")
 _points("K7_emd_funding", "gaps+supporting_points+verification_points", "Ability to fund%", "EMD %", "No EMD%", "MSME EMD%")
 _points("K8_security", "verification_points", "Performance security%")
-_points("K9_avoid_list", "gaps", "Matches an avoid-list%")
 
 
 @query
@@ -1066,6 +1065,13 @@ def K10_known_profile(spark, sf):
     )
 
 
+@query
+def K9_avoid_list(spark, sf):
+    """Points on the avoid list of a supplier whose keyword occurs."""
+    df = eligibility.assess_eligibility(analysed(spark, sf).drop("eligibility"), RULES.with_profile(**FULL_PROFILE))
+    return df.select("k", F.explode("eligibility.gaps").alias("point")).filter("point LIKE 'Matches an avoid-list%'")
+
+
 # -- L: incremental --------------------------------------------------------
 @query
 def L1_amendment_feed(spark, sf):

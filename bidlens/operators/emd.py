@@ -29,9 +29,13 @@ def cleaned_document(df: DataFrame) -> DataFrame:
     return df.withColumn("_doc", clean("doc_text"))
 
 
-def quoted(match: Column, extractor: str) -> Column:
-    """Evidence for a matched piece of ``_doc``."""
-    at = F.instr(F.col("_doc"), match) - 1
+def place(*hits: tuple[str, str]) -> Column:
+    """0-based position in ``_doc`` of the first (column, pattern) whose column holds a match; the pattern itself is located."""
+    return F.coalesce(*[F.when(F.col(c).isNotNull(), F.regexp_instr("_doc", F.lit(p)) - 1) for c, p in hits])
+
+
+def quoted(at: Column, extractor: str) -> Column:
+    """Evidence for what stands at a position of ``_doc``."""
     return evidence(F.col("source_url"), "tender documents", snippet("_doc", at), extractor)
 
 
@@ -70,7 +74,6 @@ def analyze_emd(df: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "_amount": parse_amount(figure, cleaned=True),
-            "_at": F.coalesce("_after", "_before"),
             "_decided": portal.isNotNull(),
         }
     )
@@ -86,8 +89,9 @@ def analyze_emd(df: DataFrame) -> DataFrame:
     )
     exempt = F.col("_msme").isNotNull() | F.col("_startup").isNotNull()
     rule = "rule:emd"
-    status_proof = F.when(amount > 0, F.col("_at")).otherwise(F.coalesce("_nil", "_at"))
-    df = df.withColumns({"_status": status, "_status_proof": status_proof})
+    figure_at = place(("_after", rules["amount_after"]), ("_before", rules["amount_before"]))
+    status_proof = F.when(amount > 0, figure_at).otherwise(F.coalesce(place(("_nil", rules["nil"])), figure_at))
+    df = df.withColumns({"_status": status, "_status_proof": status_proof, "_at": figure_at})
     proofs = present(
         *[F.when(doc.rlike(clauses.FLAGS + p), F.lit(n)) for n, p in clauses.EMD_PROOFS.items()]
     )
@@ -97,7 +101,7 @@ def analyze_emd(df: DataFrame) -> DataFrame:
             F.when(
                 ~F.col("_decided") & (F.col("_status") != NOT_STATED), quoted(F.col("_status_proof"), rule)
             ),
-            F.when(F.col("_msme").isNotNull(), quoted(F.col("_msme"), rule)),
+            F.when(F.col("_msme").isNotNull(), quoted(place(("_msme", rules["msme_exempt"])), rule)),
         )
     ).cast(EVIDENCE_LIST)
     amount_evidence = F.when(

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bidlens.functions.lists import add_distinct, present, strings
 from bidlens.functions.text import clean, find
 from bidlens.functions.values import parse_amount, rupees, short_number, to_number
-from bidlens.operators.emd import quoted
+from bidlens.operators.emd import place, quoted
 from bidlens.rules import clauses
 from bidlens.schema import EVIDENCE_LIST, NOT_REQUIRED, NOT_STATED, REQUIRED, evidence
 
@@ -91,7 +91,7 @@ def analyze_security(df: DataFrame) -> DataFrame:
         told = F.col(f"_m_{name}").isNotNull()
         if name == "epbg":
             told = told & portal.isNull()
-        at = F.when(F.col("_nil").rlike(names[name]), F.col("_nil")).otherwise(F.col(f"_m_{name}"))
+        at = F.when(F.col("_nil").rlike(names[name]), place(("_nil", rules["nil"]))).otherwise(place((f"_m_{name}", names[name])))
         return F.when(told, quoted(at, rule))
 
     none = F.array().cast(EVIDENCE_LIST)
@@ -104,9 +104,9 @@ def analyze_security(df: DataFrame) -> DataFrame:
             F.when(
                 portal.isNotNull(),
                 F.array(evidence(F.col("source_url"), "ePBG percentage field", F.col("portal_epbg_text"), "portal_field")),
-            ).when(F.col("_percentage").isNotNull(), F.array(quoted(F.col("_pct"), rule))).otherwise(none).alias("percentage_evidence"),
+            ).when(F.col("_percentage").isNotNull(), F.array(quoted(place(("_pct", rules["percentage"])), rule))).otherwise(none).alias("percentage_evidence"),
             F.col("_amount").alias("amount"),
-            F.when(F.col("_amount").isNotNull(), F.array(quoted(F.col("_amt"), rule))).otherwise(none).alias("amount_evidence"),
+            F.when(F.col("_amount").isNotNull(), F.array(quoted(place(("_amt", rules["amount"])), rule))).otherwise(none).alias("amount_evidence"),
             F.nullif(clean(F.coalesce(hit("validity_near", 1), hit("validity")), normalise=False), F.lit("")).alias("validity"),
             F.nullif(clean(hit("timeline", 1), normalise=False), F.lit("")).alias("submission_timeline"),
             F.when(exempt.isNotNull(), F.array(clean(exempt, normalise=False)))

@@ -33,24 +33,24 @@ SELECT
   CASE WHEN o.o_orderkey % 20 = 19 THEN 'https://tenders.example.com/bid/' ELSE 'https://bidplus.gem.gov.in/showbidDocument/' END
     || CAST(7000000 + o.o_orderkey AS STRING) AS source_url,
   CASE o.o_orderkey % 11
-    WHEN 0 THEN 'Supply of Laptop for office use'
+    WHEN 0 THEN 'Purchase of Laptop sets for the records room'
     WHEN 1 THEN 'Annual Maintenance Contract of Computers and Printers'
     WHEN 2 THEN 'Supply, Installation and Commissioning of CCTV System'
-    WHEN 3 THEN 'Supply of Online UPS 5 KVA'
+    WHEN 3 THEN 'Procurement of Online UPS 3 KVA units'
     WHEN 4 THEN 'Supply of Office Furniture including Computer Table'
     WHEN 5 THEN 'AMC of Lift and Elevator'
     WHEN 6 THEN 'Supply of 50 Laptops and laptop with Computer Table'
-    WHEN 7 THEN 'Supply of patient monitor for ICU'
+    WHEN 7 THEN 'Bedside patient monitor for the recovery ward'
     WHEN 8 THEN 'Wi Fi Access Point and All-in-One PC'
     WHEN 9 THEN 'Hiring of security guard and X-Ray services'
     ELSE 'Supply of equipment' END AS title,
   CASE o.o_custkey % 7
-    WHEN 0 THEN 'Nepal House, Doranda, Ranchi, Jharkhand'
-    WHEN 1 THEN 'Koyla Bhawan, Dhanbad, Jharkhand'
+    WHEN 0 THEN 'Ashok Marg Annexe, Hinoo, Ranchi, Jharkhand'
+    WHEN 1 THEN 'Stores Block, Bank More, Dhanbad, Jharkhand'
     WHEN 2 THEN 'Bokaro Steel City, Bokaro'
     WHEN 3 THEN 'Thiruvananthapuram, Kerala'
     WHEN 4 THEN 'Multiple states across India'
-    WHEN 5 THEN 'Mango Market Complex'
+    WHEN 5 THEN 'Mango Traders Arcade'
     ELSE '' END AS delivery_location,
   CASE WHEN o.o_custkey % 13 = 6 THEN 'Bharat Coking Coal Limited' ELSE c.c_name END AS buyer_organization,
   CASE WHEN o.o_custkey % 5 = 0 THEN 'Ministry of Coal' ELSE '' END AS ministry,
@@ -68,7 +68,7 @@ SELECT
     WHEN 2 THEN 'EMD shall be as per the terms of the bid.'
     WHEN 3 THEN 'The successful bidder shall submit ePBG of 3% of the contract value, valid for 60 days beyond the contract completion date.'
     WHEN 4 THEN 'Performance Security: Not applicable for this bid.'
-    WHEN 5 THEN 'The bidder shall upload a scanned copy of the PAN Card and GST Registration Certificate. An OEM Authorization Letter must be submitted with the bid.'
+    WHEN 5 THEN 'The bidder shall upload copies of the GST Registration Certificate and the PAN Card. An OEM Authorization Letter must be submitted with the bid.'
     WHEN 6 THEN 'Bidders shall submit an ISO Certificate, if applicable. The equipment comprises 40 desktop computer units.'
     WHEN 7 THEN 'EMD of Rs. 1,00,000 is payable. MSME registered bidders are exempted from EMD on submission of a valid Udyam Registration Certificate. DPIIT recognised startups are also exempted.'
     WHEN 8 THEN 'The bidder should have 5 years of past experience in similar work. Minimum average annual turnover of 50 lakh is required. Bidders shall submit copy of work order and completion certificate.'

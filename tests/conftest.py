@@ -37,10 +37,10 @@ def now():
 BASE = {
     "bid_number": "GEM/2026/B/9000001",
     "source_url": "https://bidplus.gem.gov.in/showbidDocument/9000001",
-    "title": "Supply of Laptop for office use",
+    "title": "Purchase of Laptop sets for the records room",
     "category": "Laptop - Business",
     "buyer_organization": "Department of Higher Education, Government of Jharkhand",
-    "buyer_address": "Nepal House, Doranda, Ranchi, Jharkhand 834002",
+    "buyer_address": "Ashok Marg Annexe, Hinoo, Ranchi, Jharkhand 834002",
     "delivery_location": "Ranchi, Jharkhand",
     "portal_status": "", "listing_text": "", "doc_text": "", "ra_enabled": "",
     "quantity": 45.0, "quantity_unit": "Nos", "estimated_value": None, "portal_emd_amount": None, "portal_epbg_pct": None,

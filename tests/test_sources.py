@@ -23,12 +23,12 @@ def card(n, items, category, department, end, kind="card"):
 
 DAY = [
     card(1, "Supply of Laptop (Notebook\n  Computer)", "Laptop", "Higher Education, Ranchi, Jharkhand", "10-09-2026"),
-    card(2, "Annual Maintenance Contract (AMC) of Computers and Printers", "AMC Services", "Koyla Bhawan, Dhanbad, Jharkhand", "07-09-2026"),
-    card(3, "Supply of Office Furniture including Computer Table", "Office Furniture", "Collectorate, Ranchi", "13-09-2026"),
-    card(4, "Supply of Desktop Computer with Monitor", "Desktop Computer", "Thiruvananthapuram, Kerala", "11-09-2026"),
-    card(5, "Supply, Installation of CCTV with NVR and IP Camera", "CCTV", "Bokaro Steel City, Bokaro", "01-10-2026"),
-    card(6, "AMC of Lift and Elevator", "Lift Maintenance", "Bariatu, Ranchi", "12-09-2026"),
-    card(7, "Supply of UPS 5 KVA", "Online UPS", "Electricity Board, Ranchi", "03-09-2026"),
+    card(2, "Annual Maintenance Contract (AMC) of Computers and Printers", "AMC Services", "Stores Block, Bank More, Dhanbad, Jharkhand", "07-09-2026"),
+    card(3, "Supply of wooden benches and a Computer Table", "Office Furniture", "Block Office, Ranchi", "13-09-2026"),
+    card(4, "Supply of Desktop Computer with Monitor", "Desktop Computer", "Kozhikode, Kerala", "11-09-2026"),
+    card(5, "Supply, Installation of CCTV with NVR and IP Camera", "CCTV", "Camp 2, Bokaro", "01-10-2026"),
+    card(6, "Upkeep of passenger lifts", "Lift Maintenance", "Morabadi, Ranchi", "12-09-2026"),
+    card(7, "Supply of UPS 3 KVA", "Online UPS", "Water Works Division, Ranchi", "03-09-2026"),
 ]
 
 
@@ -41,10 +41,10 @@ def row(label, value):
 
 
 DETAILS = {
-    "1": [row("EMD Amount", "Rs. 75,000"), row("ePBG Percentage(%)", "3.00"), row("Estimated Bid Value", "Rs. 31,50,000"), row("MSE Exemption", "Yes"),
+    "1": [row("EMD Amount", "Rs. 64,000"), row("ePBG Percentage(%)", "3.00"), row("Estimated Bid Value", "Rs. 28,40,000"), row("MSE Exemption", "Yes"),
           row("Total Quantity", "45"), row("RA Enabled", "Yes"), row("Unknown", "x"), row("EMD", "ignored")],
     "2": [row("EMD Amount", "0"), row("ePBG Percentage(%)", "0.00"), row("Ministry/State Name", "Ministry of Coal")],
-    "5": [row("EMD Amount", "Rs. 4,50,000"), row("Estimated Bid Value", "Rs. 2,25,00,000"), row("Bid End Date/Time", "soon")],
+    "5": [row("EMD Amount", "Rs. 3,80,000"), row("Estimated Bid Value", "Rs. 1,90,00,000"), row("Bid End Date/Time", "soon")],
 }
 
 
@@ -58,7 +58,7 @@ def test_whole_day_from_saved_pages(spark, rules, now):
     got = {r.bid_number[-1]: r for r in judged.collect()}
     assert {n: r.verdict for n, r in got.items()} == {"1": "accepted", "2": "accepted", "5": "watchlist"}
     assert got["1"].urgency == "HIGH PRIORITY" and got["2"].urgency == "URGENT"
-    assert got["1"].emd.amount == 75000.0 and got["1"].security.percentage == 3.0 and got["1"].estimated_value == 3_150_000.0
+    assert got["1"].emd.amount == 64000.0 and got["1"].security.percentage == 3.0 and got["1"].estimated_value == 2_840_000.0
     assert got["2"].emd.status == "not_required" and got["2"].security.epbg == "not_required" and got["2"].quantity_unit == "Nos"
     assert got["2"].estimated_value is None
     reasons = {r.reason: r.n for r in report.rejections(judged, out).collect()}
