@@ -126,7 +126,7 @@ add("A16_bid_tab", FULL + "," + full("z", "next_day", NOW_2), f"""
 , o AS ({tab('', '2026-09-01', NOW[:10], 'https://docs/1')}), n AS ({tab('z', NOW_2[:10], NOW_2[:10], 'https://docs/2')})
 SELECT * FROM n UNION ALL SELECT * FROM o WHERE "Bid Number" NOT IN (SELECT "Bid Number" FROM n WHERE "Bid Number" <> '')""")
 add("A16_change_tab", CH, f"""SELECT '{NOW_2[:10]}' AS "Detected On", coalesce(z.bid_number, ch.identity_key) AS "Bid Number", field_name AS "Field", old_value AS "Old Value", new_value AS "New Value", note AS "Note" FROM ch LEFT JOIN zju z ON z.identity_key = ch.identity_key AND z.verdict <> 'rejected'""")
-ISSUES = """iss AS (SELECT ts, CASE WHEN event_id % 100 = 0 THEN 'listing' ELSE 'detail' END AS stage, 'https://bidplus.gem.gov.in/' || user_id AS target, 'HTTP_' || (event_id % 7 + 500) AS error_type FROM events WHERE event_type = 'error' AND event_id % 50 = 0),
+ISSUES = """iss AS (SELECT ts, CASE WHEN event_id % 100 = 0 THEN 'listing' ELSE 'detail' END AS stage, 'https://bidplus.gem.gov.in/' || user_id AS target, 'HTTP_' || (event_id % 7 + 500) AS error_type FROM events WHERE event_type = 'error'),
 il AS (SELECT '⚠ GeM ACCESS ISSUE — ' || strftime(ts, '%d %b %Y %H:%M') || ' IST — ' || error_type || ' at ' || stage || ' (' || target || ')' AS line FROM iss),
 deg AS (SELECT DISTINCT 'mode ' || (event_id % 3) AS mode FROM events WHERE event_type = 'error'),
 rj AS (SELECT reason, count(*) AS n FROM (SELECT screen_reason AS reason FROM scr WHERE screen_reason IS NOT NULL UNION ALL SELECT rejected_reason FROM ju WHERE rejected_reason IS NOT NULL) GROUP BY 1)"""

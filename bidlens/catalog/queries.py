@@ -131,7 +131,7 @@ def changed(spark: SparkSession, sf: str) -> DataFrame:
 
 def issues(spark: SparkSession, sf: str) -> DataFrame:
     """Access issues derived from the events table."""
-    e = views.table(spark, sf, "events").filter("event_type = 'error' AND event_id % 50 = 0")
+    e = views.table(spark, sf, "events").filter("event_type = 'error'")
     return e.select(
         F.col("ts").alias("occurred_at"),
         F.when(F.col("event_id") % 100 == 0, "listing").otherwise("detail").alias("stage"),
@@ -585,9 +585,11 @@ def D9_has_text(spark, sf):
 
 @query
 def D10_changes_on_day(spark, sf):
-    c = changed(spark, sf).filter(F.col("detected_on") == TODAY_2)
-    one = c.agg(F.min("identity_key").alias("identity_key"))
-    return c.join(F.broadcast(one), "identity_key", "left_semi").select("field_name", "old_value", "new_value", "note")
+    """The changes of one bid, read from the day's folder of the change log."""
+    root = new_folder(spark, "change-log")
+    snapshots.write_partition(changed(spark, sf).drop("detected_on"), root, "detected_on", TODAY_2)
+    bid = spark.read.parquet(root).agg(F.min("identity_key").alias("key")).first()["key"]
+    return snapshots.changes_for(spark, root, bid, TODAY_2).select("field_name", "old_value", "new_value", "note")
 
 
 @query

@@ -107,10 +107,10 @@ def test_required_documents(make, rows, rules):
     assert requirements.FLAG_NO_DOCUMENTS in got[1].flags and requirements.FLAG_NO_TEXT in got[4].flags
 
 
-def test_cue_lines_are_capped_distinct_and_in_order(make, rows, rules):
+def test_cue_lines_are_all_kept_distinct_and_in_order(make, rows, rules):
     many = " ".join(f"Penalty number {i} applies to this lot." for i in range(20)) + " Penalty number 0 applies to this lot."
     r = rows(clauses(make({"doc_text": many}), rules))[0].requirements
-    assert r.special == [f"Penalty number {i} applies to this lot." for i in range(12)]
+    assert r.special == [f"Penalty number {i} applies to this lot." for i in range(20)]
 
 
 def test_score_bounds_and_reasons(make, rows, rules, now):
@@ -171,3 +171,13 @@ def test_ranking_breaks_ties_and_numbers_without_gaps(spark):
     assert [r["rank"] for r in got] == list(range(1, n + 1))
     key = lambda r: (-r.score.total, r.urgency != "URGENT", r.days_remaining, r.identity_key)
     assert [r.identity_key for r in got] == [r.identity_key for r in sorted(got, key=key)]
+
+
+def test_texts_are_read_to_the_end(make, rows, rules):
+    """A marker, a demand and a place far into a text count like any other."""
+    marker = rules.decision["cancelled_markers"][0]
+    got = rows(make({"listing_text": "x " * 400 + marker}, {"listing_text": "x " * 400}).withColumn("ok", gate.is_active(rules)))
+    assert [r.ok for r in got] == [False, True]
+    long = "The bidder shall upload " + "one more thing that is described at length, " * 30 + "and a copy of the PAN Card."
+    got = rows(clauses(make({"doc_text": long}), rules))
+    assert len(got[0].required_documents) == 1 and got[0].required_documents[0].evidence[0].quote == long
