@@ -7,8 +7,14 @@ distances), and what they hold is verified by exact cosines. A cell's distance
 is measured to its boundary: a point nearer to code i than to the vector's own
 code a lies beyond the plane between them, (|x-i|^2 - |x-a|^2) / (2 |i-a|) away.
 The traversal ends when the two halves' distances exceed the radius that the
-cosine allows, so no later cell can hold a link, and recall is complete; a lower
-``reach`` ends it sooner.
+cosine allows, so no later cell can hold a link and recall is complete; for a
+lower target recall it ends where that share of simulated neighbours at the
+threshold, in random directions from sample vectors, has been reached.
+
+Vectors without clusters have neighbours beyond most planes: with 64 random
+dimensions and cosine 0.93, four fifths of any grid must be visited for complete
+recall. The codebooks are therefore small by default (CODES); clustered vectors,
+or a target recall below 1, make larger ones pay.
 
 Equal vectors form a class and one of them is compared for all. Cells are dealt
 out in blocks, and a block's links leave its task as counts and as a forest
@@ -27,7 +33,7 @@ from pyspark.sql import functions as F
 from bidlens.llm.shared import components, cut
 from bidlens.llm.vectors import deal, matrix, of_usual_length, runs, sample, usable
 
-CODES, SAMPLE, ROUNDS, BLOCK = 32, 20_000, 12, 1024
+CODES, SAMPLE, ROUNDS, BLOCK = 6, 20_000, 12, 1024
 
 
 def codebook(points: np.ndarray, codes: int, seed: int) -> np.ndarray:
@@ -74,6 +80,19 @@ def visits(first: np.ndarray, second: np.ndarray, radius2: float) -> tuple[np.nd
     return i[order], j[order]
 
 
+def stop(units: np.ndarray, books: list[np.ndarray], cosine: float, recall: float) -> float:
+    """The square of the distance at which the traversal ends."""
+    if recall >= 1:
+        return 2 - 2 * cosine + 1e-9
+    aside = np.random.default_rng(6).standard_normal(units.shape)
+    aside -= (aside * units).sum(axis=1)[:, None] * units
+    near = cosine * units + (1 - cosine**2) ** 0.5 * aside / np.maximum(np.linalg.norm(aside, axis=1), 1e-12)[:, None]
+    reached = np.zeros(len(units))
+    for x, y, codes in zip(halves(units), halves(near), books, strict=True):
+        reached += bounds(x, codes)[1][np.arange(len(x)), bounds(y, codes)[0]]
+    return min(2 - 2 * cosine, float(np.quantile(reached, recall))) + 1e-9
+
+
 _LINKS = pa.schema([("id", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
 
 
@@ -89,7 +108,7 @@ def forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         rows = again
 
 
-def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str | None = "label", cosine: float = 0.93, codes: int = CODES, reach: float = 1.0) -> DataFrame:
+def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", label: str | None = "label", cosine: float = 0.93, codes: int = CODES, recall: float = 1.0) -> DataFrame:
     """One row per row of ``df``: (id, n_links, component_id, kept).
 
     Vectors of equal labels are linked if their cosine, in double precision, is at
@@ -112,8 +131,9 @@ def near_vectors(df: DataFrame, id: str = "vec_id", vector: str = "embedding", l
     taken = sample(reps, "id", "v", SAMPLE)
     if not len(taken):
         return rows.select(F.col("id").alias(id), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"), F.lit(True).alias("kept"))
-    books = [codebook(x, codes, k) for k, x in enumerate(halves(taken / np.linalg.norm(taken, axis=1)[:, None]))]
-    radius2 = reach**2 * (2 - 2 * cosine) + 1e-9
+    taken /= np.linalg.norm(taken, axis=1)[:, None]
+    books = [codebook(x, codes, k) for k, x in enumerate(halves(taken))]
+    radius2 = stop(taken, books, cosine, recall)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
