@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from bidlens.llm.shared import unused
+
 HEAD, END, ASSISTANT = "### ", "</turn>\n", "assistant"
 TURNS = "array<struct<role string, text string>>"
 #: Known fields of records; what a record lacks is null.
@@ -47,8 +49,9 @@ def records(df: DataFrame, column: str) -> DataFrame:
     Columns that already have a known field's name are replaced.
     """
     schema = ", ".join(f"`{k}` {v}" for k, v in FIELDS.items())
-    parsed = df.withColumn("_parsed", F.from_json(column, schema))
-    return parsed.withColumns({k: F.col(f"_parsed.{k}") for k in FIELDS}).drop("_parsed")
+    held = unused(df, "_parsed")
+    parsed = df.withColumn(held, F.from_json(column, schema))
+    return parsed.withColumns({k: F.col(held).getField(k) for k in FIELDS}).drop(held)
 
 
 def _filled(part: str):
@@ -95,14 +98,15 @@ def canonical(df: DataFrame, turns: str = "turns") -> DataFrame:
     elements has no path, and so no layout. Columns that are no known field are
     kept; one that has the output's name is replaced.
     """
-    out = df.withColumn("_print", fingerprint(_paths(df)))
+    kept = unused(df, "_print")
+    out = df.withColumn(kept, fingerprint(_paths(df)))
     choice = F.lit(None).cast(TURNS)
     fields = set(df.columns)
     for paths, mapping in MAPPINGS.items():
         if {p.partition("[")[0] for p in paths} <= fields:
             hashed = fingerprint(F.array_sort(F.array(*map(F.lit, paths))))
-            choice = F.when(F.col("_print") == hashed, _mapped(mapping)).otherwise(choice)
-    return out.withColumn(turns, choice).drop("_print")
+            choice = F.when(F.col(kept) == hashed, _mapped(mapping)).otherwise(choice)
+    return out.withColumn(turns, choice).drop(kept)
 
 
 def escape(text: Column) -> Column:
@@ -131,7 +135,8 @@ def write(df: DataFrame, turns: str = "turns", formatted: str = "formatted", mas
     """
     head = lambda t: F.concat(F.lit(HEAD), escape_role(t["role"]), F.lit("\n"))
     written = F.transform(turns, lambda t: F.struct(head(t).alias("head"), escape(t["text"]).alias("text"), (t["role"] == ASSISTANT).alias("counts")))
-    out = df.withColumn("_written", written)
+    parts = unused(df, "_written")
+    out = df.withColumn(parts, written)
     start = F.struct(F.lit(1).alias("at"), F.array().cast("array<struct<start int, length int>>").alias("spans"))
 
     def add(state: Column, t: Column) -> Column:
@@ -140,8 +145,8 @@ def write(df: DataFrame, turns: str = "turns", formatted: str = "formatted", mas
         spans = F.when(t["counts"], F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
         return F.struct((at + F.char_length(t["text"]) + len(END)).alias("at"), spans.alias("spans"))
 
-    out = out.withColumn(formatted, F.array_join(F.transform("_written", lambda t: F.concat(t["head"], t["text"], F.lit(END))), ""))
-    return out.withColumn(mask, F.aggregate("_written", start, add, lambda s: s["spans"])).drop("_written")
+    out = out.withColumn(formatted, F.array_join(F.transform(parts, lambda t: F.concat(t["head"], t["text"], F.lit(END))), ""))
+    return out.withColumn(mask, F.aggregate(parts, start, add, lambda s: s["spans"])).drop(parts)
 
 
 def read_turns(formatted: Column) -> Column:

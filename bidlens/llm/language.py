@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from bidlens.llm.samples import bounded
+from bidlens.llm.shared import unused
 
 WINDOW, BATCH = 256, 128
 WIDTHS, FILTERS, EMBEDDED = (2, 3, 4), 16, 8
@@ -172,5 +173,6 @@ def predicted(text: Column, net: Network | None) -> Column:
 def identify(df: DataFrame, net: Network | None, text: str = "text", lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """``df`` with the predicted language and its probability; columns of those names are replaced."""
     rest = [c for c in df.columns if c.lower() not in (lang.lower(), score.lower())]
-    out = df.select(*rest, predicted(F.col(text), net).alias("_p"))
-    return out.select(*rest, F.col("_p.lang").alias(lang), F.col("_p.score").alias(score))
+    both = unused(df, "_predicted")
+    out = df.select(*rest, predicted(F.col(text), net).alias(both))
+    return out.select(*rest, F.col(both).getField("lang").alias(lang), F.col(both).getField("score").alias(score))

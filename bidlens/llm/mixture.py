@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from bidlens.llm.shared import cut, n_words
+from bidlens.llm.shared import cut, n_words, unused
 
 LEVELS, BITS, HEX = 3, 10, 15
 MOST = 3
@@ -78,10 +78,10 @@ def plan(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "s
 
 def mix(df: DataFrame, id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = (1, 2, 3), share: float = 1.0) -> DataFrame:
     """The mix itself: each row of ``df`` as often as it is taken. Rows of one id have one hash and so one count."""
-    copies = plan(df, id, text, source, weights, share).groupBy("id", "source").agg(F.max("copies").alias("copies"))
-    rows = df.join(copies.withColumnRenamed("source", "_source"), df[id].eqNullSafe(copies["id"]) & df[source].cast("string").eqNullSafe(F.col("_source")))
-    rows = rows.where("copies > 0").select(*[df[c] for c in df.columns], F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
-    return rows.drop("_copy")
+    key, name, copies = (unused(df, x) for x in ("_mix_id", "_mix_source", "_mix_copies"))
+    counts = plan(df, id, text, source, weights, share).groupBy(F.col("id").alias(key), F.col("source").alias(name)).agg(F.max("copies").alias(copies))
+    rows = df.join(counts, df[id].eqNullSafe(counts[key]) & df[source].cast("string").eqNullSafe(counts[name]))
+    return rows.where(F.col(copies) > 0).withColumn(key, F.explode(F.sequence(F.lit(1), copies))).select(*[df[c] for c in df.columns])
 
 
 def taken(df: DataFrame) -> DataFrame:
