@@ -6,11 +6,12 @@ sets form a class, and one of them stands for it. In each of TREES independent
 trees, a node picks one of the functions at random (or, now and then, two, so
 that a pair at the threshold goes on in one branch on average) and documents
 branch by their token under it. A node of at most LEAF documents is compared
-exhaustively on the sketches; larger ones branch on. What looks similar is
-confirmed on the full sets. Links are sought twice: first the nearest
-neighbours within small nodes and a central document's within groups that stay
-large, then, once those have been joined, whatever lies between different
-components. So a group of copies costs links in proportion to its size.
+exhaustively on the sketches, and the groups that these connect are confirmed on
+the full sets, side by side in one place; larger nodes branch on. Nodes that are
+still large after DEPTH levels hold near copies: their documents are held
+against a central one, and what that does not join to the rest is held against
+the whole node, block by block. Links leave a task as a forest, never as all
+pairs of a group.
 
 A pair at the threshold t meets in a given tree's first level with probability
 t, so of TREES trees one at least catches it with 1 - (1 - t)^TREES (0.99999
@@ -28,9 +29,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
+from bidlens.llm.multi_index import forest
 from bidlens.llm.shared import components, cut
+from bidlens.llm.vectors import deal, runs
 
-SKETCH, TREES, LEAF, DEPTH, BLOCK = 64, 8, 32, 10, 1024
+SKETCH, TREES, STARS, LEAF, DEPTH, BLOCK = 64, 8, 2, 32, 5, 512
 #: Standard deviations that an estimate of similarity may lie below the threshold.
 MARGIN = 4.5
 _RANDOM = np.random.default_rng(20_240_611)
@@ -111,160 +114,150 @@ def branches(rows: DataFrame, percent: int) -> DataFrame:
     return rows.withColumn("node", F.xxhash64("node", "_p", F.expr("substring(sketch, 4 * _p + 1, 4)"))).drop("_p")
 
 
-def trees(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None]:
-    """Rows (node, id) of small nodes; rows (top, node, id) of nodes that stay large after DEPTH levels.
+def trees(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """Rows (node, id) of small nodes; if nodes stay large after DEPTH levels, their rows (top, node, id) and STARS trees' rows (node, id) of their tops.
 
-    ``top`` is the tree's first node above. Each level is one narrow table in the shared folder.
+    A ``top`` is the tree's first node above. Each level is one narrow table in the shared folder.
     """
-    roots = reps.select("id", "sketch", F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(TREES)])).alias("node"))
-    rows = branches(roots, percent).select(F.col("node").alias("top"), "node", "id")
-    small, large = [], None
+    roots = reps.select("id", "sketch", F.posexplode(F.array(*[F.xxhash64(F.lit(t)) for t in range(TREES)])).alias("tree", "node"))
+    rows = branches(roots, percent).select("tree", F.col("node").alias("top"), "node", "id")
+    small, large, first = [], None, None
     for level in range(1, DEPTH + 1):
         rows = cut(rows, f"level{level}")
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         rows = cut(rows.join(sizes, "node"), f"nodes{level}")
+        first = rows if level == 1 else first
         small.append(rows.where(F.col("size") <= LEAF).select("node", "id"))
         large = rows.where(F.col("size") > LEAF)
-        if level == DEPTH or large.isEmpty():
+        if large.isEmpty():
+            large = None
             break
-        rows = branches(large.join(reps.select("id", "sketch"), "id"), percent).select("top", "node", "id")
+        if level < DEPTH:
+            rows = branches(large.join(reps.select("id", "sketch"), "id"), percent).select("tree", "top", "node", "id")
     union = small[0]
     for more in small[1:]:
         union = union.union(more)
-    return union, (None if large.isEmpty() else large)
+    if large is None:
+        return union, None, None
+    above = large.where(F.col("tree") < STARS).select(F.col("top").alias("node")).distinct()
+    needed = first.join(above, "node", "left_semi").select("node", "id")
+    return union, cut(large.select("top", "node", "id").distinct(), "large"), cut(needed, "tops")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
-    """Consecutive rows that agree in the first ``keys`` columns, from batches sorted by them."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        table = table if rest is None else pa.concat_tables([rest, table])
-        if not len(table):
-            continue
-        values = [table.column(i).to_numpy() for i in range(keys)]
-        change = np.zeros(len(table) - 1, bool)
-        for v in values:
-            change |= v[1:] != v[:-1]
-        bounds = [0, *(np.flatnonzero(change) + 1)]
-        for a, b in zip(bounds, bounds[1:], strict=False):
-            yield table.slice(a, b - a)
-        rest = table.slice(bounds[-1])
-    if rest is not None:
-        yield rest
+_LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+_CELLS = pa.schema([("cell", pa.int64()), ("id", pa.int64())])
 
 
-def _sketch_rows(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+def candidates(rows: DataFrame, least: int) -> DataFrame:
+    """Groups (cell, id) of documents in small nodes that their sketches connect, compared exhaustively.
 
+    A cell's number is the digest of its ids: the same group from several trees is one.
+    """
+    import hashlib
 
-_PAIRS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells: list[np.ndarray] = []
+        ids_out: list[np.ndarray] = []
+        for node in runs(batches, 1):
+            ids = node.column("id").to_numpy()
+            tokens = np.frombuffer(b"".join(node.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+            roots, _ = forest((tokens[:, None, :] == tokens[None, :, :]).sum(axis=2) >= least)
+            for root in np.flatnonzero(np.bincount(roots) > 1):
+                group = np.sort(ids[roots == root])
+                cells.append(np.full(len(group), np.frombuffer(hashlib.blake2b(group.tobytes(), digest_size=8).digest(), np.int64)[0]))
+                ids_out.append(group)
+            if len(cells) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(ids_out))], schema=_CELLS)
+                cells, ids_out = [], []
+        if cells:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(ids_out))], schema=_CELLS)
+
+    rows = rows.select("node", "id", "sketch").repartition("node").sortWithinPartitions("node", "id")
+    return rows.mapInArrow(run, "cell long, id long").distinct()
+
+
+def exact(asks: list[np.ndarray], base: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which sets of ``asks`` (rows) and ``base`` (columns) have 100 * intersection >= percent * union."""
+    tokens, place = np.unique(np.concatenate(base), return_inverse=True)
+    starts = np.cumsum([0, *map(len, base)])[:-1]
+    sizes = np.array([len(x) for x in base])
+    linked = np.zeros((len(asks), len(base)), bool)
+    marked = np.zeros(len(tokens), np.int64)
+    for i, own in enumerate(asks):
+        at = np.minimum(np.searchsorted(tokens, own), len(tokens) - 1)
+        at = at[tokens[at] == own]
+        marked[at] = 1
+        common = np.add.reduceat(marked[place], starts)
+        marked[at] = 0
+        linked[i] = 100 * common >= percent * (len(own) + sizes - common)
+    return linked
+
+
+def _sets(table: pa.Table) -> list[np.ndarray]:
+    return [np.frombuffer(x, np.uint64) for x in table.column("s").to_pylist()]
+
+
+def confirm(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) within small cells, by their full sets: a forest of each cell's links."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for cell in runs(batches, 1):
+            ids, own = cell.column("id").to_numpy(), _sets(cell)
+            roots, _ = forest(exact(own, own, percent))
+            far = np.flatnonzero(roots != np.arange(len(ids)))
+            if len(far):
+                yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[roots[far]])], schema=_LINKS)
 
-def _pairs(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    if found:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([f[i] for f in found]).astype(np.int64)) for i in (0, 1)], schema=_PAIRS)
+    rows = cells.join(sets, "id").select("cell", "id", "s").repartition("cell").sortWithinPartitions("cell", "id")
+    return rows.mapInArrow(run, "a long, b long")
 
 
-def compare_small(rows: DataFrame, least: int, across: bool) -> DataFrame:
-    """Candidate pairs (a, b) within small nodes, compared exhaustively.
+def confirm_across(base: DataFrame, asks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between the two sides' documents of a node (rows node, id, component) of different components, by their full sets.
 
-    ``across``: every pair of different components (column ``component``);
-    else each document with the most similar one before it.
+    The sides are dealt out in blocks that meet pairwise, so no task holds a whole
+    node, and a block pair's links leave it as a forest.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = []
-        for node in _runs(batches, 1):
-            ids, tokens = node.column("id").to_numpy(), _sketch_rows(node)
-            alike = np.tril((tokens[:, None, :] == tokens[None, :, :]).sum(axis=2), -1)
-            if across:
-                component = node.column("component").to_numpy()
-                x, y = np.nonzero((alike >= least) & (component[:, None] != component[None, :]))
-            else:
-                y = alike.argmax(axis=1)
-                x = np.flatnonzero(alike[np.arange(len(ids)), y] >= least)
-                y = y[x]
-            if len(x):
-                found.append((np.minimum(ids[x], ids[y]), np.maximum(ids[x], ids[y])))
-            if len(found) >= 4096:
-                yield from _pairs(found)
-                found = []
-        yield from _pairs(found)
-
-    columns = ["node", "id", "sketch", *(["component"] if across else [])]
-    sorted_rows = rows.select(*columns).repartition("node").sortWithinPartitions("node", "id")
-    return sorted_rows.mapInArrow(run, "a long, b long")
-
-
-def compare_rest(rows: DataFrame, least: int) -> DataFrame:
-    """Candidate pairs between different components within nodes that stayed large.
-
-    Where a node's documents are mostly one component by now, only the rest are
-    compared with all, block by block: queries and documents of a node are dealt
-    out over blocks of about BLOCK each, so that no task holds a whole node.
+        for cell in runs(batches, 3):
+            split = int((cell.column("_asks").to_numpy() == 0).sum())
+            if split in (0, len(cell)):
+                continue
+            ids, component, own = cell.column("id").to_numpy(), cell.column("component").to_numpy(), _sets(cell)
+            linked = exact(own[split:], own[:split], percent) & (component[split:, None] != component[None, :split])
+            held = np.flatnonzero(linked.any(axis=0))
+            if len(held):
+                rows, columns = forest(linked[:, held])
+                far = np.flatnonzero(rows != np.arange(len(rows)))
+                asked = ids[split:]
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([asked[far], ids[held]])), pa.array(np.concatenate([asked[rows[far]], asked[columns]]))], schema=_LINKS)
+
+    sides = [side.select("node", "id", "component").join(sets, "id") for side in (base, asks)]
+    return deal(*sides, ["node"], BLOCK).mapInArrow(run, "a long, b long")
+
+
+def labelled(rows: DataFrame, joined: DataFrame) -> DataFrame:
+    return rows.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def confirm_large(large: DataFrame, tops: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links within nodes that stayed large. tops: rows (node, id) of the first levels' nodes above them, in STARS trees.
+
+    First all documents of a first-level node are held against a central one of it,
+    one that stayed with most others through all levels. What is not yet one
+    component in a last-level node is then held against the whole node: every
+    document outside its main component against all, so nothing is left uncompared.
     """
+    centres = large.groupBy("top").agg(F.min_by("id", F.xxhash64("top", "id")).alias("id")).withColumnRenamed("top", "node")
+    centres = centres.join(tops.select("node").distinct(), "node", "left_semi")
+    star = confirm_across(tops.withColumn("component", F.col("id")), centres.withColumn("component", F.col("id")), sets, percent)
+    links = links.union(cut(star, "star"))
+    rows = cut(labelled(large.select("node", "id"), components(links)), "rest")
     counts = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
-    nodes = counts.groupBy("node").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("size"), F.max("n").alias("most"))
-    nodes = nodes.where("most < size").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("parts", F.ceil((F.col("size") - F.col("most")) / BLOCK).cast("int"))
-    rows = rows.join(nodes, "node")
-    base = rows.select("node", "id", "sketch", "component", F.lit(0).alias("asks"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    asks = rows.where("component <> main").select("node", "id", "sketch", "component", F.lit(1).alias("asks"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("id", F.lit(3)), "parts").cast("int").alias("part"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for cell in _runs(batches, 3):
-            asks = cell.column("asks").to_numpy().astype(bool)
-            ids, component, tokens = cell.column("id").to_numpy(), cell.column("component").to_numpy(), _sketch_rows(cell)
-            found = []
-            for i in np.flatnonzero(asks):
-                hit = np.flatnonzero(~asks & (component != component[i]) & ((tokens == tokens[i]).sum(axis=1) >= least))
-                found.append((np.minimum(ids[hit], ids[i]), np.maximum(ids[hit], ids[i])))
-            yield from _pairs(found)
-
-    cells = base.unionByName(asks).select("node", "block", "part", "asks", "id", "component", "sketch")
-    cells = cells.repartition("node", "block", "part").sortWithinPartitions("node", "block", "part", "asks", "id")
-    return cells.mapInArrow(run, "a long, b long")
-
-
-def star(large: DataFrame, reps: DataFrame, trees_of: DataFrame, least: int) -> DataFrame:
-    """Candidate pairs of a large group's documents with a central one: it stayed with most others through all levels of a tree."""
-    centre = large.groupBy("top").agg(F.min_by("id", F.xxhash64("top", "id")).alias("a"))
-    pairs = trees_of.join(centre, "top").where("id <> a").select("a", "id").distinct()
-    pairs = pairs.join(reps.select("id", "sketch"), "id").join(reps.select(F.col("id").alias("a"), F.col("sketch").alias("other")), "a")
-
-    @arrow_udf("int")
-    def agree(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for x, y in batches:
-            ours, theirs = (np.frombuffer(b"".join(v.to_pylist()), np.uint32).reshape(-1, SKETCH) for v in (x, y))
-            yield pa.array((ours == theirs).sum(axis=1).astype(np.int32))
-
-    pairs = pairs.withColumn("n", agree("sketch", "other")).where(F.col("n") >= least)
-    return pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b"))
-
-
-def confirm(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The candidate pairs whose full sets have 100 * intersection >= percent * union. texts: rows (id, text)."""
-
-    @arrow_udf("binary")
-    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([shingles(x.as_py(), words).tobytes() for x in batch], pa.binary())
-
-    @arrow_udf("boolean")
-    def linked(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for left, right in batches:
-            out = []
-            for x, y in zip(left, right, strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                out.append(100 * common >= percent * (len(x) + len(y) - common))
-            yield pa.array(out, pa.bool_())
-
-    pairs = cut(pairs.distinct(), "pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    sets = cut(texts.join(needed, "id").select("id", tokens("text").alias("s")), "sets")
-    both = pairs.join(sets.select(F.col("id").alias("b"), F.col("s").alias("t")), "b").join(sets.select(F.col("id").alias("a"), "s"), "a")
-    return cut(both.where(linked("s", "t")).select("a", "b"), "links")
+    main = counts.groupBy("node").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
+    rows = rows.join(cut(main.select("node", F.col("main.component").alias("main")), "main"), "node")
+    return links.union(cut(confirm_across(rows, rows.where("component <> main"), sets, percent), "more"))
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -284,25 +277,21 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     chosen = classes.groupBy("rep").agg(F.min(F.struct("s1", "s2")).alias("s")).select(F.col("rep").alias("id"), "s.s1", "s.s2")
     reps = cut(full.join(chosen, ["id", "s1", "s2"]).dropDuplicates(["id"]).select("id", "s1", "s2", "sketch"), "reps")
     least = least_agreement(percent)
-    nodes, large = trees(reps, percent)
-    nodes = cut(nodes.join(reps.select("id", "sketch"), "id"), "leaves")
+    nodes, large, tops = trees(reps, percent)
+    cells = cut(candidates(nodes.join(reps.select("id", "sketch"), "id"), least), "groups")
+    needed = cells.select("id") if large is None else cells.select("id").union(tops.select("id")).union(large.select("id"))
+
+    @arrow_udf("binary")
+    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array([shingles(x.as_py(), words).tobytes() for x in batch], pa.binary())
+
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    first = compare_small(nodes, least, across=False)
+    sets = cut(texts.join(needed.distinct(), "id").select("id", tokens("text").alias("s")), "sets")
+    links = cut(confirm(cells, sets, percent), "links")
     if large is not None:
-        large = cut(large.select("top", "node", "id"), "large")
-        tops = large.select("top").distinct()
-        within = branches(reps.select("id", "sketch", F.explode(F.array(*[F.xxhash64(F.lit(t)) for t in range(TREES)])).alias("node")), percent)
-        within = within.select(F.col("node").alias("top"), "id").join(tops, "top", "left_semi")
-        first = first.union(star(large, reps, within, least))
-    links = confirm(first, texts, words, percent)
+        links = confirm_large(large, tops, links, sets, percent)
     joined = cut(components(links), "components")
-    known = lambda rows: rows.join(joined.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    rest = compare_small(known(nodes), least, across=True)
-    if large is not None:
-        rest = rest.union(compare_rest(known(large.select("node", "id").join(reps.select("id", "sketch"), "id")), least))
-    more = confirm(rest, texts, words, percent)
-    if not more.isEmpty():
-        joined = cut(components(links.union(more)), "components")
     rep_of = classes.join(joined, classes["rep"] == joined["node"], "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
     out = docs.join(rep_of, (docs["s1"] == rep_of["s1"]) & (docs["s2"] == rep_of["s2"]) & (docs["n"] > 0), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
