@@ -1,6 +1,6 @@
 """Toxicity by a linear classifier on character n-grams scaled by naive Bayes log-count ratios.
 
-A text's features are the n-grams (SIZES characters, within words and with their
+A text's features are the n-grams (SIZES bytes, within words and with their
 ends marked) that it holds, hashed into FEATURES. Each is scaled by how much
 more often toxic than other texts hold it (Wang and Manning 2012); a logistic
 regression on the scaled features is fitted on a bounded sample of labelled
@@ -10,7 +10,6 @@ texts (PER_CLASS of each label) and applied to whole texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -19,45 +18,57 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from bidlens.llm.samples import bounded
-from bidlens.llm.shared import Memory
 
 SIZES, FEATURES = (3, 4, 5), 1 << 18
-PER_CLASS, ROUNDS, PENALTY, SMOOTH = 3_000, 120, 1e-2, 5
-WORDS, EDGES = 300_000, ".,;:!?\"'()[]{}<>*-_/\\"
-
-
-def word_features(word: str) -> bytes:
-    marked = f"^{word.strip(EDGES)}$".encode()
-    grams = {crc32(marked[i : i + n]) % FEATURES for n in SIZES for i in range(max(1, len(marked) - n + 1))}
-    return np.fromiter(grams, np.int32, len(grams)).tobytes()
+PER_CLASS, ROUNDS, PENALTY, SMOOTH = 1_500, 120, 1e-2, 5
+EDGES = ".,;:!?\"'()[]{}<>*-_/\\"
+
+
+def word_features(words: list[str]) -> np.ndarray:
+    """The features of all n-grams within words; a line feed marks a word's start and end."""
+    data = np.frombuffer(("\n" + "\n".join(words) + "\n").encode(), np.uint8).astype(np.uint32)
+    edge = data == 10
+    found = []
+    for n in SIZES:
+        size = len(data) - n + 1
+        if size < 1:
+            continue
+        value, inner = np.full(size, n, np.uint32), np.zeros(size, bool)
+        for k in range(n):
+            value = (value ^ data[k : k + size]) * np.uint32(16_777_619)  # FNV-1a
+            if 0 < k < n - 1:
+                inner |= edge[k : k + size]
+        value = value[~inner]
+        found.append((value ^ (value >> np.uint32(15))) % np.uint32(FEATURES))
+    return np.concatenate(found).astype(np.int32) if found else np.empty(0, np.int32)
 
 
 class Reader:
     """A Python worker's view of texts as features."""
 
     def __init__(self):
-        self.words = Memory(word_features, WORDS)
-        self.last = np.zeros(FEATURES, np.int64)
+        self.last = np.zeros(FEATURES, np.int32)
 
     def features(self, text: str | None) -> np.ndarray:
         """The distinct features of a whole text."""
-        found = np.frombuffer(b"".join(map(self.words.__getitem__, set((text or "").lower().split()))), np.int32)
-        places = np.arange(len(found))
+        words = {word.strip(EDGES) for word in set((text or "").lower().split())}
+        found = word_features(list(words)) if words else np.empty(0, np.int32)
+        places = np.arange(len(found), dtype=np.int32)
         self.last[found] = places  # of equal features, the last place stays
         return found[self.last[found] == places]
 
 
 def train(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights of the features and the offset. toxic: 0 or 1 for each text."""
-    index = np.concatenate(features).astype(np.int64)
+    index = np.concatenate(features)
     sizes = np.array([len(f) for f in features])
-    owner = np.repeat(np.arange(len(features)), sizes)
+    owner = np.repeat(np.arange(len(features), dtype=np.int32), sizes)
     toxic = toxic.astype(np.float64)
     # Smoothed by SMOOTH texts dealt to the labels by their sizes: an n-gram that few texts hold has a ratio near 1.
     held = [(np.bincount(index, weights=part[owner], minlength=FEATURES) + SMOOTH * part.mean()) / part.sum() for part in (toxic, 1 - toxic)]
-    ratio = np.log(held[0]) - np.log(held[1])
+    ratio = (np.log(held[0]) - np.log(held[1])).astype(np.float32)
     scaled = ratio[index]
-    w, offset = np.zeros(FEATURES), 0.0
+    w, offset = np.zeros(FEATURES, np.float32), 0.0
     balance = np.where(toxic == 1, 0.5 / max(1.0, toxic.sum()), 0.5 / max(1.0, (1 - toxic).sum()))
     first, second, low, high = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
@@ -67,7 +78,7 @@ def train(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, fl
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
         low, high = 0.9 * low + 0.1 * error.sum(), 0.999 * high + 0.001 * error.sum() ** 2
         rate = 0.05 * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
-        w -= rate * first / (np.sqrt(second) + 1e-8)
+        w -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
         offset -= rate * low / (high**0.5 + 1e-8)
     return (w * ratio).astype(np.float32), float(offset)
 
