@@ -25,7 +25,7 @@ from bidlens.llm.shared import unused
 
 WINDOW, BATCH = 256, 128
 WIDTHS, FILTERS, EMBEDDED = (2, 3, 4), 16, 8
-PER_LANGUAGE, WINDOWS, EPOCHS = 1_200, 3, 8
+PER_LANGUAGE, WINDOWS, EPOCHS, STEPS = 1_200, 3, 8, 400
 UNKNOWN = "und"
 
 
@@ -85,7 +85,8 @@ def train(rows: np.ndarray, labels: list[str], seed: int = 5) -> Network:
     first = {k: np.zeros_like(getattr(net, k)) for k in names}
     second = {k: np.zeros_like(getattr(net, k)) for k in names}
     step = 0
-    for epoch in range(EPOCHS):
+    epochs = max(EPOCHS, -(-STEPS // -(-len(rows) // BATCH)))  # few windows are seen more often
+    for epoch in range(epochs):
         order = rng.permutation(len(rows))
         for i in range(0, len(order), BATCH):
             at = order[i : i + BATCH]
@@ -108,7 +109,7 @@ def train(rows: np.ndarray, labels: list[str], seed: int = 5) -> Network:
             embedding[0] = 0
             grads = {"embedding": embedding, "filters": np.einsum("nf,nfi->if", back, taken) * mask, "bias": back.sum(axis=0), "weights": hidden.T @ error, "offset": error.sum(axis=0)}
             step += 1
-            rate = 0.01 * (1 - epoch / EPOCHS) * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
+            rate = 0.01 * (1 - epoch / epochs) * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
             for k, g in grads.items():
                 first[k] = 0.9 * first[k] + 0.1 * g
                 second[k] = 0.999 * second[k] + 0.001 * g * g
