@@ -60,23 +60,28 @@ class Reader:
 
 def train(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
     """Weights of the features and the offset. toxic: 0 or 1 for each text."""
-    index = np.concatenate(features)
-    sizes = np.array([len(f) for f in features])
-    owner = np.repeat(np.arange(len(features), dtype=np.int32), sizes)
     toxic = toxic.astype(np.float64)
+    # Groups of texts, so that what is computed for each feature of each text stays small.
+    groups = []
+    for i in range(0, len(features), 250):
+        part = features[i : i + 250]
+        groups.append((slice(i, i + len(part)), np.concatenate(part), np.repeat(np.arange(len(part), dtype=np.int32), [len(f) for f in part])))
     # Smoothed by SMOOTH texts dealt to the labels by their sizes: an n-gram that few texts hold has a ratio near 1.
-    held = [(np.bincount(index, weights=part[owner], minlength=FEATURES) + SMOOTH * part.mean()) / part.sum() for part in (toxic, 1 - toxic)]
-    ratio = (np.log(held[0]) - np.log(held[1])).astype(np.float32)
-    scaled = ratio[index]
+    held = [SMOOTH * part.mean() + sum(np.bincount(index, weights=part[at][owner], minlength=FEATURES) for at, index, owner in groups) for part in (toxic, 1 - toxic)]
+    ratio = (np.log(held[0] / toxic.sum()) - np.log(held[1] / (1 - toxic).sum())).astype(np.float32)
     w, offset = np.zeros(FEATURES, np.float32), 0.0
     balance = np.where(toxic == 1, 0.5 / max(1.0, toxic.sum()), 0.5 / max(1.0, (1 - toxic).sum()))
     first, second, low, high = np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 0.0
     for step in range(1, ROUNDS + 1):
-        score = np.bincount(owner, weights=w[index] * scaled, minlength=len(features)) + offset
-        error = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - toxic) * balance
-        grad = np.bincount(index, weights=error[owner] * scaled, minlength=FEATURES) + PENALTY * w
+        grad, slope, scaled = np.zeros(FEATURES), 0.0, w * ratio
+        for at, index, owner in groups:
+            score = np.bincount(owner, weights=scaled[index], minlength=at.stop - at.start) + offset
+            error = (1 / (1 + np.exp(-np.clip(score, -50, 50))) - toxic[at]) * balance[at]
+            grad += np.bincount(index, weights=error[owner], minlength=FEATURES)
+            slope += error.sum()
+        grad = grad * ratio + PENALTY * w
         first, second = 0.9 * first + 0.1 * grad, 0.999 * second + 0.001 * grad**2
-        low, high = 0.9 * low + 0.1 * error.sum(), 0.999 * high + 0.001 * error.sum() ** 2
+        low, high = 0.9 * low + 0.1 * slope, 0.999 * high + 0.001 * slope**2
         rate = 0.05 * (1 - 0.999**step) ** 0.5 / (1 - 0.9**step)
         w -= (rate * first / (np.sqrt(second) + 1e-8)).astype(np.float32)
         offset -= rate * low / (high**0.5 + 1e-8)
