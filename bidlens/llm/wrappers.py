@@ -11,10 +11,10 @@ partial wrappers of a host are folded again, first by host and salt, then by
 host, one after the other: a host with a third of all pages sends a few small
 rows from each task.
 
-The wrapper tells where a host's pages keep their text: in the article or main
-element if it has one with text, else in the innermost element that holds nearly
-all text outside menus, headers, footers and the like. From each page, that
-element's text slots are read, without those of such parts.
+The wrapper tells where a host's pages keep their text: in the lowest element
+that holds all article and main elements with text, or else anywhere. From each
+page, that element's text slots are read, without those of menus, headers,
+footers and the like.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-SALTS, MOST_TEXT = 64, 0.8
+SALTS = 64
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "xmp", "noembed", "noframes"}
@@ -224,31 +224,32 @@ def read(page: str | None) -> tuple[Element, list[tuple[str, str]]]:
 
 
 def main_path(root: Element) -> str:
-    """Where a wrapper keeps its main text; "" for the whole page."""
-    level = [("", root)]
+    """Where a wrapper keeps its main text: the lowest element with all its articles and mains that have text; "", the whole page, if it has none."""
+    found: list[list[str]] = []
+    level: list[tuple[list[str], Element]] = [([], root)]
     while level:
-        found = [path for path, e in level if path.rpartition("/")[2].partition(".")[0] in ("article", "main") and e[0]]
-        if found:
-            return found[0]
-        level = [(f"{path}/{kind}", e) for path, x in level for kind, e in x[4].items() if kind != "#"]
-    path, e = "", root
-    while True:
-        inner = max(((x[0], k) for k, x in e[4].items() if k != "#" and k.partition(".")[0] in _SCOPE and not x[2]), default=(0, ""))
-        if not inner[0] or inner[0] < MOST_TEXT * e[0]:
-            return path
-        path, e = f"{path}/{inner[1]}", e[4][inner[1]]
+        below = [([*path, kind], e) for path, x in level for kind, e in x[4].items() if kind != "#" and e[0]]
+        found += [path for path, _ in below if path[-1].partition(".")[0] in ("article", "main")]
+        level = [(path, e) for path, e in below if path[-1].partition(".")[0] not in ("article", "main")]
+    shared = []
+    for kinds in zip(*found):
+        if len(set(kinds)) > 1:
+            break
+        shared.append(kinds[0])
+    return "".join(f"/{kind}" for kind in shared)
 
 
 def has(root: Element, path: str) -> bool:
+    """Whether a page has text below ``path``."""
     for kind in path.split("/")[1:]:
         if kind not in root[4]:
             return False
         root = root[4][kind]
-    return True
+    return root[0] > 0
 
 
 def main_text(page: str | None, path: str | None) -> str:
-    """The text blocks below ``path``, joined by line feeds; a page without that element is read by its own wrapper."""
+    """The text blocks below ``path``, joined by line feeds; a page without text there is read by its own wrapper."""
     root, blocks = read(page)
     if path is None or not has(root, path):
         path = main_path(root)

@@ -66,3 +66,21 @@ def test_wrapper_of_a_host(spark):
     df = spark.createDataFrame([(i, "https://u@h.example:80/p", f"<html><body>{p}</body></html>") for i, p in enumerate(pages * 20)], "page_id long, url string, html string")
     row = wrappers.wrappers(df).collect()
     assert [(r["host"], r["wrapper"], r["main"]) for r in row] == [("h.example", "<html><body><article>(<h1>#</h1>)?(<p>#</p>)+(<ul><li>#</li></ul>)?</article></body></html>", "/html/body/article")]
+
+
+def _texts(spark, *pages, url="http://h.example/"):
+    df = spark.createDataFrame([(i, f"{url}{i}", f"<html><body>{p}</body></html>") for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return [r["text"] for r in wrappers.extract(df, wrappers.wrappers(df)).orderBy("page_id").collect()]
+
+
+def test_no_text_is_left_out_for_its_share(spark):
+    many = " ".join(["word"] * 200)
+    assert _texts(spark, f"<div id=c><h1>h</h1><p>lead</p><ul><li>{many}</li></ul></div>") == [f"h\nlead\n{many}"]
+    assert _texts(spark, f"<div id=c><p>lead</p><table><tr><td>{many}</td></tr></table></div>") == [f"lead\n{many}"]
+    assert _texts(spark, f"<div class=a>{many}</div><div class=b>x</div>", f"<div class=a>x</div><div class=b>{many} more</div>") == [f"{many}\nx", f"x\n{many} more"]
+
+
+def test_all_articles_of_a_page(spark):
+    assert _texts(spark, "<p>out</p><div><article class=a>one</article><article class=b>two</article></div><p>out</p>") == ["one\ntwo"]
+    assert _texts(spark, "<main>one</main><div><article>two</article></div>", "<main></main><p>three</p>") == ["one\ntwo", "three"]
+    assert _texts(spark, "<article>one</article><p>out</p>", "<article></article><p>here</p>") == ["one", "here"]
