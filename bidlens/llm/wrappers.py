@@ -31,7 +31,9 @@ from pyspark.sql.functions import arrow_udf
 
 SALTS = 64
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+#: One whole attribute; a value without its closing quote goes to the end of the tag.
+_ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>][^\s>]*)))?|\"[^\"]*\"|'[^']*'")
+_USED = set("class id role hidden aria-hidden style".split())
 _RAW = {"script", "style", "noscript", "template", "textarea", "iframe", "svg", "select", "xmp", "noembed", "noframes"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that stand within a line of text; all others start a new block.
@@ -49,7 +51,12 @@ _SIDE_NAMES = re.compile(
 
 
 def _attributes(text: str) -> dict[str, str]:
-    return {name.lower(): a or b or c for name, a, b, c in _ATTRIBUTE.findall(text)} if "=" in text or "hidden" in text else {}
+    """The attributes that are looked at, by exact name; of several with a name the first counts."""
+    found: dict[str, str] = {}
+    for name, a, b, c in _ATTRIBUTE.findall(text) if text else ():
+        if name.lower() in _USED:
+            found.setdefault(name.lower(), a or b or c)
+    return found
 
 
 def _side(tag: str, attributes: dict[str, str]) -> bool:

@@ -84,3 +84,13 @@ def test_all_articles_of_a_page(spark):
     assert _texts(spark, "<p>out</p><div><article class=a>one</article><article class=b>two</article></div><p>out</p>") == ["one\ntwo"]
     assert _texts(spark, "<main>one</main><div><article>two</article></div>", "<main></main><p>three</p>") == ["one\ntwo", "three"]
     assert _texts(spark, "<article>one</article><p>out</p>", "<article></article><p>here</p>") == ["one", "here"]
+
+
+def test_attributes_by_whole_names():
+    cases = {
+        ' href="/hidden-gems"': {}, ' title="a hidden gem"': {}, ' href="/x?id=related"': {}, ' data-id="comments"': {}, " data-x='a id=related b'": {}, " href=/x?id=related": {}, ' title="hidden': {},
+        ' CLASS="a b" id=x hidden': {"class": "a b", "id": "x", "hidden": ""}, "hidden/": {"hidden": ""}, " role = 'main' ARIA-HIDDEN=true": {"role": "main", "aria-hidden": "true"}, " class=a class=b": {"class": "a"}, "": {},
+    }
+    assert {text: wrappers._attributes(text) for text in cases} == cases
+    page = '<p>see <a href="/hidden-gems">the gems</a> and <a href="/x?id=related">more</a></p><div data-id="comments"><p title="a hidden gem">kept</p></div><p hidden>no</p>'
+    assert wrappers.main_text(page, None) == "see the gems and more\nkept"
