@@ -11,10 +11,11 @@ partial wrappers of a host are folded again, first by host and salt, then by
 host, one after the other: a host with a third of all pages sends a few small
 rows from each task.
 
-The wrapper tells where a host's pages keep their text: in the lowest element
-that holds all article and main elements with text, or else anywhere. From each
-page, that element's text slots are read, without those of menus, headers,
-footers and the like.
+Text is aligned too, as tokens of path and text: what all pages of a host share is
+template, what differs is a slot. The wrapper tells where the pages keep their
+text: in the lowest element that holds all article and main elements with text,
+or else anywhere. From each page, that element's slots are read, without those of
+menus, headers, footers and the like, which are told by tag, role, class and id.
 """
 
 from __future__ import annotations
@@ -22,7 +23,9 @@ from __future__ import annotations
 import html as entities
 import json
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Collection, Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 SALTS = 64
+#: So many different pages of a host tell template text from slots; with fewer, versions of one page would lose what they share.
+LEAST_PAGES = 3
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
 #: One whole attribute; a value without its closing quote goes to the end of the tag.
 _ATTRIBUTE = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)(?:\"|\Z)|'([^']*)(?:'|\Z)|([^\s\"'>][^\s>]*)))?|\"[^\"]*\"|'[^']*'")
@@ -246,6 +251,39 @@ def main_path(root: Element) -> str:
     return "".join(f"/{kind}" for kind in shared)
 
 
+# A host's wrapper: [root element, the least hashes of its different pages (LEAST_PAGES at most), text tokens of all pages so far].
+Wrapper = list
+
+
+def tokens(blocks: list[tuple[str, str]]) -> list[int]:
+    """A token for each block: a hash of its path, its text and how often both stood before, so that tokens of a page differ."""
+    seen: Counter[tuple[str, str]] = Counter()
+    out = []
+    for block in blocks:
+        out.append(int.from_bytes(blake2b(f"{block[0]}\0{block[1]}\0{seen[block]}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
+        seen[block] += 1
+    return out
+
+
+def page_wrapper(page: str | None) -> Wrapper:
+    root, blocks = read(page)
+    found = sorted(tokens(blocks))
+    return [root, [int.from_bytes(blake2b(json.dumps(found).encode(), digest_size=8).digest(), "big", signed=True)] if found else [], found]
+
+
+def merge(a: Wrapper, b: Wrapper) -> Wrapper:
+    """Elements are aligned, and text that either lacks is no longer template; pages without text say nothing of it."""
+    align(a[0], b[0])
+    a[2] = sorted(set(a[2]) & set(b[2])) if a[1] and b[1] else a[2] or b[2]
+    a[1] = sorted({*a[1], *b[1]})[:LEAST_PAGES]
+    return a
+
+
+def template(wrapper: Wrapper) -> list[int]:
+    """Tokens of the text that all pages of a host share; all other text is a slot."""
+    return wrapper[2] if len(wrapper[1]) >= LEAST_PAGES else []
+
+
 def has(root: Element, path: str) -> bool:
     """Whether a page has text below ``path``."""
     for kind in path.split("/")[1:]:
@@ -255,12 +293,20 @@ def has(root: Element, path: str) -> bool:
     return root[0] > 0
 
 
-def main_text(page: str | None, path: str | None) -> str:
-    """The text blocks below ``path``, joined by line feeds; a page without text there is read by its own wrapper."""
+def main_text(page: str | None, path: str | None, template: Collection[int] = ()) -> str:
+    """The slots' text blocks below ``path``, joined by line feeds.
+
+    A page without text there is read by its own wrapper, one that holds nothing
+    but template text there is read with it.
+    """
     root, blocks = read(page)
     if path is None or not has(root, path):
         path = main_path(root)
-    return "\n".join(text for where, text in blocks if where == path or where.startswith(f"{path}/"))
+    inside = [(i, text) for i, (where, text) in enumerate(blocks) if where == path or where.startswith(f"{path}/")]
+    if template:
+        known, found = set(template), tokens(blocks)
+        inside = [(i, text) for i, text in inside if found[i] not in known] or inside
+    return "\n".join(text for _, text in inside)
 
 
 def host(url: Column) -> Column:
@@ -271,16 +317,16 @@ def host(url: Column) -> Column:
 _ROWS = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
 
 
-def _emit(found: dict[str, Element]) -> pa.RecordBatch:
+def _emit(found: dict[str, Wrapper]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([json.dumps(e, ensure_ascii=False) for e in found.values()], pa.string())], schema=_ROWS)
 
 
 def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found: dict[str, Element] = {}
+        found: dict[str, Wrapper] = {}
         for name, page in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            root, _ = read(page.as_py())
-            found[name] = align(found[name], root) if name in found else root
+            other = page_wrapper(page.as_py())
+            found[name] = merge(found[name], other) if name in found else other
         if found:
             yield _emit(found)
 
@@ -292,7 +338,7 @@ def _fold_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             other = json.loads(text.as_py())
             if key == name:
-                wrapper = align(wrapper, other)
+                wrapper = merge(wrapper, other)
             else:
                 if wrapper is not None:
                     yield _emit({name: wrapper})
@@ -311,15 +357,16 @@ def infer(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
 
 
 def wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """One row per host: host, wrapper (the regular expression), main (path of the element with the main text)."""
+    """One row per host: host, wrapper (the regular expression), main (path of the element with the main text), template (tokens of the text that all its pages share)."""
 
-    @arrow_udf("struct<wrapper string, main string>")
+    @arrow_udf("struct<wrapper string, main string, template array<bigint>>")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            roots = [json.loads(x.as_py()) for x in batch]
-            yield pa.StructArray.from_arrays([pa.array(["".join(expression(k, e) for k, e in r[4].items() if k != "#") for r in roots], pa.string()), pa.array([main_path(r) for r in roots], pa.string())], names=["wrapper", "main"])
+            found = [json.loads(x.as_py()) for x in batch]
+            written = ["".join(expression(k, e) for k, e in w[0][4].items() if k != "#") for w in found]
+            yield pa.StructArray.from_arrays([pa.array(written, pa.string()), pa.array([main_path(w[0]) for w in found], pa.string()), pa.array([template(w) for w in found], pa.list_(pa.int64()))], names=["wrapper", "main", "template"])
 
-    return infer(df, url, html).select("host", describe("wrapper").alias("d")).select("host", "d.wrapper", "d.main")
+    return infer(df, url, html).select("host", describe("wrapper").alias("d")).select("host", "d.wrapper", "d.main", "d.template")
 
 
 def extract(df: DataFrame, found: DataFrame, url: str = "url", html: str = "html", text: str = "text") -> DataFrame:
@@ -333,11 +380,11 @@ def extract(df: DataFrame, found: DataFrame, url: str = "url", html: str = "html
     """
 
     @arrow_udf("string")
-    def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for pages, paths in batches:
-            yield pa.array([main_text(p.as_py(), m.as_py()) for p, m in zip(pages, paths, strict=True)], pa.string())
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for pages, paths, shared in batches:
+            yield pa.array([main_text(p.as_py(), m.as_py(), t.as_py() or ()) for p, m, t in zip(pages, paths, shared, strict=True)], pa.string())
 
     rest = [c for c in df.columns if c.lower() != text.lower()]
     rows = df.select(F.struct(*[df[c] for c in df.columns]).alias("_row"), host(df[url]).alias("host"))
-    rows = rows.join(found.select("host", "main"), "host", "left")
-    return rows.select("_row", run(F.col("_row").getField(html).cast("string"), F.col("main")).alias("_text")).select(*[F.col("_row").getField(c).alias(c) for c in rest], F.col("_text").alias(text))
+    rows = rows.join(found.select("host", "main", "template"), "host", "left")
+    return rows.select("_row", run(F.col("_row").getField(html).cast("string"), F.col("main"), F.col("template")).alias("_text")).select(*[F.col("_row").getField(c).alias(c) for c in rest], F.col("_text").alias(text))

@@ -94,3 +94,19 @@ def test_attributes_by_whole_names():
     assert {text: wrappers._attributes(text) for text in cases} == cases
     page = '<p>see <a href="/hidden-gems">the gems</a> and <a href="/x?id=related">more</a></p><div data-id="comments"><p title="a hidden gem">kept</p></div><p hidden>no</p>'
     assert wrappers.main_text(page, None) == "see the gems and more\nkept"
+
+
+def test_text_that_all_pages_share_is_template(spark):
+    page = "<article><div class=x1><ul><li>Home</li><li>About</li></ul></div><h1>{0}</h1><p>text {0}</p><p>Read on</p></article>"
+    pages = [page.format(x) for x in "abc"]
+    assert _texts(spark, *pages) == [f"{x}\ntext {x}" for x in "abc"]
+    # Without article, and a sentence that also stands in a slot of one page stays there.
+    pages = [f"<div class=x1><p>Menu</p></div><div class=x2><p>{x}</p><p>Read on</p></div>" for x in ("a", "b", "c</p><p>Read on")]
+    assert _texts(spark, *pages) == ["a", "b", "c\nRead on"]
+
+
+def test_text_stays_where_pages_tell_no_template(spark):
+    # Repeated rows are one page, two versions of a page aren't enough, empty pages say nothing, and no page is read as nothing.
+    assert _texts(spark, *["<p>one</p><p>two</p>"] * 5, "") == ["one\ntwo"] * 5 + [""]
+    assert _texts(spark, "<p>one</p><p>two</p>", "<p>one</p><p>three</p>") == ["one\ntwo", "one\nthree"]
+    assert _texts(spark, "<p>one</p>", "<p>one</p><p>two</p>", "<p>one</p><p>three</p>", "") == ["one", "two", "three", ""]
