@@ -328,7 +328,7 @@ def A16_change_tab(spark, sf):
 
 @query
 def A16_run_tab(spark, sf):
-    return exports.run_rows(run_manifest(spark, sf), "https://docs/1")
+    return exports.run_rows(run_manifest(spark, sf), report.access_issues(issues(spark, sf), "run-1"), "https://docs/1")
 
 
 # -- B: predicates ---------------------------------------------------------
@@ -555,7 +555,7 @@ def D5_run_manifest(spark, sf):
     counts = F.transform(F.array_sort(F.map_entries("rejected")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return m.select(
         "run_id", "queries", "listings_seen", "candidates", "accepted", "watchlist", joined(counts, ",").alias("rejected"),
-        "new_tenders", "updated_tenders", F.size("access_issues").alias("issues"), joined("degraded_modes", ",").alias("degraded"),
+        "new_tenders", "updated_tenders", F.aggregate("issues", F.lit(0).cast("long"), lambda n, e: n + e["n"]).alias("issues"), joined("degraded_modes", ",").alias("degraded"),
     )
 
 

@@ -166,7 +166,7 @@ def manifest(
     judged: DataFrame, screened_out: DataFrame, merged: DataFrame, issues: DataFrame, degraded: DataFrame,
     queries: int, details: int, documents: int, run_id: str, started: str, finished: str | None,
 ) -> DataFrame:
-    """One row about the run."""
+    """One row about the run. Issues are counted by stage and error type; their lines are rows of ``access_issues``."""
     rejected = rejections(judged, screened_out).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("rejected")
     )
@@ -180,7 +180,8 @@ def manifest(
         F.count_if(F.col("action") == "new").alias("new_tenders"),
         F.count_if(F.col("action") == "updated").alias("updated_tenders"),
     )
-    trouble = issues.agg(F.array_sort(F.collect_list(issue_line())).alias("access_issues"))
+    kinds = issues.groupBy("stage", "error_type").agg(F.count("*").alias("n"))
+    trouble = kinds.agg(F.array_sort(F.collect_list(F.struct("stage", "error_type", "n"))).alias("issues"))
     modes = degraded.agg(F.array_sort(F.collect_set("mode")).alias("degraded_modes"))
     row = verdicts.crossJoin(out).crossJoin(rejected).crossJoin(stored).crossJoin(trouble).crossJoin(modes)
     return row.select(
@@ -188,10 +189,15 @@ def manifest(
         F.lit(queries).alias("queries"), (F.col("_judged") + F.col("_out")).alias("listings_seen"),
         (F.col("_judged") + F.col("_out")).alias("candidates"), F.lit(details).alias("details_fetched"),
         F.lit(documents).alias("documents_downloaded"), "accepted", "watchlist", "rejected", "new_tenders",
-        "updated_tenders", "access_issues", "degraded_modes",
+        "updated_tenders", "issues", "degraded_modes",
     )
 
 
+def access_issues(issues: DataFrame, run_id: str) -> DataFrame:
+    """``run_id, line``: one row per access issue of the run, in the order of the lines."""
+    return issues.select(F.lit(run_id).alias("run_id"), issue_line().alias("line")).orderBy("line")
+
+
 def reachable(issues: DataFrame) -> DataFrame:
     """False if any issue arose while listing."""
     return issues.agg((F.count_if(F.col("stage") == "listing") == 0).alias("source_reachable"))

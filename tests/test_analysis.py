@@ -3,7 +3,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bidlens.operators import classify, eligibility, emd, gate, geo, ranking, requirements, scoring, security
-from bidlens.plans import daily
+from bidlens.plans import daily, report
+from bidlens.sources import exports
 
 
 def clauses(df, rules):
@@ -181,3 +182,22 @@ def test_texts_are_read_to_the_end(make, rows, rules):
     long = "The bidder shall upload " + "one more thing that is described at length, " * 30 + "and a copy of the PAN Card."
     got = rows(clauses(make({"doc_text": long}), rules))
     assert len(got[0].required_documents) == 1 and got[0].required_documents[0].evidence[0].quote == long
+
+
+def test_issues_are_rows_and_the_manifest_counts_them(spark):
+    judged = spark.createDataFrame([("accepted", None)], "verdict string, rejected_reason string")
+    screened = spark.createDataFrame([("closed",)], "screen_reason string")
+    stored, modes = spark.createDataFrame([("new",)], "action string"), spark.createDataFrame([("m",)], "mode string")
+    rows = [(f"2026-09-06 08:{i % 60:02d}:00", "listing" if i % 4 == 0 else "detail", f"t{i}", "HTTP_500") for i in range(200)]
+    issues = spark.createDataFrame(rows + rows[:1], "occurred_at string, stage string, target string, error_type string").withColumn("occurred_at", F.col("occurred_at").cast("timestamp"))
+
+    def row(some):
+        return report.manifest(judged, screened, stored, some, modes, 1, 2, 3, "r", "a", "b")
+
+    assert [tuple(x) for x in row(issues).first()["issues"]] == [("detail", "HTTP_500", 150), ("listing", "HTTP_500", 51)]
+    assert row(issues.limit(0)).first()["issues"] == []
+    out = report.access_issues(issues, "r").collect()
+    assert len(out) == 201 and {r["run_id"] for r in out} == {"r"} and [r["line"] for r in out] == sorted(r["line"] for r in out)
+    tab = exports.run_rows(row(issues), report.access_issues(issues, "r")).first()
+    assert tab["Access Issues"] == " | ".join(r["line"] for r in out)
+    assert exports.run_rows(row(issues.limit(0)), report.access_issues(issues.limit(0), "r")).first()["Access Issues"] == ""
