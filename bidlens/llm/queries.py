@@ -8,7 +8,9 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from bidlens.llm import bpe, chat, chosen_path, language, learned_partitions, lines, mixture, multi_index, toxicity, wrappers
+from bidlens.llm import (
+    bpe, centroids, chat, chosen_path, language, learned_partitions, line_quality, lines, mixture, multi_index, runs, toxicity, wrappers,
+)
 from bidlens.llm.shared import cut, id_hash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -99,3 +101,25 @@ def op10_nb_ngrams(spark: SparkSession, folder: str) -> DataFrame:
     model = toxicity.fit(toxicity.labelled(docs, labels.where(~held_out)))
     out = toxicity.score(docs.select("doc_id", "text", held_out.alias("held_out")), model).drop("text")
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def op11_word_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op12_line_crf(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = table(spark, folder, "documents").select("doc_id", "text"), table(spark, folder, "labels")
+    held_out = id_hash(F.col("doc_id"), 5) == 0
+    chain = line_quality.fit(line_quality.labelled(docs, labels.where(~held_out)))
+    out = line_quality.score(docs.select("doc_id", "text", held_out.alias("held_out")), chain).drop("text")
+    return out.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+@query
+def op13_subvectors(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster(table(spark, folder, "embeddings"))
+
+
+ORACLES["op13_subvectors"] = centroids.sql()
