@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from bidlens.catalog.oracle import (
-    B, BC, BD, BG, BS, FULL, NOW, NOW_2, ORACLES, R, add, analysed, arr, at, base, capability, clean, distinct_ci, full, g,
+    B, BC, BD, BG, BS, FULL, KEY, LISTING_HEAD, LISTING_SAYS, NOW, NOW_2, ORACLES, R, add, analysed, classified, judged, arr, at, base, capability, clean, distinct_ci, full, g,
     gate, hits, located, official, q, rupees, score_text, screen, security_line, some, urgency, days, active,
 )
 from bidlens.plans import views
 
 J = "array_to_string({0}, '; ')".format
 DUCK = views.DUCK
-V = {n: views.sql(n, DUCK) for n in ("bids", "details", "hits", "names", "links", "payloads")}
+V = {n: views.sql(n, DUCK) for n in ("bids", "details", "hits", "names", "links", "payloads", "notices", "files")}
 
 # -- A ---------------------------------------------------------------------
 PORTAL = "'https://bidplus.gem.gov.in"
@@ -66,11 +66,12 @@ DOCS = "df AS (SELECT 'doc:' || CAST(floor(doc_id / 3) AS BIGINT) AS identity_ke
 add("A10_document_text", DOCS, "SELECT identity_key, length(t) AS chars, md5(t) AS digest FROM (SELECT identity_key, string_agg(chr(10) || '===== ' || name || ' (unknown) =====' || chr(10) || text, chr(10) ORDER BY pos) AS t FROM df WHERE text_chars > 0 GROUP BY 1)")
 ORACLES["A11_document_admission"] = """SELECT doc_id, CASE WHEN NOT big THEN sha256(text) END AS sha256, CASE WHEN big THEN 'failed' WHEN doc_id % 3 = 2 THEN 'skipped' ELSE 'text' END AS extraction_method,
  CASE WHEN big THEN 'download failed (see access issues)' WHEN doc_id % 3 = 2 THEN 'unsupported content type ''image/png''' ELSE '' END AS error FROM (SELECT *, false AS big FROM documents)"""
-add("A12_detail_budget", B, "SELECT k, true AS in_budget, CAST(NULL AS VARCHAR) AS flag FROM bids")
-add("A12_document_budget", DOCS, """, r AS (SELECT *, true AS ok FROM df), x AS (SELECT identity_key, count(*) AS documents, count(*) FILTER (ok) AS documents_read, bool_or(text_chars > 0 AND ok) AS has FROM r GROUP BY 1)
+add("A12_detail_budget", B, "SELECT k, n <= 250 AS in_budget, CASE WHEN n > 250 THEN 'Detail page not fetched (per-run budget reached) — figures below come from the search listing only.' END AS flag FROM (SELECT k, row_number() OVER (ORDER BY k) AS n FROM bids)")
+add("A12_document_budget", DOCS, """, r AS (SELECT *, row_number() OVER (ORDER BY pos) <= 400 AS ok FROM df), x AS (SELECT identity_key, count(*) AS documents, count(*) FILTER (ok) AS documents_read, bool_or(text_chars > 0 AND ok) AS has FROM r GROUP BY 1)
 SELECT identity_key, documents, documents_read, CASE WHEN documents_read BETWEEN 1 AND documents - 1 THEN 'Not all tender documents were read (per-run download budget reached) — review the remaining attachments manually.' END AS budget_flag,
  CASE WHEN documents_read > 0 AND NOT has THEN 'No tender document text could be extracted — every requirement below comes from the portal listing only.' END AS no_text_flag FROM x""")
 _queries = list({x.lower(): x for gr in reversed(R.groups) for x in reversed(gr["queries"])}.values())
+N_QUERIES = len(_queries)
 _q1 = list(dict.fromkeys(x.lower() for gr in R.groups for x in gr["queries"]))
 add("A13_rule_tables", B + f", h AS (SELECT {hits(chr(39) + ' ' + chr(39) + ' || lower(title) || ' + chr(39) + ' ' + chr(39), _q1)} AS q FROM bids), n AS (SELECT unnest(q) AS q, 1 AS one FROM h)",
     f"SELECT t.query, count(n.one) AS bids FROM (SELECT unnest({arr(_queries)}) AS query) t LEFT JOIN n ON n.q = lower(t.query) GROUP BY 1")
@@ -88,7 +89,7 @@ def flat(p: str, today: str) -> str:
  estimated_value, total AS score, band AS score_band, grade AS match_level, 'open' AS status, source_url, '' AS report_doc_url, '{today}' AS first_seen_on, '{today}' AS last_seen_on FROM {p}ju WHERE verdict <> 'rejected'"""
 
 
-add("A15_flat_rows", FULL, flat("", NOW[:10]))
+add("A15_flat_rows", FULL, flat("", NOW[:10]).replace(" FROM ju", ", concat_ws('|', identity_key, bid_number, verdict, CAST(total AS VARCHAR), array_to_string(doc_keys, ',')) AS payload FROM ju"))
 TWO = FULL + "," + full("z", "next_day", NOW_2) + f""",
 d1 AS ({flat('', NOW[:10])}), d2 AS ({flat('z', NOW_2[:10])}),
 mg AS (SELECT coalesce(t.identity_key, p.identity_key) AS identity_key, CASE WHEN t.identity_key IS NULL THEN 'kept' WHEN p.identity_key IS NULL THEN 'new' ELSE 'updated' END AS action,
@@ -114,6 +115,13 @@ for _f, _l in (("bid_end_at", "Closing date"), ("emd_status", "EMD requirement")
     _diffs.append(f"SELECT t.identity_key, {q(_l)} AS field_name, {_show('p.' + _f)} AS old_value, {_show('t.' + _f)} AS new_value, CASE WHEN {_blank} THEN 'first time this was stated on the portal' ELSE '' END AS note FROM d1 p JOIN d2 t USING (identity_key) WHERE NOT ({_same})")
 CH = TWO + ", ch AS (" + " UNION ALL ".join(_diffs) + ")"
 
+add("A14_all_sinks", CH, f"""SELECT 'bids' AS sink, coalesce(t.day, p.day) AS day, coalesce(t.urg, p.urg) AS what, count(*) AS n
+ FROM (SELECT identity_key, urg, '{NOW_2[:10]}' AS day FROM zju WHERE verdict <> 'rejected') t FULL OUTER JOIN (SELECT identity_key, urg, '{NOW[:10]}' AS day FROM ju WHERE verdict <> 'rejected') p USING (identity_key) GROUP BY ALL
+ UNION ALL SELECT 'changes', '{NOW_2[:10]}', field_name, count(*) FROM ch GROUP BY ALL
+ UNION ALL SELECT 'runs', '{NOW[:10]}', unnest(['bids', 'new', 'updated', 'changes']), unnest([(SELECT count(*) FROM d1), (SELECT count(*) FROM d1), 0, 0])
+ UNION ALL SELECT 'runs', '{NOW_2[:10]}', unnest(['bids', 'new', 'updated', 'changes']), unnest([(SELECT count(*) FROM d2), (SELECT count(*) FROM mg WHERE action = 'new'), (SELECT count(*) FROM mg WHERE action = 'updated'), (SELECT count(*) FROM ch)])
+ UNION ALL SELECT 'bids of the first version', '{NOW[:10]}', 'all', count(*) FROM d1""")
+
 
 def tab(p: str, first: str, last: str, url: str) -> str:
     return f"""SELECT '{first}' AS "Date Found", '{last}' AS "Last Seen", title AS "Tender Title", bid_number AS "Bid Number", '' AS "Tender ID", buyer_organization AS "Buyer", ministry AS "Department", array_to_string(cats, ', ') AS "Product Category",
@@ -130,9 +138,9 @@ ISSUES = """iss AS (SELECT ts, CASE WHEN event_id % 100 = 0 THEN 'listing' ELSE
 il AS (SELECT '⚠ GeM ACCESS ISSUE — ' || strftime(ts, '%d %b %Y %H:%M') || ' IST — ' || error_type || ' at ' || stage || ' (' || target || ')' AS line FROM iss),
 deg AS (SELECT DISTINCT 'mode ' || (event_id % 3) AS mode FROM events WHERE event_type = 'error'),
 rj AS (SELECT reason, count(*) AS n FROM (SELECT screen_reason AS reason FROM scr WHERE screen_reason IS NOT NULL UNION ALL SELECT rejected_reason FROM ju WHERE rejected_reason IS NOT NULL) GROUP BY 1)"""
-add("A16_run_tab", TWO + "," + ISSUES, """SELECT 'run-1' AS "Run ID", '2026-09-06T08:30:00+05:30' AS "Started", '2026-09-06T09:00:00+05:30' AS "Finished", 89 AS "Queries", (SELECT count(*) FROM scr) AS "Bids Seen", 250 AS "Details Fetched", 400 AS "Documents",
+add("A16_run_tab", TWO + "," + ISSUES, f"""SELECT 'run-1' AS "Run ID", '2026-09-06T08:30:00+05:30' AS "Started", '2026-09-06T09:00:00+05:30' AS "Finished", {N_QUERIES} AS "Queries", (SELECT count(*) FROM scr) AS "Bids Seen", (SELECT count(*) FROM ju WHERE bid_number <> '') AS "Details Fetched", (SELECT count(*) FROM documents) AS "Documents",
  (SELECT count(*) FROM ju WHERE verdict = 'accepted') AS "Accepted", (SELECT count(*) FROM ju WHERE verdict = 'watchlist') AS "Watchlist", (SELECT count(*) FROM mg WHERE action = 'new') AS "New", (SELECT count(*) FROM mg WHERE action = 'updated') AS "Updated",
- (SELECT string_agg(line, ' | ' ORDER BY line) FROM il) AS "Access Issues", (SELECT string_agg(mode, ', ' ORDER BY mode) FROM deg) AS "Degraded Modes", 'https://docs/1' AS "Report Link" """)
+ (SELECT string_agg(error_type || ' at ' || stage || ' (' || n || ')', ' | ' ORDER BY stage, error_type) FROM (SELECT stage, error_type, count(*) AS n FROM iss GROUP BY ALL)) AS "Access Issues", (SELECT string_agg(mode, ', ' ORDER BY mode) FROM deg) AS "Degraded Modes", 'https://docs/1' AS "Report Link" """)
 
 # -- B ---------------------------------------------------------------------
 add("B1_host_filter", f"l AS ({V['links']})", f"SELECT k, link, {official('link')} AS official FROM l")
@@ -184,7 +192,7 @@ _mine = arr(d.lower() for d in R.profile["service_districts"])
 add("C10_district_coverage", BS, f"SELECT k, CASE WHEN len(lds) > 0 THEN CAST(list_has_any(list_transform(lds, lambda x: lower(x)), {_mine}) AS VARCHAR) ELSE 'not known' END AS serves FROM scr")
 LINE = "'⚠ ' || field_name || ' changed from ' || old_value || ' to ' || new_value"
 add("C11_change_labels", CH, f"""SELECT ch.identity_key, coalesce(max(z.bid_number || ' — ' || z.title), ch.identity_key) AS label, string_agg({LINE}, chr(10) ORDER BY {LINE}) AS lines
- FROM ch LEFT JOIN (SELECT * FROM zju WHERE verdict <> 'rejected' AND dr % 3 <> 0) z ON z.identity_key = ch.identity_key GROUP BY ch.identity_key""")
+ FROM ch LEFT JOIN (SELECT * FROM zju WHERE verdict <> 'rejected') z ON z.identity_key = ch.identity_key GROUP BY ch.identity_key""")
 _labels_of = " ".join(f"WHEN {q(a)} THEN {q(b)}" for a, b in R.decision["rejection_labels"].items())
 add("C12_rejection_labels", FULL + "," + ISSUES, f"SELECT reason, CAST(n AS BIGINT) AS n, CASE reason {_labels_of} ELSE replace(reason, '_', ' ') END AS label FROM rj")
 
@@ -196,12 +204,12 @@ add("D2_counters", FULL, f"SELECT {COUNTS} {ACC}")
 add("D3_emd_totals", FULL, f"SELECT estatus AS emd_status, count(*) AS n, sum(CASE WHEN estatus = 'required' THEN eamount END) AS known_amount {ACC} GROUP BY 1")
 DEMAND = f"(SELECT name, count(*) AS n, (SELECT count(*) {ACC}) AS total FROM (SELECT unnest(list_transform(docs, lambda x: x.n)) AS name {ACC}) GROUP BY 1)"
 add("D4_document_demand", FULL, f"SELECT * FROM {DEMAND}")
-add("D5_run_manifest", TWO + "," + ISSUES, """SELECT 'run-1' AS run_id, 89 AS queries, (SELECT count(*) FROM scr) AS listings_seen, (SELECT count(*) FROM scr) AS candidates, (SELECT count(*) FROM ju WHERE verdict = 'accepted') AS accepted, (SELECT count(*) FROM ju WHERE verdict = 'watchlist') AS watchlist,
+add("D5_run_manifest", TWO + "," + ISSUES, f"""SELECT 'run-1' AS run_id, {N_QUERIES} AS queries, (SELECT count(*) FROM ju WHERE bid_number <> '') AS details_fetched, (SELECT count(*) FROM documents) AS documents_downloaded, (SELECT count(*) FROM scr) AS listings_seen, (SELECT count(*) FROM scr) AS candidates, (SELECT count(*) FROM ju WHERE verdict = 'accepted') AS accepted, (SELECT count(*) FROM ju WHERE verdict = 'watchlist') AS watchlist,
  (SELECT string_agg(reason || '=' || n, ',' ORDER BY reason) FROM rj) AS rejected, (SELECT count(*) FROM mg WHERE action = 'new') AS new_tenders, (SELECT count(*) FROM mg WHERE action = 'updated') AS updated_tenders, (SELECT count(*) FROM iss) AS issues, (SELECT string_agg(mode, ',' ORDER BY mode) FROM deg) AS degraded""")
 add("D6_new_and_updated", TWO, "SELECT action, count(*) AS n FROM mg GROUP BY 1")
 add("D7_matched_queries", FOUND, "SELECT identity_key, string_agg(query || 'x' || n, ',' ORDER BY f) AS queries, sum(n) AS sightings FROM pq WHERE adapter = 'portal' GROUP BY 1")
 add("D8_expire", TWO, "SELECT CASE WHEN coalesce(left(bid_end_at, 10) < '2026-09-12', false) THEN 'closed' ELSE 'open' END AS status, count(*) AS n, count(*) FILTER (left(bid_end_at, 10) < '2026-09-12') AS just_closed FROM mg GROUP BY 1")
-add("D9_has_text", DOCS, "SELECT identity_key, bool_or(CASE WHEN pos % 2 = 0 THEN text_chars ELSE 0 END > 0) AS has_document_text FROM df WHERE pos % 5 <> 1 GROUP BY 1")
+add("D9_has_text", DOCS, "SELECT identity_key, bool_or(CASE WHEN pos % 2 = 0 THEN text_chars ELSE 0 END > 0) AS has_document_text FROM df GROUP BY 1")
 add("D10_changes_on_day", CH, "SELECT field_name, old_value, new_value, note FROM ch WHERE identity_key = (SELECT min(identity_key) FROM ch)")
 add("D11_score_total", FULL, "SELECT k, total FROM ju")
 
@@ -243,7 +251,7 @@ add("G6_parse_percentage", B, "SELECT k, CASE k % 3 WHEN 0 THEN (k % 12) + 0.5 W
 add("G7_parse_quantity", B, "SELECT k, CASE k % 3 WHEN 0 THEN 1000 + k % 60 WHEN 1 THEN k % 60 END::DOUBLE AS number, CASE WHEN k % 3 = 0 THEN 'Units' ELSE '' END AS unit FROM bids")
 _ws_of = _ws.replace("replace(text,", "replace(f,")
 ORACLES["G8_snippet"] = f"SELECT doc_id, CASE WHEN lo > 0 THEN '…' ELSE '' END || trim({_ws_of}) || CASE WHEN hi < n THEN '…' ELSE '' END AS snippet FROM (SELECT *, substring(text, lo + 1, hi - lo) AS f FROM (SELECT doc_id, text, length(text) AS n, greatest(0, CAST(floor(length(text) / 2) AS INT) - 120) AS lo, least(length(text), CAST(floor(length(text) / 2) AS INT) + 120) AS hi FROM documents))"
-add("G9_truncate", B, "SELECT k, CASE WHEN length(title) <= 20 THEN title ELSE rtrim(title) || '…' END AS short FROM bids")
+add("G9_truncate", B, "SELECT k, CASE WHEN length(title) <= 20 THEN title ELSE rtrim(left(title, 19)) || '…' END AS short FROM bids")
 add("G10_identity_key", B, "SELECT k, CASE WHEN bid_number <> '' THEN 'bid:' || bid_number WHEN k % 100 <> 99 THEN 'url:' || left(sha256(source_url), 32) ELSE 'fp:' || left(sha256(title || '|' || buyer_organization || '|' || coalesce(strftime(bid_end_at, '%Y-%m-%d %H:%M:%S+05:30'), 'None')), 32) END AS identity_key FROM bids")
 add("G11_bid_number", B, "SELECT k, bid_number AS found FROM bids")
 add("G12_days_remaining", B, "SELECT k, CAST(CASE WHEN k % 30 = 5 THEN -1 ELSE dr END AS DOUBLE) AS days FROM base")
@@ -348,7 +356,8 @@ _exec = [
 _lines = some([f"CASE WHEN {t} THEN {x} END" for x, t in _exec])
 add("M1_executive_summary", CH, f", c AS (SELECT {COUNTS} {ACC}), c2 AS (SELECT *, (SELECT count(*) FROM ju WHERE verdict = 'watchlist') AS watch, (SELECT count(*) FROM ch) AS amended FROM c), l AS (SELECT {_lines} AS ls FROM c2) "
     "SELECT 'executive_summary' AS section, CAST(i - 1 AS VARCHAR) AS seq, 'keyvalue' AS kind, t AS text FROM (SELECT unnest(ls) AS t, generate_subscripts(ls, 1) AS i FROM l)")
-add("M2_data_quality", FULL + "," + ISSUES, section("data_quality", "'0.' || (-n)", "'bullet'", f"n || ' — ' || CASE reason {_labels_of} ELSE reason END", "rj") + " UNION ALL " + section("data_quality", "'1.0'", "'bullet'", "line", "il") + " UNION ALL " + section("data_quality", "'2.0'", "'bullet'", "mode", "deg"))
+add("M2_data_quality", FULL + "," + ISSUES, section("data_quality", "'0.' || (-n)", "'bullet'", f"n || ' — ' || CASE reason {_labels_of} ELSE reason END", "rj") + " UNION ALL " + section("data_quality", "'1.0'", "'bullet'", "line", "il") + " UNION ALL " + section("data_quality", "'2.0'", "'bullet'", "mode", "deg")
+    + f""" UNION ALL SELECT 'data_quality', '-1.0', 'paragraph', 'Run run-1 · {N_QUERIES} search terms · ' || (SELECT count(*) FROM scr) || ' bids seen · ' || (SELECT count(*) FROM ju WHERE bid_number <> '') || ' detail pages read · ' || (SELECT count(*) FROM documents) || ' documents analysed.'""")
 _bp = "CASE WHEN total >= 80 THEN 1 WHEN total >= 60 THEN 2 WHEN total >= 40 THEN 3 ELSE 4 END"
 add("M3_priority", RK, section("priority", "p || '.0'", "'heading'", "bucket || ' (' || n || ')'", f"(SELECT bucket, {_bp} AS p, count(*) AS n FROM rk GROUP BY ALL)") + " UNION ALL " + section("priority", f"{_bp} || '.' || rank", "'bullet'", ONE, "rk"))
 add("M4_urgent", RK, section("urgent", "CASE WHEN urg = 'URGENT' THEN 0 ELSE 1 END || '.' || rank", "'bullet'", DEAD, "rk WHERE urg IN ('URGENT', 'HIGH PRIORITY')"))
@@ -392,6 +401,62 @@ add("M10_watchlist", RW, section("watchlist", "CAST(rank AS VARCHAR)", "'bullet'
 add("M11_change_log", CH, f"SELECT section, kind, text, count(*) AS n FROM (SELECT 'change_log' AS section, 'bullet' AS kind, {LINE} AS text FROM ch UNION ALL SELECT 'change_log', 'paragraph', coalesce(z.bid_number || ' — ' || z.title, i) FROM (SELECT DISTINCT identity_key AS i FROM ch) LEFT JOIN zju z ON z.identity_key = i AND z.verdict <> 'rejected') GROUP BY ALL")
 add("M12_references", RW, section("references", "p || '.' || rank", "'bullet'", "bid_number || ' — ' || source_url", "(SELECT 0 AS p, * FROM rk UNION ALL SELECT 1, * FROM rw)"))
 
+# -- the whole run ----------------------------------------------------------
+def card_rows(view: str = "bids") -> str:
+    """SELECT of what the listing cards of ``view`` say; text and head columns as the parser leaves them."""
+    addr = "trim(buyer_organization || ', ' || delivery_location)"
+    number = "'GEM/2026/B/' || (7000000 + k)"
+    text = clean(f"CASE WHEN k % 23 = 22 THEN '' WHEN k % 17 = 16 THEN 'View bid' ELSE {number} END || CASE WHEN k % 17 = 16 THEN ' Ref: gem/2026/b/' || (7000000 + k) ELSE '' END || ' Items: ' || title || ' Quantity: ' || (1 + k % 60) || ' Nos Category: Lot ' || (k % 5) || ' Department Name And Address: ' || {addr} || ' Start Date: 01-09-2026 09:00:00 End Date: ' || coalesce(strftime(bid_end_at, '%d-%m-%Y %H:%M:%S'), 'as per schedule')")
+    return f"""SELECT k, 'portal' AS adapter, {number} AS bid_number, 'https://bidplus.gem.gov.in/showbidDocument/' || (7000000 + k) AS source_url, title, title AS item_description, 'Lot ' || (k % 5) AS category,
+ {addr} AS buyer_organization, {addr} AS buyer_address, '' AS ministry, CAST(1 + k % 60 AS DOUBLE) AS quantity, 'Nos' AS quantity_unit, bid_end_at, {text} AS listing_text FROM {view} WHERE k % 17 = 16 OR k % 23 <> 22"""
+
+
+#: Columns that a listing lacks, as the analysis sees them then.
+BARE = "'' AS delivery_location, '' AS portal_status, '' AS ra_enabled, CAST(NULL AS DOUBLE) AS estimated_value, CAST(NULL AS DOUBLE) AS portal_emd_amount, CAST(NULL AS DOUBLE) AS portal_epbg_pct, '' AS doc_text"
+
+
+def listed_out(p: str, source: str) -> str:
+    """CTEs {p}scr: the screen of listing rows (k, identity_key, dr among the columns)."""
+    return f"""{classified(p + 'l', source, False, LISTING_SAYS, LISTING_HEAD)},{located(p + 'lg', source, False, listing=True)},
+{p}scr AS (SELECT b.*, CASE WHEN dr < 0 THEN 'expired' WHEN dr > 60 THEN 'outside_10_day_window' WHEN NOT c.related THEN 'not_it_related' WHEN NOT gg.in_region THEN 'not_jharkhand' END AS screen_reason
+  FROM {source} b JOIN {p}lcls c ON c.k = b.k JOIN {p}lggeo gg ON gg.k = b.k)"""
+
+
+RUN = f"""
+bids AS ({V['bids']}),{DETAIL_CTE},
+pg AS (SELECT source_url AS page, {', '.join(f"max(value) FILTER (field = '{c}') AS d_{c}" for c in ('bid_number', 'bid_end_at', 'ministry', 'buyer_organization', 'buyer_address', 'quantity', 'estimated_value', 'emd_amount', 'epbg_percentage', 'ra_enabled'))} FROM f GROUP BY 1),
+nt AS (SELECT -1 - k AS k, 'search' AS adapter, '' AS bid_number, link AS source_url, title, {clean('snippet')} AS item_description, '' AS category, '' AS buyer_organization, '' AS buyer_address, '' AS ministry,
+  CAST(NULL AS DOUBLE) AS quantity, '' AS quantity_unit, CAST(NULL AS TIMESTAMP) AS bid_end_at, title || ' ' || {clean('snippet')} AS listing_text FROM ({V['notices']}) WHERE {official('link')}),
+rc AS (SELECT *, {BARE} FROM ({card_rows()} UNION ALL SELECT * FROM nt)),
+rb AS (SELECT *, {KEY} AS identity_key, {days('bid_end_at', NOW)} AS dr FROM rc),{listed_out('r', 'rb')},
+rm AS (SELECT s.k, s.adapter, s.identity_key AS first_key, s.source_url, coalesce(d_bid_number, s.bid_number) AS bid_number, s.title, s.item_description, s.category, coalesce(d_buyer_organization, s.buyer_organization) AS buyer_organization,
+  coalesce(d_buyer_address, s.buyer_address) AS buyer_address, coalesce(d_ministry, '') AS ministry, coalesce(CAST(regexp_extract(d_quantity, '\\d+') AS DOUBLE), s.quantity) AS quantity,
+  coalesce(nullif(regexp_extract(d_quantity, '\\d+\\s*([A-Za-z./]+)', 1), ''), s.quantity_unit) AS quantity_unit, coalesce(try_strptime(d_bid_end_at, '%d-%m-%Y %H:%M:%S'), s.bid_end_at) AS bid_end_at, s.listing_text,
+  '' AS delivery_location, '' AS portal_status, coalesce(d_ra_enabled, '') AS ra_enabled, TRY_CAST(replace(regexp_extract(d_estimated_value, '[\\d,]+'), ',', '') AS DOUBLE) AS estimated_value,
+  TRY_CAST(replace(regexp_extract(d_emd_amount, '[\\d,]+'), ',', '') AS DOUBLE) AS portal_emd_amount, TRY_CAST(d_epbg_percentage AS DOUBLE) AS portal_epbg_pct,
+  page, CASE WHEN page IS NOT NULL AND fi.text <> '' THEN chr(10) || '===== Bid Document (bid_document) =====' || chr(10) || fi.text ELSE '' END AS doc_text
+  FROM rscr s LEFT JOIN pg ON page = s.source_url LEFT JOIN ({V['files']}) fi ON fi.url = page WHERE screen_reason IS NULL),
+rk AS (SELECT *, {KEY} AS identity_key FROM rm),
+rw AS (SELECT identity_key, array_to_string(list_sort(list(DISTINCT adapter)), ',') AS discovered_via, count(*) AS sightings, arg_min(k, adapter) AS k FROM rk GROUP BY 1),
+rsl AS (SELECT rk.*, rw.discovered_via, rw.sightings, {days('bid_end_at', NOW)} AS dr, {urgency(days('bid_end_at', NOW))} AS urg FROM rk JOIN rw USING (k)),{judged('r', listing=True)}"""
+add("run_report", RUN, f"""SELECT identity_key, first_key, discovered_via, sightings, bid_number, title, category, buyer_address, quantity, quantity_unit, estimated_value, {at('bid_end_at')} AS bid_end_at, greason AS region,
+ estatus AS emd_status, verdict, rejected_reason, urg AS urgency, total AS score, len(docs) AS documents FROM rju""")
+add("run_report_counts", RUN, """SELECT what, which, count(*) AS n FROM (SELECT 'candidate' AS what, adapter AS which FROM rb UNION ALL SELECT 'screened out', screen_reason FROM rscr WHERE screen_reason IS NOT NULL
+ UNION ALL SELECT 'verdict', verdict FROM rju UNION ALL SELECT 'detail page', 'read' FROM (SELECT DISTINCT page FROM rju WHERE page IS NOT NULL)
+ UNION ALL SELECT 'document', 'read' FROM (SELECT DISTINCT page FROM rju WHERE page IS NOT NULL)) GROUP BY ALL""")
+
+# -- the listing stream -----------------------------------------------------
+add("L1_listing_stream", f"""
+bids AS ({V['bids']}), nbids AS ({views.sql('next_day', DUCK)}),
+c1 AS ({card_rows()}), c2 AS ({card_rows('nbids')}),
+lc AS (SELECT coalesce(c2.k, c1.k) AS k, {', '.join(f"CASE WHEN c2.k IS NULL THEN c1.{c} ELSE c2.{c} END AS {c}" for c in ('bid_number', 'source_url', 'title', 'item_description', 'category', 'buyer_organization', 'buyer_address', 'ministry', 'quantity', 'quantity_unit', 'bid_end_at', 'listing_text'))},
+  coalesce(c2.k IS NOT NULL AND c1.bid_end_at IS DISTINCT FROM c2.bid_end_at, false) AS moved, {BARE} FROM c1 LEFT JOIN c2 ON c2.k = c1.k),
+sb AS (SELECT *, {KEY} AS identity_key, {days('bid_end_at', NOW_2)} AS dr, {urgency(days('bid_end_at', NOW_2))} AS urg FROM lc),{listed_out('s', 'sb')},
+ssl AS (SELECT * FROM sscr WHERE screen_reason IS NULL),{judged('s', listing=True)},
+own AS (SELECT identity_key, CASE WHEN moved THEN 'updated' ELSE 'new' END AS action, CASE WHEN moved THEN 2 ELSE 1 END AS judged FROM sb)""",
+    """SELECT o.identity_key, action, coalesce(j.verdict, 'screened out') AS verdict, CASE WHEN j.verdict IS NULL THEN s.screen_reason ELSE j.rejected_reason END AS reason, coalesce(j.urg, s.urg) AS urgency, j.total AS score, judged
+ FROM own o JOIN sscr s USING (identity_key) LEFT JOIN sju j USING (identity_key)""")
+
 # -- N ---------------------------------------------------------------------
 add("N1_own_source", FOUND, """, pg AS (SELECT 'bid:GEM/2026/B/' || (7000000 + k) AS identity_key, 'pages' AS adapter FROM bids WHERE k % 17 = 16 OR k % 23 <> 22), u2 AS (SELECT * FROM pg UNION ALL SELECT identity_key, adapter FROM sc),
 w AS (SELECT identity_key, array_to_string(list_sort(list(DISTINCT adapter)), ',') AS discovered_via, count(*) AS n FROM u2 GROUP BY 1) SELECT discovered_via, count(*) AS bids, sum(n) AS sightings FROM w GROUP BY 1""")

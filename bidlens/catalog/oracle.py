@@ -112,13 +112,18 @@ ALL_SIGNALS = [t for gr in R.groups for t in gr["signals"]]
 SUPPLY, SERVICE = R.taxonomy["supply_verbs"], R.taxonomy["service_verbs"]
 
 
-def classified(p: str, source: str, doc: bool) -> str:
+#: Columns that say what a bid is, and those of its headline; listings have more of them than the bids' view.
+SAYS, HEAD = ("title", "buyer_organization"), ("title",)
+LISTING_SAYS, LISTING_HEAD = ("title", "category", "item_description", "buyer_organization", "listing_text"), ("title", "category", "item_description")
+
+
+def classified(p: str, source: str, doc: bool, says=SAYS, heads=HEAD) -> str:
     """CTEs {p}h, {p}g, {p}c: classification of ``source`` with or without text."""
-    parts = "nullif(title, ''), nullif(buyer_organization, '')" + (", nullif(doc_text, '')" if doc else "")
+    parts = ", ".join(f"nullif({c}, '')" for c in says) + (", nullif(doc_text, '')" if doc else "")
     n = len(R.groups)
     product = " OR ".join(f"(k{i})" for i in range(n) if R.groups[i]["kind"] == "product")
     service = " OR ".join(f"(k{i})" for i in range(n) if R.groups[i]["kind"] == "service")
-    head = "' ' || trim(regexp_replace(lower(title), '[^a-z0-9_]+', ' ', 'g')) || ' '"
+    head = f"' ' || trim(regexp_replace(lower(concat_ws(' ', {', '.join(heads)})), '[^a-z0-9_]+', ' ', 'g')) || ' '"
     return f"""
 {p}h AS (SELECT k, ' ' || lower({clean(f"concat_ws(' ', {parts})")}) || ' ' AS h, {head} AS hd FROM {source}),
 {p}g AS (SELECT k, h, hd, {group_columns('h')}, {hits('h', R.taxonomy['hard_vetoes'])} AS hv FROM {p}h),
@@ -152,10 +157,12 @@ def distinct_ci(x: str) -> str:
     return f"list_filter({x}, lambda v, i: list_position(list_transform({x}, lambda w: lower(w)), lower(v)) = i)"
 
 
-def located(p: str, source: str, doc: bool, geo=G, location: str = "delivery_location") -> str:
-    """CTEs {p}f, {p}m, {p}geo: region decision of ``source``."""
+def located(p: str, source: str, doc: bool, geo=G, location: str = "delivery_location", listing: bool = False) -> str:
+    """CTEs {p}f, {p}m, {p}geo: region decision of ``source``; ``listing`` adds the columns that only listings have."""
     amb = arr(geo["ambiguous_localities"]) if geo["ambiguous_localities"] else "CAST([] AS VARCHAR[])"
     fields = [("delivery_location", 1, location), ("buyer_organization", 6, "concat_ws(' ', buyer_organization, ministry)"), ("title", 7, "title")]
+    if listing:
+        fields += [("buyer_address", 5, "buyer_address"), ("listing_text", 8, "listing_text")]
     if doc:
         fields.append(("documents", 9, "doc_text"))
     rows = " UNION ALL ".join(f"SELECT k, {o} AS o, {q(n)} AS f, {clean('coalesce(' + t + ', {e})'.replace('{e}', q('')))} AS t FROM {source}" for n, o, t in fields)
@@ -427,7 +434,13 @@ def initcaps(x: str) -> str:
 
 def analysed(p: str = "", prof=R.profile) -> str:
     return f"""
-{p}sl AS (SELECT * EXCLUDE (screen_reason, lrel, lcats, lreg, lds) FROM {p}scr WHERE screen_reason IS NULL),{classified(p + 'd', p + 'sl', True)},{located(p + 'dg', p + 'sl', True)},{clauses(p, p + 'sl')},
+{p}sl AS (SELECT * EXCLUDE (screen_reason, lrel, lcats, lreg, lds) FROM {p}scr WHERE screen_reason IS NULL),{judged(p, prof)}"""
+
+
+def judged(p: str, prof=R.profile, listing: bool = False) -> str:
+    """CTEs from {p}sl (the shortlist) to {p}ju: full analysis and gate."""
+    class_of = classified(p + "d", p + "sl", True, *((LISTING_SAYS, LISTING_HEAD) if listing else ()))
+    return f"""{class_of},{located(p + 'dg', p + 'sl', True, listing=listing)},{clauses(p, p + 'sl')},
 {p}wide AS (SELECT cl.*, c.* EXCLUDE (k), gg.* EXCLUDE (k, ds), {initcaps('gg.ds')} AS gd,
    {some(["CASE WHEN dr IS NULL THEN " + q("Bid closing date could not be read from the official listing — confirm the deadline on GeM before planning any submission.") + " END"])} || f.cflags AS flags
    FROM {p}cl cl JOIN {p}dcls c ON c.k = cl.k JOIN {p}dggeo gg ON gg.k = cl.k JOIN {p}fl f ON f.k = cl.k),{eligible(p, p + 'wide', prof)},{scored(p)}"""

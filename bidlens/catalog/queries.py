@@ -17,18 +17,20 @@ from bidlens.operators import (
     classify, corrections, dims, discovery, eligibility, emd, gate, geo, ranking, requirements, scoring,
     security, snapshot,
 )
-from bidlens.plans import daily, report, views
+from bidlens.plans import daily, report, run, views
 from bidlens.rules import load_rules
 from bidlens.schema import conform
 from bidlens.session import new_folder, spread, stable
 from bidlens.sources import documents, exports, hits, pages, snapshots
-from bidlens.streaming import amendments
+from bidlens.streaming import amendments, listings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 RULES = load_rules()
 NOW, TODAY = views.NOW, views.TODAY
 NOW_2, TODAY_2 = "2026-09-07 08:30:00", "2026-09-07"
+#: The budgets of the two queries that show them; the rules themselves set none.
+MAX_DETAILS, MAX_DOCUMENTS = 250, 400
 
 
 def query(fn: Query) -> Query:
@@ -55,6 +57,11 @@ def screened(spark: SparkSession, sf: str) -> DataFrame:
     return daily.screen(bids(spark, sf), RULES, NOW)
 
 
+@lru_cache(maxsize=8)
+def listed(spark: SparkSession, sf: str) -> DataFrame:
+    return daily.looked_at(bids(spark, sf), RULES, NOW)
+
+
 @lru_cache(maxsize=8)
 def analysed(spark: SparkSession, sf: str) -> DataFrame:
     return daily.analyse(daily.shortlisted(screened(spark, sf)), RULES, NOW)
@@ -107,8 +114,14 @@ def watch(spark: SparkSession, sf: str) -> DataFrame:
     return stored(spark, sf).filter("verdict = 'watchlist'")
 
 
-def ranked(df: DataFrame) -> DataFrame:
-    return ranking.number_rows(df, ranking.report_order())
+# The rank tables (key, rank) are made once; every section joins its bids to them.
+@lru_cache(maxsize=8)
+def ranks(spark: SparkSession, sf: str, verdict: str) -> DataFrame:
+    return ranking.ranks(stored(spark, sf).filter(F.col("verdict") == verdict), ranking.report_order())
+
+
+def ranked(spark: SparkSession, sf: str, verdict: str = "accepted") -> DataFrame:
+    return stored(spark, sf).filter(F.col("verdict") == verdict).join(ranks(spark, sf, verdict), "identity_key")
 
 
 @lru_cache(maxsize=8)
@@ -265,14 +278,14 @@ def A11_document_admission(spark, sf):
 
 @query
 def A12_detail_budget(spark, sf):
-    out = documents.within_budget(conform(bids(spark, sf)), [F.col("k")], RULES.portal.get("max_detail_fetches"))
+    out = documents.within_budget(conform(bids(spark, sf)), [F.col("k")], MAX_DETAILS)
     return out.select("k", "in_budget", F.when(~F.col("in_budget"), documents.FLAG_NO_DETAIL).alias("flag"))
 
 
 @query
 def A12_document_budget(spark, sf):
     order = [F.col("pos")]
-    out = documents.document_budget(doc_files(spark, sf), order, RULES.portal.get("max_document_downloads"))
+    out = documents.document_budget(doc_files(spark, sf), order, MAX_DOCUMENTS)
     return out.select("identity_key", "documents", "documents_read", "budget_flag", "no_text_flag")
 
 
@@ -309,9 +322,32 @@ def A14_snapshot_sink(spark, sf):
     )
 
 
+@query
+def A14_all_sinks(spark, sf):
+    """Bids, changes and run figures of two committed days; a third day that broke off before its commit is not seen."""
+    root = new_folder(spark, "sinks")
+    days = ((reported(spark, sf), TODAY), (second_day(spark, sf), TODAY_2))
+    for i, (df, today) in enumerate(days):
+        rows = snapshot.flat_rows(df, today).withColumn("as_of", F.lit(today))
+        amendments.merge_batch(rows, i, root)
+    kept = amendments.store(spark, root, rows.schema)
+    for name in ("changes", "actions", "runs", "state"):  # what a broken third day leaves
+        kept.log(name, amendments.CHANGES).limit(0).write.parquet(f"{root}/store/{name}/batch=2")
+    rows.select(*kept.schema.names).write.mode("overwrite").parquet(f"{root}/store/state/batch=2")
+    state = kept.state()
+    bids = state.groupBy(F.lit("bids").alias("sink"), F.col("last_seen_on").alias("day"), F.get_json_object("payload", "$.urgency").alias("what")).agg(F.count("*").alias("n"))
+    changes = kept.log("changes", amendments.CHANGES).groupBy(F.lit("changes"), "detected_on", "field_name").agg(F.count("*"))
+    runs = kept.log("runs", amendments.RUNS).select(F.lit("runs"), F.col("days")[0], F.explode(F.create_map(*[x for c in ("bids", "new", "updated", "changes") for x in (F.lit(c), F.col(c))])))
+    first = kept.state(version=0).groupBy(F.lit("bids of the first version"), F.col("last_seen_on"), F.lit("all")).agg(F.count("*"))
+    return bids.union(changes).union(runs).union(first)
+
+
 @query
 def A15_flat_rows(spark, sf):
-    return snapshot.flat_rows(reported(spark, sf), TODAY).drop("payload")
+    """All 28 columns; of the payload, which is JSON of the whole bid, what reads the same in any engine."""
+    read = F.from_json("payload", "identity_key string, bid_number string, verdict string, score struct<total double>, required_documents array<struct<canonical string>>")
+    told = F.concat_ws("|", "p.identity_key", "p.bid_number", "p.verdict", F.col("p.score.total").cast("string"), F.array_join("p.required_documents.canonical", ","))
+    return snapshot.flat_rows(reported(spark, sf), TODAY).withColumn("p", read).withColumn("payload", told).drop("p")
 
 
 @query
@@ -328,7 +364,7 @@ def A16_change_tab(spark, sf):
 
 @query
 def A16_run_tab(spark, sf):
-    return exports.run_rows(run_manifest(spark, sf), report.access_issues(issues(spark, sf), "run-1"), "https://docs/1")
+    return exports.run_rows(run_manifest(spark, sf), "https://docs/1")
 
 
 # -- B: predicates ---------------------------------------------------------
@@ -354,7 +390,7 @@ def B3_screen(spark, sf):
 
 @query
 def B4_gate(spark, sf):
-    return screened(spark, sf).select("k", gate.gate_reason(RULES).alias("reason"))
+    return listed(spark, sf).select("k", gate.gate_reason(RULES).alias("reason"))
 
 
 @query
@@ -436,7 +472,7 @@ def C3_hard_vetoes(spark, sf):
 @query
 def C4_capability(spark, sf):
     cap = eligibility.capability(F.col("classification.categories"), RULES)
-    return screened(spark, sf).withColumn("c", cap).select("k", F.col("c.level").alias("level"), F.col("c.reason").alias("reason"))
+    return listed(spark, sf).withColumn("c", cap).select("k", F.col("c.level").alias("level"), F.col("c.reason").alias("reason"))
 
 
 @query
@@ -507,12 +543,12 @@ def C9_corrections(spark, sf):
 @query
 def C10_district_coverage(spark, sf):
     serves = eligibility.serves_district(F.col("geo.districts"), RULES)
-    return screened(spark, sf).select("k", F.coalesce(serves.cast("string"), F.lit("not known")).alias("serves"))
+    return listed(spark, sf).select("k", F.coalesce(serves.cast("string"), F.lit("not known")).alias("serves"))
 
 
 @query
 def C11_change_labels(spark, sf):
-    out = report.change_log(changed(spark, sf), second_day(spark, sf).filter("days_remaining % 3 <> 0"))
+    out = report.change_log(changed(spark, sf), second_day(spark, sf))
     return out.select("identity_key", "label", joined("lines", "\n").alias("lines"))
 
 
@@ -543,9 +579,10 @@ def D4_document_demand(spark, sf):
 
 
 def run_manifest(spark, sf):
+    pages_read = detail_pages(spark, sf).filter("bid_number <> ''").join(stored(spark, sf).select("bid_number"), "bid_number", "left_semi")
     return report.manifest(
         stored(spark, sf), screened_out(spark, sf), merged(spark, sf), issues(spark, sf), degraded(spark, sf),
-        89, 250, 400, "run-1", "2026-09-06T08:30:00+05:30", "2026-09-06T09:00:00+05:30",
+        dims.search_queries(spark, RULES), pages_read, views.table(spark, sf, "documents"), "run-1", "2026-09-06T08:30:00+05:30", "2026-09-06T09:00:00+05:30",
     )
 
 
@@ -554,7 +591,7 @@ def D5_run_manifest(spark, sf):
     m = run_manifest(spark, sf)
     counts = F.transform(F.array_sort(F.map_entries("rejected")), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
     return m.select(
-        "run_id", "queries", "listings_seen", "candidates", "accepted", "watchlist", joined(counts, ",").alias("rejected"),
+        "run_id", "queries", "details_fetched", "documents_downloaded", "listings_seen", "candidates", "accepted", "watchlist", joined(counts, ",").alias("rejected"),
         "new_tenders", "updated_tenders", F.aggregate("issues", F.lit(0).cast("long"), lambda n, e: n + e["n"]).alias("issues"), joined("degraded_modes", ",").alias("degraded"),
     )
 
@@ -580,7 +617,7 @@ def D8_expire(spark, sf):
 @query
 def D9_has_text(spark, sf):
     files = doc_files(spark, sf).withColumn("text_chars", F.when(F.col("pos") % 2 == 0, F.col("text_chars")).otherwise(0))
-    return documents.has_text(files.filter("pos % 5 <> 1"))
+    return documents.has_text(files)
 
 
 @query
@@ -606,7 +643,7 @@ def E1_identity_dedupe(spark, sf):
 
 @query
 def E2_ranking(spark, sf):
-    return ranked(accepted(spark, sf)).select("rank", "identity_key", F.col("score.total").alias("score"), "urgency", "days_remaining")
+    return ranked(spark, sf).select("rank", "identity_key", F.col("score.total").alias("score"), "urgency", "days_remaining")
 
 
 @query
@@ -669,7 +706,7 @@ def F3_flag_sets(spark, sf):
 @query
 def F4_category_overlap(spark, sf):
     mine = lists.strings(RULES.profile["strong"] + RULES.profile["moderate"])
-    return screened(spark, sf).select("k", joined(F.array_intersect("classification.categories", mine)).alias("shared"))
+    return listed(spark, sf).select("k", joined(F.array_intersect("classification.categories", mine)).alias("shared"))
 
 
 # -- G: scalars ------------------------------------------------------------
@@ -1085,11 +1122,25 @@ def L1_amendment_feed(spark, sf):
         rows = snapshot.flat_rows(df, today).drop("payload").withColumn("as_of", F.lit(today))
         rows.write.mode("append").parquet(source)
         amendments.run_available(spark, source, rows.schema, root)
-    acted = spark.read.parquet(f"{root}/actions").groupBy("batch", F.col("action").alias("what"))
-    diffs = spark.read.schema("field_name string, batch int").parquet(f"{root}/changes").groupBy("batch", F.col("field_name").alias("what"))
+    kept = amendments.store(spark, root, rows.schema)
+    acted = kept.log("actions", amendments.ACTIONS).groupBy("batch", F.col("action").alias("what"))
+    diffs = kept.log("changes", amendments.CHANGES).groupBy("batch", F.col("field_name").alias("what"))
     return acted.agg(F.count("*").alias("n")).unionByName(diffs.agg(F.count("*").alias("n")))
 
 
+@query
+def L1_listing_stream(spark, sf):
+    """Two days of saved listing pages through the stateful stream: each bid's last verdict and how often it was judged."""
+    root = new_folder(spark, "listings")
+    for name, at in (("listing_cards", NOW), ("next_cards", NOW_2)):
+        saved = views.listing_pages(spark, sf, name).select("url", "html", F.lit(at).cast("timestamp").alias("seen_at"))
+        saved.write.mode("append").parquet(f"{root}/pages")
+        listings.run_available(spark, f"{root}/pages", root, RULES, NOW_2)
+    last = F.struct("batch", "action", "verdict", "reason", "urgency", "score")
+    out = listings.read_verdicts(spark, root).groupBy("identity_key").agg(F.max_by(last, "batch").alias("l"), F.count("*").alias("judged"))
+    return out.select("identity_key", "l.action", "l.verdict", "l.reason", "l.urgency", "l.score", "judged")
+
+
 # -- M: report -------------------------------------------------------------
 def lines(df: DataFrame) -> DataFrame:
     return df.select("section", joined(F.transform("seq", lambda x: x.cast("string")), ".").alias("seq"), "kind", "text")
@@ -1103,27 +1154,27 @@ def M1_executive_summary(spark, sf):
 @query
 def M2_data_quality(spark, sf):
     counts = report.rejections(stored(spark, sf), screened_out(spark, sf))
-    return lines(report.data_quality(counts, issues(spark, sf), degraded(spark, sf), RULES))
+    return lines(report.data_quality(counts, issues(spark, sf), degraded(spark, sf), RULES, run_manifest(spark, sf)))
 
 
 @query
 def M3_priority(spark, sf):
-    return lines(report.priority(ranked(accepted(spark, sf))))
+    return lines(report.priority(ranked(spark, sf)))
 
 
 @query
 def M4_urgent(spark, sf):
-    return lines(report.urgent(ranked(accepted(spark, sf))))
+    return lines(report.urgent(ranked(spark, sf)))
 
 
 @query
 def M5_detailed(spark, sf):
-    return lines(report.detailed(ranked(accepted(spark, sf))))
+    return lines(report.detailed(ranked(spark, sf)))
 
 
 @query
 def M6_emd_summary(spark, sf):
-    return lines(report.emd_summary(ranked(accepted(spark, sf))))
+    return lines(report.emd_summary(ranked(spark, sf)))
 
 
 @query
@@ -1133,17 +1184,17 @@ def M7_documents_summary(spark, sf):
 
 @query
 def M8_risks(spark, sf):
-    return lines(report.risks(ranked(accepted(spark, sf))))
+    return lines(report.risks(ranked(spark, sf)))
 
 
 @query
 def M9_actions(spark, sf):
-    return lines(report.actions(ranked(accepted(spark, sf))))
+    return lines(report.actions(ranked(spark, sf)))
 
 
 @query
 def M10_watchlist(spark, sf):
-    return lines(report.watchlist(ranked(watch(spark, sf))))
+    return lines(report.watchlist(ranked(spark, sf, "watchlist")))
 
 
 @query
@@ -1154,7 +1205,43 @@ def M11_change_log(spark, sf):
 
 @query
 def M12_references(spark, sf):
-    return lines(report.references(ranked(accepted(spark, sf)), ranked(watch(spark, sf))))
+    return lines(report.references(ranked(spark, sf), ranked(spark, sf, "watchlist")))
+
+
+# -- the whole run ---------------------------------------------------------
+@lru_cache(maxsize=8)
+def whole_run(spark: SparkSession, sf: str) -> run.Run:
+    """From saved listing pages, notices, detail pages and files."""
+    details = detail_pages(spark, sf).select("url", "html")
+    notices = views.view(spark, sf, "notices").withColumnRenamed("hit_pos", "pos").drop("k")
+    return run.run_report(views.listing_pages(spark, sf).select("url", "html"), notices, details, views.view(spark, sf, "files"), RULES, NOW)
+
+
+@query
+def run_report(spark, sf):
+    """Verdicts of the whole run; a bid that two sources name differently is one row."""
+    return whole_run(spark, sf).judged.select(
+        "identity_key", "first_key", joined("discovered_via", ",").alias("discovered_via"), "sightings", "bid_number", "title", "category", "buyer_address",
+        "quantity", "quantity_unit", "estimated_value", day("bid_end_at").alias("bid_end_at"), F.col("geo.reason").alias("region"), F.col("emd.status").alias("emd_status"),
+        "verdict", "rejected_reason", "urgency", F.col("score.total").alias("score"), F.size("required_documents").alias("documents"),
+    )
+
+
+@query
+def run_report_counts(spark, sf):
+    """The same run's figures: candidates, what was screened out and why, verdicts, pages and documents read."""
+    r = whole_run(spark, sf)
+    parts = (
+        r.candidates.select(F.lit("candidate").alias("what"), F.array_join("discovered_via", ",").alias("which")),
+        r.screened_out.select(F.lit("screened out"), "screen_reason"),
+        r.judged.select(F.lit("verdict"), "verdict"),
+        r.details_read.select(F.lit("detail page"), F.lit("read")),
+        r.documents_read.select(F.lit("document"), F.lit("read")),
+    )
+    out = None
+    for part in parts:
+        out = part if out is None else out.union(part)
+    return out.groupBy("what", "which").agg(F.count("*").alias("n"))
 
 
 # -- N: extension ----------------------------------------------------------

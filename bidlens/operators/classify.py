@@ -121,9 +121,13 @@ def _kind(rules: Rules, head: Column, text: Column, kept: Column) -> Column:
     )
 
 
-def classify(df: DataFrame, rules: Rules, doc_text: Column | None = None) -> DataFrame:
+def classify(df: DataFrame, rules: Rules, doc_text: Column | None = None, where: Column | None = None) -> DataFrame:
+    """Adds ``classification``. Rows outside ``where`` are not read: they are classified like a bid without text."""
     all_signals = table([t for g in rules.groups for t in g["signals"]])
-    df = df.withColumns({"_text": haystack(doc_text), "_head": headline()})
+    text, head = haystack(doc_text), headline()
+    if where is not None:
+        text, head = F.when(where, text).otherwise(""), F.when(where, head).otherwise("")
+    df = df.withColumns({"_text": text, "_head": head})
     df = df.withColumn("_groups", match_groups(F.col("_text"), rules))
     df = df.withColumns(
         {

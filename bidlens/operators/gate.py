@@ -47,14 +47,17 @@ def is_active(rules: Rules) -> Column:
     return ~seen.rlike("|".join(escape(m) for m in rules.decision["cancelled_markers"]))
 
 
-def screen_reason(rules: Rules) -> Column:
-    """First-pass screen on listing data; an unknown deadline passes."""
+def dated_out(rules: Rules) -> Column:
+    """Why the closing date alone rules a bid out, or null; an unknown deadline passes."""
     d = F.col("days_remaining")
-    return (
-        F.when(d < 0, "expired")
-        .when(d > rules.deadline["watch_window_days"], "outside_10_day_window")
-        .when(~F.col("classification.is_it_related"), "not_it_related")
-        .when(~F.col("geo.in_region"), "not_jharkhand")
+    return F.when(d < 0, "expired").when(d > rules.deadline["watch_window_days"], "outside_10_day_window")
+
+
+def screen_reason(rules: Rules) -> Column:
+    """First-pass screen on listing data."""
+    return F.coalesce(
+        dated_out(rules),
+        F.when(~F.col("classification.is_it_related"), "not_it_related").when(~F.col("geo.in_region"), "not_jharkhand"),
     )
 
 

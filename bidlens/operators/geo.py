@@ -84,10 +84,12 @@ def contains_any(text: Column, markers: list[str]) -> Column:
     return F.exists(strings(markers), lambda m: F.contains(text, m))
 
 
-def assess(df: DataFrame, rules: Rules, doc_text: Column | None = None) -> DataFrame:
+def assess(df: DataFrame, rules: Rules, doc_text: Column | None = None, where: Column | None = None) -> DataFrame:
+    """Adds ``geo``. Rows outside ``where`` are not read: they are judged like a bid without text."""
     g = rules.geography
     state = g["state"]
-    df = df.withColumn("_fields", fields(doc_text))
+    texts = fields(doc_text)
+    df = df.withColumn("_fields", texts if where is None else F.when(where, texts).otherwise(F.slice(texts, 1, 0)))
     df = df.withColumns(
         {
             "_matches": match_fields(F.col("_fields"), rules),

@@ -9,7 +9,7 @@ from bidlens.operators.classify import classify
 from bidlens.operators.corrections import apply_corrections, fallback_summary
 from bidlens.operators.eligibility import assess_eligibility
 from bidlens.operators.emd import analyze_emd, cleaned_document
-from bidlens.operators.gate import deadline, screen_reason, verdict
+from bidlens.operators.gate import dated_out, deadline, screen_reason, verdict
 from bidlens.operators.geo import assess
 from bidlens.operators.requirements import extract_requirements
 from bidlens.operators.scoring import score
@@ -20,10 +20,19 @@ from bidlens.session import keep
 
 
 def screen(bids: DataFrame, rules: Rules, now: str) -> DataFrame:
-    """Cheap first pass on listing data; adds screen_reason (null = shortlisted)."""
-    df = deadline(conform(bids), rules, now)
-    df = assess(classify(df, rules), rules)
-    return df.withColumn("screen_reason", screen_reason(rules))
+    """Cheap first pass on listing data; adds screen_reason (null = shortlisted).
+
+    The day test comes first: the text of a bid that its closing date rules out is not read.
+    """
+    df = deadline(conform(bids), rules, now).withColumn("_dated_out", dated_out(rules))
+    open_ = F.col("_dated_out").isNull()
+    df = assess(classify(df, rules, where=open_), rules, where=open_)
+    return df.withColumn("screen_reason", screen_reason(rules)).drop("_dated_out")
+
+
+def looked_at(bids: DataFrame, rules: Rules, now: str) -> DataFrame:
+    """Every bid with its class and region by the listing, whatever its closing date."""
+    return assess(classify(deadline(conform(bids), rules, now), rules), rules)
 
 
 def analyse(

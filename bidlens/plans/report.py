@@ -13,7 +13,7 @@ from bidlens.functions import literal
 from bidlens.functions.lists import present
 from bidlens.functions.text import blank_to
 from bidlens.functions.values import rupees, short_number
-from bidlens.operators import emd, security
+from bidlens.operators import emd, ranking, security
 from bidlens.operators.scoring import component_lines
 from bidlens.operators.snapshot import change_sentence
 from bidlens.rules import Rules
@@ -164,9 +164,12 @@ def emd_totals(accepted: DataFrame) -> DataFrame:
 
 def manifest(
     judged: DataFrame, screened_out: DataFrame, merged: DataFrame, issues: DataFrame, degraded: DataFrame,
-    queries: int, details: int, documents: int, run_id: str, started: str, finished: str | None,
+    queries: DataFrame, details: DataFrame, documents: DataFrame, run_id: str, started: str, finished: str | None,
 ) -> DataFrame:
-    """One row about the run. Issues are counted by stage and error type; their lines are rows of ``access_issues``."""
+    """One row about the run: ``queries`` asked, ``details`` pages and ``documents`` read are counted.
+
+    Issues are counted by stage and error type; their lines are rows of ``access_issues``.
+    """
     rejected = rejections(judged, screened_out).agg(
         F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("rejected")
     )
@@ -184,11 +187,12 @@ def manifest(
     trouble = kinds.agg(F.array_sort(F.collect_list(F.struct("stage", "error_type", "n"))).alias("issues"))
     modes = degraded.agg(F.array_sort(F.collect_set("mode")).alias("degraded_modes"))
     row = verdicts.crossJoin(out).crossJoin(rejected).crossJoin(stored).crossJoin(trouble).crossJoin(modes)
+    for name, df in (("queries", queries), ("details_fetched", details), ("documents_downloaded", documents)):
+        row = row.crossJoin(df.agg(F.count("*").alias(name)))
     return row.select(
         F.lit(run_id).alias("run_id"), F.lit(started).alias("started_at"), F.lit(finished).cast("string").alias("finished_at"),
-        F.lit(queries).alias("queries"), (F.col("_judged") + F.col("_out")).alias("listings_seen"),
-        (F.col("_judged") + F.col("_out")).alias("candidates"), F.lit(details).alias("details_fetched"),
-        F.lit(documents).alias("documents_downloaded"), "accepted", "watchlist", "rejected", "new_tenders",
+        "queries", (F.col("_judged") + F.col("_out")).alias("listings_seen"), (F.col("_judged") + F.col("_out")).alias("candidates"),
+        "details_fetched", "documents_downloaded", "accepted", "watchlist", "rejected", "new_tenders",
         "updated_tenders", "issues", "degraded_modes",
     )
 
@@ -231,12 +235,22 @@ def executive_summary(accepted: DataFrame, watchlist: DataFrame, changes: DataFr
     return _section(row.select(F.posexplode(lines).alias("i", "line")), "executive_summary", F.array("i"), "keyvalue", F.col("line"))
 
 
-def data_quality(counts: DataFrame, issues: DataFrame, degraded: DataFrame, rules: Rules) -> DataFrame:
+def run_line() -> Column:
+    n = {c: F.col(c).cast("string") for c in ("queries", "listings_seen", "details_fetched", "documents_downloaded")}
+    return _c(
+        "Run ", F.col("run_id"), " · ", n["queries"], " search terms · ", n["listings_seen"], " bids seen · ", n["details_fetched"],
+        " detail pages read · ", n["documents_downloaded"], " documents analysed.",
+    )
+
+
+def data_quality(counts: DataFrame, issues: DataFrame, degraded: DataFrame, rules: Rules, manifest: DataFrame) -> DataFrame:
+    """The run's line (from its ``manifest`` row), what was filtered out, access issues and degraded modes."""
+    head = _section(manifest, "data_quality", F.array(F.lit(-1), F.lit(0)), "paragraph", run_line())
     filtered = label_reasons(counts, rules)
     a = _section(filtered, "data_quality", F.array(F.lit(0), -F.col("n")), "bullet", _c(F.col("n").cast("string"), " — ", F.col("label")))
     b = _section(issues, "data_quality", F.array(F.lit(1), F.lit(0)), "bullet", issue_line())
     c = _section(degraded.distinct(), "data_quality", F.array(F.lit(2), F.lit(0)), "bullet", F.col("mode"))
-    return a.unionByName(b).unionByName(c)
+    return head.unionByName(a).unionByName(b).unionByName(c)
 
 
 def priority(ranked: DataFrame) -> DataFrame:
@@ -385,9 +399,10 @@ def change_log(changes: DataFrame, reported: DataFrame) -> DataFrame:
 
 
 def change_section(changes: DataFrame, reported: DataFrame) -> DataFrame:
-    log = change_log(changes, reported)
-    lines = log.select(F.posexplode(F.concat(F.array("label"), F.col("lines"))).alias("i", "text"), F.xxhash64("identity_key").alias("h"))
-    return _section(lines, "change_log", F.array(F.col("h"), F.col("i")), F.when(F.col("i") == 0, "paragraph").otherwise("bullet"), F.col("text"))
+    """The changed bids in the order of their keys, each with its lines."""
+    log = ranking.number_rows(change_log(changes, reported), [F.col("identity_key")], name="n")
+    lines = log.select("n", F.posexplode(F.concat(F.array("label"), F.col("lines"))).alias("i", "text"))
+    return _section(lines, "change_log", F.array(F.col("n"), F.col("i")), F.when(F.col("i") == 0, "paragraph").otherwise("bullet"), F.col("text"))
 
 
 def references(ranked: DataFrame, ranked_watchlist: DataFrame) -> DataFrame:
@@ -398,12 +413,16 @@ def references(ranked: DataFrame, ranked_watchlist: DataFrame) -> DataFrame:
 
 def report_lines(
     ranked: DataFrame, ranked_watchlist: DataFrame, changes: DataFrame, counts: DataFrame, issues: DataFrame,
-    degraded: DataFrame, rules: Rules,
+    degraded: DataFrame, rules: Rules, manifest: DataFrame,
 ) -> DataFrame:
-    """All sections, in the report's order under ``section_no``."""
+    """``line, section, kind, text``: the whole report as one table, numbered from 1 in its own order.
+
+    Lines are dealt by ranges of (section, seq, text), so a long section is spread
+    over many partitions; the numbers come from the partitions' sizes.
+    """
     sections = (
         executive_summary(ranked, ranked_watchlist, changes, issues),
-        data_quality(counts, issues, degraded, rules),
+        data_quality(counts, issues, degraded, rules, manifest),
         priority(ranked), urgent(ranked), detailed(ranked), emd_summary(ranked), documents_summary(ranked),
         risks(ranked), actions(ranked), watchlist(ranked_watchlist),
         change_section(changes, ranked.unionByName(ranked_watchlist)), references(ranked, ranked_watchlist),
@@ -412,4 +431,5 @@ def report_lines(
     for i, s in enumerate(sections, start=1):
         s = s.withColumn("section_no", F.lit(i))
         out = s if out is None else out.unionByName(s)
-    return out
+    order = [F.col(c) for c in ("section_no", "seq", "text", "kind")]
+    return ranking.number_lines(out, order, "line").select("line", "section", "kind", "text")

@@ -10,8 +10,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bidlens.rules import load_rules
 from bidlens.session import spread
 
+#: The portal that the sample pages come from, and its numbers.
+SITE = load_rules().portal["base_url"]
+
+
+def number(n: int | str) -> str:
+    return f"GEM/2026/B/{n}"
+
+
 NOW = "2026-09-06 08:30:00"
 TODAY = "2026-09-06"
 
@@ -33,27 +42,27 @@ SELECT
   CASE WHEN o.o_orderkey % 20 = 19 THEN 'https://tenders.example.com/bid/' ELSE 'https://bidplus.gem.gov.in/showbidDocument/' END
     || CAST(7000000 + o.o_orderkey AS STRING) AS source_url,
   CASE o.o_orderkey % 11
-    WHEN 0 THEN 'Purchase of Laptop sets for the records room'
-    WHEN 1 THEN 'Annual Maintenance Contract of Computers and Printers'
-    WHEN 2 THEN 'Supply, Installation and Commissioning of CCTV System'
-    WHEN 3 THEN 'Procurement of Online UPS 3 KVA units'
-    WHEN 4 THEN 'Supply of Office Furniture including Computer Table'
-    WHEN 5 THEN 'AMC of Lift and Elevator'
-    WHEN 6 THEN 'Supply of 50 Laptops and laptop with Computer Table'
-    WHEN 7 THEN 'Bedside patient monitor for the recovery ward'
-    WHEN 8 THEN 'Wi Fi Access Point and All-in-One PC'
-    WHEN 9 THEN 'Hiring of security guard and X-Ray services'
-    ELSE 'Supply of equipment' END AS title,
+    WHEN 0 THEN 'Purchase of Document Scanner with feeder for the land registry'
+    WHEN 1 THEN 'Servicing of Firewall and Managed Switch under comprehensive AMC'
+    WHEN 2 THEN 'Supply, Installation and Commissioning of Dome Camera and Video Wall'
+    WHEN 3 THEN 'Procurement of Tape Library with VRLA Battery'
+    WHEN 4 THEN 'Supply of Canteen Furniture including Computer Chair'
+    WHEN 5 THEN 'AMC of Fire and smoke alarms'
+    WHEN 6 THEN 'Supply of 12 Desktops and desktop with Computer Paper'
+    WHEN 7 THEN 'Vital signs monitor for the blood bank'
+    WHEN 8 THEN 'Wi Fi router and All-in-One PC'
+    WHEN 9 THEN 'Hiring of nursing and Ultrasound services'
+    ELSE 'Supply of garden tools' END AS title,
   CASE o.o_custkey % 7
-    WHEN 0 THEN 'Ashok Marg Annexe, Hinoo, Ranchi, Jharkhand'
-    WHEN 1 THEN 'Stores Block, Bank More, Dhanbad, Jharkhand'
-    WHEN 2 THEN 'Bokaro Steel City, Bokaro'
-    WHEN 3 THEN 'Thiruvananthapuram, Kerala'
-    WHEN 4 THEN 'Multiple states across India'
-    WHEN 5 THEN 'Mango Traders Arcade'
+    WHEN 0 THEN 'Canal Road, Giridih, Jharkhand'
+    WHEN 1 THEN 'Seed Farm, Dumka, Jharkhand'
+    WHEN 2 THEN 'Adityapur Phase 2, Saraikela'
+    WHEN 3 THEN 'Nashik, Maharashtra'
+    WHEN 4 THEN 'Various locations across the country'
+    WHEN 5 THEN 'Mango orchard depot'
     ELSE '' END AS delivery_location,
-  CASE WHEN o.o_custkey % 13 = 6 THEN 'Bharat Coking Coal Limited' ELSE c.c_name END AS buyer_organization,
-  CASE WHEN o.o_custkey % 5 = 0 THEN 'Ministry of Coal' ELSE '' END AS ministry,
+  CASE WHEN o.o_custkey % 13 = 6 THEN 'Heavy Engineering Corporation' ELSE c.c_name END AS buyer_organization,
+  CASE WHEN o.o_custkey % 5 = 0 THEN 'Ministry of Textiles' ELSE '' END AS ministry,
   CASE o.o_orderstatus WHEN 'P' THEN 'Bid Cancelled' ELSE '' END AS portal_status,
   CAST(1 + o.o_orderkey % 60 AS DOUBLE) AS quantity,
   CASE WHEN o.o_orderkey % 4 = 1 THEN '' ELSE 'Nos' END AS quantity_unit,
@@ -143,6 +152,16 @@ FROM ({BIDS})
 """
 
 
+# Notices that a search engine found: they name the bid's page and place, not its number.
+NOTICES = """
+SELECT k, 'q' || CAST(k % 4 AS STRING) AS query, CAST(k % 4 AS INT) AS query_pos, k AS hit_pos, title,
+  'Notice for ' || title || ' at ' || delivery_location AS snippet, source_url AS link
+FROM ({BIDS})
+"""
+# Documents by their address.
+FILES = "SELECT k, 'https://bidplus.gem.gov.in/showbidDocument/' || CAST(7000000 + k AS STRING) AS url, doc_text AS text FROM ({BIDS})"
+
+
 # File names as buyers write them, and links with odd hosts.
 NAMES = """
 SELECT k, CASE k % 8 WHEN 0 THEN 'Buyer Added Bid Specific ATC' WHEN 1 THEN 'Corrigendum 1' WHEN 2 THEN 'Technical Specification'
@@ -177,9 +196,12 @@ def sql(name: str, dialect: dict[str, str]) -> str:
         "bids": BIDS,
         "next_day": NEXT_DAY.replace("{COLUMNS}", ", ".join(COLUMNS)),
         "listing_cards": f"SELECT k, CAST(floor(k / 8) AS BIGINT) AS page_no, {CARD} AS card FROM ({{BIDS}})",
+        "next_cards": f"SELECT k, CAST(floor(k / 8) AS BIGINT) AS page_no, {CARD} AS card FROM ({NEXT_DAY.replace('{COLUMNS}', ', '.join(COLUMNS))})",
         "details": f"SELECT k, bid_number, source_url, {DETAIL} AS html FROM ({{BIDS}})",
-        "payloads": f"SELECT k, bid_number, source_url, {PAYLOAD} AS payload FROM ({{BIDS}}) WHERE k % 8 < 6",
+        "payloads": f"SELECT k, bid_number, source_url, CASE WHEN k % 8 < 6 THEN {PAYLOAD} END AS payload FROM ({{BIDS}})",
         "hits": HITS,
+        "notices": NOTICES,
+        "files": FILES,
         "names": NAMES,
         "links": LINKS,
     }
@@ -201,9 +223,9 @@ def view(spark: SparkSession, sf_dir: str, name: str = "bids") -> DataFrame:
     )
 
 
-def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def listing_pages(spark: SparkSession, sf_dir: str, name: str = "listing_cards") -> DataFrame:
     """Listing pages of eight cards each, as ``page_no, url, html``."""
-    cards = view(spark, sf_dir, "listing_cards")
+    cards = view(spark, sf_dir, name)
     ordered = F.array_sort(F.collect_list(F.struct("k", "card")))
     return cards.groupBy("page_no").agg(
         F.array_join(F.transform(ordered, lambda c: c["card"]), "").alias("cards")

@@ -60,15 +60,13 @@ def change_rows(changes: DataFrame, judged: DataFrame) -> DataFrame:
     return df.select(*[c.alias(n) for c, n in zip(cells, CHANGES)])
 
 
-def run_rows(manifest: DataFrame, issues: DataFrame, report_url: str = "") -> DataFrame:
-    """The run tab; it has the lines of a run's ``issues`` (run_id, line) in one cell, so they must fit one."""
-    lines = issues.groupBy("run_id").agg(F.array_sort(F.collect_list("line")).alias("_lines"))
-    manifest = manifest.join(lines, "run_id", "left")
+def run_rows(manifest: DataFrame, report_url: str = "") -> DataFrame:
+    """The run tab. Its cell of access issues counts them by type and stage; the lines are rows of ``report.access_issues``."""
+    told = F.transform("issues", lambda e: F.concat(e["error_type"], F.lit(" at "), e["stage"], F.lit(" ("), e["n"].cast("string"), F.lit(")")))
     cells = (
         F.col("run_id"), F.col("started_at"), F.coalesce("finished_at", F.lit("")), F.col("queries"),
         F.col("listings_seen"), F.col("details_fetched"), F.col("documents_downloaded"), F.col("accepted"),
         F.col("watchlist"), F.col("new_tenders"), F.col("updated_tenders"),
-        F.array_join(F.coalesce("_lines", F.array().cast("array<string>")), " | "), F.array_join("degraded_modes", ", "),
-        F.lit(report_url),
+        F.array_join(told, " | "), F.array_join("degraded_modes", ", "), F.lit(report_url),
     )
     return manifest.select(*[c.alias(n) for c, n in zip(cells, RUNS)])

@@ -115,10 +115,10 @@ def inside(fragment: Column) -> Column:
     return F.substring(fragment, F.lit(1), F.aggregate(parts, start, step, lambda s: s["chars"]))
 
 
-def listing_cards(pages: DataFrame, rules: Rules) -> DataFrame:
-    """One row per card with a bid number: candidates plus ``page_url, pos``."""
+def listing_cards(pages: DataFrame, rules: Rules, keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per card with a bid number: candidates plus ``page_url, pos`` and the pages' columns ``keep``."""
     base = F.lit(rules.portal["base_url"])
-    df = pages.select(F.col("url").alias("page_url"), F.posexplode(cards(F.col("html"))).alias("pos", "card"))
+    df = pages.select(F.col("url").alias("page_url"), *keep, F.posexplode(cards(F.col("html"))).alias("pos", "card"))
     link = F.coalesce(
         *[F.nullif(F.regexp_extract("card", p, 0), F.lit("")) for p in BID_LINK], F.lit("")
     )
@@ -173,7 +173,7 @@ def listing_cards(pages: DataFrame, rules: Rules) -> DataFrame:
         "page_url", "pos", "bid_number", "source_url", "title", "item_description", "category",
         "buyer_address", F.col("buyer_address").alias("buyer_organization"),
         F.col("_quantity.number").alias("quantity"), F.col("_quantity.unit").alias("quantity_unit"),
-        "bid_start_at", "bid_end_at", "listing_text",
+        "bid_start_at", "bid_end_at", "listing_text", *keep,
     )
 
 
@@ -203,7 +203,8 @@ def detail_fields(html: Column, rules: Rules) -> Column:
 
     table = F.transform(F.regexp_extract_all(html, F.lit(ROW), F.lit(1)), entry)
     divs = F.zip_with(F.regexp_extract_all(html, F.lit(DIV_ROW), F.lit(1)), F.regexp_extract_all(html, F.lit(DIV_ROW), F.lit(2)), div_entry)
-    rows = F.concat(table, divs)
+    # The page's table rows, or, where it has none at all, its div rows.
+    rows = let(table, lambda t: F.when(F.size(t) > 0, t).otherwise(divs))
     known = F.filter(rows, lambda r: r["field"].isNotNull() & (r["value"] != ""))
 
     def firsts(rows: Column) -> Column:
@@ -220,22 +221,24 @@ def detail_rows(pages: DataFrame, rules: Rules) -> DataFrame:
     return pages.select(F.col("url").alias("page_url"), F.explode(detail_fields(F.col("html"), rules)).alias("field", "value"))
 
 
-def merge_details(bids: DataFrame, details: DataFrame, rules: Rules) -> DataFrame:
-    """Lay detail pages (``bid_number, url, html``) over listing bids.
+def merge_details(bids: DataFrame, details: DataFrame, rules: Rules, by: str = "bid_number") -> DataFrame:
+    """Lay detail pages (``url, html``, and ``bid_number`` unless ``by`` is "url") over listing bids.
 
-    Of several pages of a bid the one with the largest url counts; pages and bids
-    without a number match nothing, so no bid is ever repeated.
+    A page belongs to the bid of its number, or, by "url", to the bids whose
+    ``source_url`` is the page's. Of several pages of a bid the one with the largest
+    url counts; blank numbers and urls match nothing, so no bid is ever repeated.
+    ``detail_url`` is null where no page was found.
 
     Text overrides where it is not blank, dates where they parse, quantity where
     it parses (keeping the listing's unit if the page gives none).
     """
-    parsed = details.filter("bid_number <> ''").select(
-        F.col("bid_number").alias("_bid"), F.col("url").alias("detail_url"),
+    parsed = details.filter(F.col(by) != "").select(
+        F.col(by).alias("_bid"), F.col("url").alias("detail_url"),
         F.xxhash64("html").alias("_page"), detail_fields(F.col("html"), rules).alias("_d"),
     )
     latest = Window.partitionBy("_bid").orderBy(F.desc("detail_url"), "_page")
     parsed = parsed.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n", "_page")
-    df = conform(bids).join(parsed, F.col("bid_number") == F.col("_bid"), "left")
+    df = conform(bids).join(parsed, F.col("source_url" if by == "url" else by) == F.col("_bid"), "left")
 
     def said(field: str) -> Column:
         return F.element_at("_d", field)
@@ -306,19 +309,21 @@ def attachments(pages: DataFrame, rules: Rules, known: DataFrame | None = None)
         F.transform(F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(0)), link),
         lambda a: a["rank"].isNotNull() & (a["href"] != ""),
     )
-    df = pages.select(F.col("url").alias("page_url"), F.posexplode(found).alias("pos", "a"))
-    df = df.select(
-        "page_url", "pos", F.col("a.rank").alias("rank"),
-        resolve(F.col("page_url"), F.col("a.href")).alias("url"),
-        blank_to("a.text", F.regexp_extract("a.href", "([^/]*)/*$", 1), F.lit("document")).alias("name"),
-    )
-    first = df.groupBy("page_url", "url").agg(F.min(F.struct("rank", "pos", "name")).alias("f"))
+    placed = F.transform(found, lambda a, i: F.struct(
+        a["rank"].alias("rank"), i.alias("pos"), resolve(F.col("page_url"), a["href"]).alias("url"),
+        blank_to(a["text"], F.regexp_extract(a["href"], "([^/]*)/*$", 1), F.lit("document")).alias("name"),
+    ))
+
+    def firsts(links: Column) -> Column:
+        """Of each URL the first link, in the order of rank and place: what sorts before it has other URLs."""
+        urls = F.transform(links, lambda x: x["url"])
+        return F.filter(links, lambda x, i: F.array_position(urls, x["url"]) == i + 1)
+
+    df = pages.select(F.col("url").alias("page_url"), "html").select("page_url", F.explode(let(F.array_sort(placed), firsts)).alias("f"))
+    first = df.select("page_url", "f.*")
     if known is not None:
         first = first.join(known.select("page_url", "url"), ["page_url", "url"], "left_anti")
-    return first.select(
-        "page_url", F.col("f.rank").alias("rank"), F.col("f.pos").alias("pos"), F.col("f.name").alias("name"),
-        "url", document_kind("f.name").alias("kind"),
-    )
+    return first.select("page_url", "rank", "pos", "name", "url", document_kind("name").alias("kind"))
 
 
 def is_challenge(html: Column | str, rules: Rules) -> Column:

@@ -192,12 +192,13 @@ def test_issues_are_rows_and_the_manifest_counts_them(spark):
     issues = spark.createDataFrame(rows + rows[:1], "occurred_at string, stage string, target string, error_type string").withColumn("occurred_at", F.col("occurred_at").cast("timestamp"))
 
     def row(some):
-        return report.manifest(judged, screened, stored, some, modes, 1, 2, 3, "r", "a", "b")
+        return report.manifest(judged, screened, stored, some, modes, spark.range(1), spark.range(2), spark.range(0), "r", "a", "b")
 
     assert [tuple(x) for x in row(issues).first()["issues"]] == [("detail", "HTTP_500", 150), ("listing", "HTTP_500", 51)]
     assert row(issues.limit(0)).first()["issues"] == []
     out = report.access_issues(issues, "r").collect()
     assert len(out) == 201 and {r["run_id"] for r in out} == {"r"} and [r["line"] for r in out] == sorted(r["line"] for r in out)
-    tab = exports.run_rows(row(issues), report.access_issues(issues, "r")).first()
-    assert tab["Access Issues"] == " | ".join(r["line"] for r in out)
-    assert exports.run_rows(row(issues.limit(0)), report.access_issues(issues.limit(0), "r")).first()["Access Issues"] == ""
+    tab = exports.run_rows(row(issues)).first()
+    assert tab["Access Issues"] == "HTTP_500 at detail (150) | HTTP_500 at listing (51)"
+    assert (tab["Queries"], tab["Details Fetched"], tab["Documents"]) == (1, 2, 0)
+    assert exports.run_rows(row(issues.limit(0))).first()["Access Issues"] == ""

@@ -5,30 +5,33 @@ from pyspark.sql import functions as F
 
 from bidlens.operators import corrections, discovery, snapshot
 from bidlens.plans import daily, report
+from bidlens.plans.views import SITE, number
 from bidlens.schema import conform
 from bidlens.sources import documents, hits, pages, snapshots
 
-SITE = "https://bidplus.gem.gov.in"
 
 
-def card(n, items, category, department, end, kind="card"):
+def card(n, items, department, end, category="Goods", kind="card"):
     return (
-        f'<div class="{kind}"><div class="col-block"><a class="bid_no_hover" href="/showbidDocument/{n}">GEM/2026/B/{n}</a></div>'
-        f'<div class="col-block">Items: {items}</div><div class="col-block">Quantity: 45 Nos</div><div class="col-block">Category: {category}</div>'
+        f'<div class="{kind}"><div class="col-block"><a class="bid_no_hover" href="/showbidDocument/{n}">{number(n)}</a></div>'
+        f'<div class="col-block">Items: {items}</div><div class="col-block">Quantity: {n} Nos</div><div class="col-block">Category: {category}</div>'
         f'<div class="col-block">Department Name And Address: {department}</div>'
-        f'<div class="col-block">Start Date: <span class="start_date">01-09-2026 09:00:00</span></div>'
-        f'<div class="col-block">End Date: <span class="end_date">{end} 15:00:00</span></div></div>'
+        f'<div class="col-block">Start Date: <span class="start_date">02-09-2026 10:00:00</span></div>'
+        f'<div class="col-block">End Date: <span class="end_date">{end} 17:30:00</span></div></div>'
     )
 
 
+# One or more cards for every way out of the screen and the gate.
 DAY = [
-    card(1, "Supply of Laptop (Notebook\n  Computer)", "Laptop", "Higher Education, Ranchi, Jharkhand", "10-09-2026"),
-    card(2, "Annual Maintenance Contract (AMC) of Computers and Printers", "AMC Services", "Stores Block, Bank More, Dhanbad, Jharkhand", "07-09-2026"),
-    card(3, "Supply of wooden benches and a Computer Table", "Office Furniture", "Block Office, Ranchi", "13-09-2026"),
-    card(4, "Supply of Desktop Computer with Monitor", "Desktop Computer", "Kozhikode, Kerala", "11-09-2026"),
-    card(5, "Supply, Installation of CCTV with NVR and IP Camera", "CCTV", "Camp 2, Bokaro", "01-10-2026"),
-    card(6, "Upkeep of passenger lifts", "Lift Maintenance", "Morabadi, Ranchi", "12-09-2026"),
-    card(7, "Supply of UPS 3 KVA", "Online UPS", "Water Works Division, Ranchi", "03-09-2026"),
+    card(11, "Barcode Scanner with\n  stand", "District Library, Deoghar, Jharkhand", "09-09-2026"),
+    card(12, "Cotton blankets", "Hostel, Chatra", "09-09-2026"),
+    card(13, "Tea and snacks (catering) at meetings", "Circuit House, Hazaribagh", "06-09-2026"),
+    card(14, "Interactive Panel for the training hall", "Law College, Nagpur, Maharashtra", "15-09-2026"),
+    card(15, "Antivirus renewal", "Mint Street, Chennai", "08-09-2026"),
+    card(16, "Structured Cabling and Patch Panel", "Treasury, Jamshedpur, Jharkhand", "05-09-2026"),
+    card(17, "Help desk and system administrator for the registry", "Collectorate, Dumka, Jharkhand", "06-09-2026"),
+    card(18, "Thin Client terminals", "Museum, Pakur, Jharkhand", "09-11-2026"),
+    card(19, "Video Wall", "Stadium, Palamu, Jharkhand", "20-10-2026"),
 ]
 
 
@@ -41,37 +44,32 @@ def row(label, value):
 
 
 DETAILS = {
-    "1": [row("EMD Amount", "Rs. 64,000"), row("ePBG Percentage(%)", "3.00"), row("Estimated Bid Value", "Rs. 28,40,000"), row("MSE Exemption", "Yes"),
-          row("Total Quantity", "45"), row("RA Enabled", "Yes"), row("Unknown", "x"), row("EMD", "ignored")],
-    "2": [row("EMD Amount", "0"), row("ePBG Percentage(%)", "0.00"), row("Ministry/State Name", "Ministry of Coal")],
-    "5": [row("EMD Amount", "Rs. 3,80,000"), row("Estimated Bid Value", "Rs. 1,90,00,000"), row("Bid End Date/Time", "soon")],
+    11: [row("EMD Amount", "Rs. 12,500"), row("Estimated Bid Value", "Rs. 6,10,000"), row("Unknown", "x"), row("EMD", "ignored"), row("MSE Exemption", "No")],
+    17: [row("ePBG Percentage(%)", "5.00"), row("EMD Amount", "0"), row("Ministry/State Name", "Ministry of Tourism")],
+    19: [row("Bid End Date/Time", "to be told"), row("Estimated Bid Value", "Rs. 44,00,000")],
 }
 
 
 def test_whole_day_from_saved_pages(spark, rules, now):
-    """Seven cards in: two accepted, one watched, four out for stated reasons; a rerun changes nothing."""
+    """Nine cards in; each leaves by the verdict or reason that it was made for, and a rerun changes nothing."""
     found = pages.listing_cards(page(spark, "".join(DAY)), rules)
-    assert found.count() == 7
-    details = spark.createDataFrame([(f"GEM/2026/B/{n}", f"{SITE}/d/{n}", f"<table class='table'>{''.join(r)}</table>") for n, r in DETAILS.items()], "bid_number string, url string, html string")
-    bids = pages.merge_details(found, details, rules)
-    judged, out = daily.run(bids, rules, now)
-    got = {r.bid_number[-1]: r for r in judged.collect()}
-    assert {n: r.verdict for n, r in got.items()} == {"1": "accepted", "2": "accepted", "5": "watchlist"}
-    assert got["1"].urgency == "HIGH PRIORITY" and got["2"].urgency == "URGENT"
-    assert got["1"].emd.amount == 64000.0 and got["1"].security.percentage == 3.0 and got["1"].estimated_value == 2_840_000.0
-    assert got["2"].emd.status == "not_required" and got["2"].security.epbg == "not_required" and got["2"].quantity_unit == "Nos"
-    assert got["2"].estimated_value is None
+    assert found.count() == len(DAY)
+    details = spark.createDataFrame([(number(n), f"{SITE}/d/{n}", f"<table class='table'>{''.join(r)}</table>") for n, r in DETAILS.items()], "bid_number string, url string, html string")
+    judged, out = daily.run(pages.merge_details(found, details, rules), rules, now)
+    got = {int(r.bid_number[-2:]): r for r in judged.collect()}
+    assert {n: (r.verdict, r.urgency) for n, r in got.items()} == {11: ("accepted", "HIGH PRIORITY"), 17: ("accepted", "URGENT"), 19: ("watchlist", "WATCHLIST")}
+    assert (got[11].emd.amount, got[11].estimated_value, got[11].emd.msme_exemption) == (12_500.0, 610_000.0, "not_required")
+    assert (got[17].emd.status, got[17].security.percentage, got[17].quantity_unit, got[17].estimated_value) == ("not_required", 5.0, "Nos", None)
     reasons = {r.reason: r.n for r in report.rejections(judged, out).collect()}
-    assert reasons == {"not_it_related": 2, "not_jharkhand": 1, "expired": 1}
+    assert reasons == {"not_it_related": 2, "not_jharkhand": 2, "expired": 1, "outside_10_day_window": 1}
     rows = snapshot.flat_rows(judged, "2026-09-06").persist()
-    first = snapshot.merge(snapshot.joined(rows.limit(0), rows), rows.columns)
     again = snapshot.joined(rows, rows)
-    assert {r.action for r in first.collect()} == {"new"}
+    assert {r.action for r in snapshot.merge(snapshot.joined(rows.limit(0), rows), rows.columns).collect()} == {"new"}
     assert {r.action for r in snapshot.merge(again, rows.columns).collect()} == {"updated"} and snapshot.changes(again, "2026-09-06").count() == 0
 
 
 def test_drift_is_loud_and_emptiness_is_not(spark, rules):
-    gone = "<div class='newcard'>Bid Number: GEM/2026/B/1234567 Bid End Date: 10-09-2026</div>"
+    gone = f"<div class='newcard'>Bid Number: {number(1234567)} Bid End Date: 10-09-2026</div>"
     nameless = '<div class="card"><div class="col-block">Items: laptops</div></div>'
     got = {r.url[-1]: r.state for r in pages.drift(page(spark, gone, "<p>No results found.</p>", DAY[0], nameless), rules).collect()}
     assert got == {"0": "PARSER_DRIFT", "1": "empty", "2": "ok", "3": "PARSER_DRIFT"}
@@ -90,18 +88,18 @@ def test_attachments_are_the_union_of_link_shapes(spark, rules):
 
 
 def test_search_hits_need_an_official_host(spark, rules):
-    df = spark.createDataFrame([("q", "Laptops gem/2026/b/77", "s", f"{SITE}/x"), ("q", "t", "s", "https://evil.com/GEM/2026/B/1"), ("q", "", "", f"{SITE}/y")], "query string, title string, snippet string, link string")
+    df = spark.createDataFrame([("q", f"Scanners {number(77).lower()}", "s", f"{SITE}/x"), ("q", "t", "s", f"https://evil.com/{number(1)}"), ("q", "", "", f"{SITE}/y")], "query string, title string, snippet string, link string")
     got = {r.source_url: (r.bid_number, r.title) for r in hits.candidates(df, rules).collect()}
-    assert got == {f"{SITE}/x": ("GEM/2026/B/77", "Laptops gem/2026/b/77"), f"{SITE}/y": ("", f"{SITE}/y")}
+    assert got == {f"{SITE}/x": (number(77), f"Scanners {number(77).lower()}"), f"{SITE}/y": ("", f"{SITE}/y")}
 
 
 def test_merge_records_every_finder_even_for_a_hot_bid(spark):
     """One bid holds a third of all sightings."""
-    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, "GEM/2026/B/1").otherwise(F.concat(F.lit("GEM/2026/B/"), F.col("id"))).alias("bid_number"),
+    hot = spark.range(3000).select(F.when(F.col("id") % 3 == 0, number(1)).otherwise(F.concat(F.lit(number("")), F.col("id"))).alias("bid_number"),
                                    F.concat(F.lit("t"), F.col("id")).alias("title"), F.concat(F.lit("q"), F.col("id") % 2).alias("query"), F.col("id").alias("pos"))
-    other = spark.createDataFrame([("GEM/2026/B/1", "late", "s", 0)], "bid_number string, title string, query string, pos long")
+    other = spark.createDataFrame([(number(1), "late", "s", 0)], "bid_number string, title string, query string, pos long")
     got = {r.bid_number: r for r in discovery.merge_sources({"portal": hot, "search": other}).collect()}
-    one = got["GEM/2026/B/1"]
+    one = got[number(1)]
     assert len(got) == 2000 and one.title == "t0" and one.discovered_via == ["portal", "search"] and one.sightings == 1002
     assert [(q.query, q.sightings) for q in one.matched_queries] == [("q0", 500), ("q1", 501), ("s", 1)]
 
@@ -146,8 +144,8 @@ def test_corrections_need_a_quote(make, rows, rules, now):
     base = {"plain_summary": " New  text ", "is_it_related": False, "tender_kind": "service", "jharkhand_relevance": "no"}
     payloads = [base, {**base, "classification_evidence": "furniture", "jharkhand_evidence": "Kochi"},
                 {"jharkhand_relevance": "unclear", "additional_required_documents": [{"name": "Test Report", "evidence": ""}, {"name": "Visit Slip", "evidence": "attach slip"}]}]
-    df = make(*[{"bid_number": f"GEM/2026/B/{i}"} for i in range(3)])
-    told = df.sparkSession.createDataFrame([(f"bid:GEM/2026/B/{i}", json.dumps(p)) for i, p in enumerate(payloads)], "identity_key string, payload string")
+    df = make(*[{"bid_number": number(i)} for i in range(3)])
+    told = df.sparkSession.createDataFrame([(f"bid:{number(i)}", json.dumps(p)) for i, p in enumerate(payloads)], "identity_key string, payload string")
     got = rows(daily.analyse(df, rules, now, told))
     assert (got[0].classification.is_it_related, got[0].geo.in_region, got[0].plain_summary) == (True, True, "New text")
     assert (got[1].classification.is_it_related, got[1].classification.kind, got[1].geo.in_region) == (False, "service", False)
@@ -167,8 +165,8 @@ def test_an_empty_result_replaces_a_partition(spark, tmp_path):
 
 
 def test_details_never_repeat_a_bid(spark, rules):
-    bids = spark.createDataFrame([("",)] * 5 + [("GEM/2026/B/1",)], "bid_number string")
-    details = [("", f"{SITE}/d/{i}", "<table></table>") for i in range(7)] + [("GEM/2026/B/1", f"{SITE}/d/{x}", f"<table>{row('Ministry/State Name', f'Ministry {x}')}</table>") for x in "ab"]
+    bids = spark.createDataFrame([("",)] * 5 + [(number(1),)], "bid_number string")
+    details = [("", f"{SITE}/d/{i}", "<table></table>") for i in range(7)] + [(number(1), f"{SITE}/d/{x}", f"<table>{row('Ministry/State Name', f'Ministry {x}')}</table>") for x in "ab"]
     got = pages.merge_details(bids, spark.createDataFrame(details, "bid_number string, url string, html string"), rules).collect()
     assert len(got) == 6 and {r.ministry for r in got if r.bid_number} == {"Ministry b"}
 
@@ -182,9 +180,10 @@ def feed(spark, root, batches):
     for i, rows in enumerate(batches):
         flat = [(k, end, "not_stated", None, "x", None, value, k, "open", link, day, day) for k, end, value, link, day in rows]
         amendments.merge_batch(spark.createDataFrame(flat, SNAP), i, root)
-    store = amendments.current(spark, root, spark.createDataFrame([], SNAP).drop("as_of").schema)
-    tables = [spark.read.parquet(f"{root}/{t}").drop("batch") for t in ("actions", "changes")]
-    return [sorted(map(tuple, t.select(sorted(t.columns)).collect()), key=str) for t in (store, *tables)]
+    schema = spark.createDataFrame([], SNAP).schema
+    store = amendments.store(spark, root, schema)
+    tables = [store.log("actions", amendments.ACTIONS).drop("batch"), store.log("changes", amendments.CHANGES).drop("batch")]
+    return [sorted(map(tuple, t.select(sorted(t.columns)).collect()), key=str) for t in (store.state(), *tables)]
 
 
 def test_days_in_one_batch_count_as_days_in_several(spark, tmp_path):
