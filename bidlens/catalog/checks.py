@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from bidlens.catalog.oracle import (
-    B, BC, BD, BG, BS, FULL, KEY, LISTING_HEAD, LISTING_SAYS, NOW, NOW_2, ORACLES, R, add, analysed, classified, judged, arr, at, base, capability, clean, distinct_ci, full, g,
+    B, BC, BD, BG, BS, FULL, KEY, LISTING_HEAD, LISTING_SAYS, NOW, NOW_2, ORACLES, R, SELECTS, add, analysed, classified, judged, arr, at, base, capability, clean, distinct_ci, full, g,
     gate, hits, located, official, q, rupees, score_text, screen, security_line, some, urgency, days, active,
 )
 from bidlens.plans import views
@@ -401,6 +401,13 @@ add("M10_watchlist", RW, section("watchlist", "CAST(rank AS VARCHAR)", "'bullet'
 add("M11_change_log", CH, f"SELECT section, kind, text, count(*) AS n FROM (SELECT 'change_log' AS section, 'bullet' AS kind, {LINE} AS text FROM ch UNION ALL SELECT 'change_log', 'paragraph', coalesce(z.bid_number || ' — ' || z.title, i) FROM (SELECT DISTINCT identity_key AS i FROM ch) LEFT JOIN zju z ON z.identity_key = i AND z.verdict <> 'rejected') GROUP BY ALL")
 add("M12_references", RW, section("references", "p || '.' || rank", "'bullet'", "bid_number || ' — ' || source_url", "(SELECT 0 AS p, * FROM rk UNION ALL SELECT 1, * FROM rw)"))
 
+_numbered = f"""SELECT 'change_log' AS section, n || '.' || i AS seq, kind, text FROM (SELECT dense_rank() OVER (ORDER BY identity_key) AS n, CASE WHEN kind = 'paragraph' THEN 0 ELSE row_number() OVER (PARTITION BY identity_key, kind ORDER BY text) END AS i, kind, text FROM
+ (SELECT identity_key, 'bullet' AS kind, {LINE} AS text FROM ch UNION ALL SELECT i, 'paragraph', coalesce(z.bid_number || ' — ' || z.title, i) FROM (SELECT DISTINCT identity_key AS i FROM ch) LEFT JOIN zju z ON z.identity_key = i AND z.verdict <> 'rejected'))"""
+_report = ["M1_executive_summary", "M2_data_quality", "M3_priority", "M4_urgent", "M5_detailed", "M6_emd_summary", "M7_documents_summary", "M8_risks", "M9_actions", "M10_watchlist", None, "M12_references"]
+_sections = [f"SELECT {i} AS no, section, seq, kind, text FROM ({SELECTS[n] if n else _numbered})" for i, n in enumerate(_report)]
+add("M_report_lines", f"{CH}, {ISSUES}, {rank('accepted')}, {rank('watchlist', 'rw')}",
+    f"SELECT row_number() OVER (ORDER BY no, list_transform(string_split(seq, '.'), lambda x: CAST(x AS BIGINT)), text, kind) AS line, section, kind, text FROM ({' UNION ALL '.join(_sections)})")
+
 # -- the whole run ----------------------------------------------------------
 def card_rows(view: str = "bids") -> str:
     """SELECT of what the listing cards of ``view`` say; text and head columns as the parser leaves them."""
@@ -462,4 +469,6 @@ add("N1_own_source", FOUND, """, pg AS (SELECT 'bid:GEM/2026/B/' || (7000000 + k
 w AS (SELECT identity_key, array_to_string(list_sort(list(DISTINCT adapter)), ',') AS discovered_via, count(*) AS n FROM u2 GROUP BY 1) SELECT discovered_via, count(*) AS bids, sum(n) AS sightings FROM w GROUP BY 1""")
 _ker = dict(R.geography, state="Kerala", state_aliases=["kerala"], districts=["Thiruvananthapuram", "Kochi"], localities=["Kovalam"], ambiguous_localities=[], local_organisations=["Cochin Shipyard"])
 add("N2_own_rules", base() + "," + located("n", "base", True, _ker), f"SELECT in_region, gconf AS confidence, {J(_init)} AS districts, count(*) AS n FROM ngeo GROUP BY ALL")
+_each = "SELECT k, '{0}' AS profile, grade AS match_level, fit, array_to_string(gaps, ' | ') AS gaps, array_to_string(sup, ' | ') AS supporting, total AS score, verdict, rejected_reason FROM {1}ju"
+add("N3_parameters", FULL + "," + base("x") + "," + screen("x") + "," + analysed("x", KNOWN), _each.format("default", "") + " UNION ALL " + _each.format("known", "x"))
 add("verdict_summary", FULL, "SELECT verdict, coalesce(rejected_reason, '') AS reason, urg AS urgency, count(*) AS bids, round(avg(total), 2) AS mean_score, sum(CASE WHEN estatus = 'required' THEN eamount END) AS emd_total FROM ju GROUP BY ALL")

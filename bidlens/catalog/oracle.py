@@ -450,7 +450,12 @@ def full(p: str = "", view: str = "bids", now: str = NOW) -> str:
     return base(p, view, now) + "," + screen(p) + "," + analysed(p)
 
 
+#: What follows the shared tables in each query, for those that put several together.
+SELECTS: dict[str, str] = {}
+
+
 def add(name: str, prelude: str, select: str) -> None:
+    SELECTS[name] = "WITH " + select.lstrip(", ") if select.lstrip().startswith(",") else select
     ORACLES[name] = (f"WITH {prelude.strip().lstrip(',')}\n" if prelude else "") + select
 
 

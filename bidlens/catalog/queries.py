@@ -5,6 +5,7 @@ Results are flat so that another engine can be compared with them.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -126,8 +127,11 @@ def ranked(spark: SparkSession, sf: str, verdict: str = "accepted") -> DataFrame
 
 @lru_cache(maxsize=8)
 def two_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Both days' stored rows side by side; the payload stays out of the join."""
-    first = snapshot.flat_rows(reported(spark, sf), TODAY).drop("payload")
+    """Both days' stored rows side by side; the payload stays out of the join.
+
+    The first day is stored in buckets of the key, so only the second day's rows move.
+    """
+    first = snapshots.write_bucketed(snapshot.flat_rows(reported(spark, sf), TODAY).drop("payload"))
     return snapshot.joined(first, snapshot.flat_rows(second_day(spark, sf), TODAY_2).drop("payload"))
 
 
@@ -471,7 +475,7 @@ def C3_hard_vetoes(spark, sf):
 
 @query
 def C4_capability(spark, sf):
-    cap = eligibility.capability(F.col("classification.categories"), RULES)
+    cap = eligibility.capability(F.col("classification.categories"), eligibility.profile_of(RULES))
     return listed(spark, sf).withColumn("c", cap).select("k", F.col("c.level").alias("level"), F.col("c.reason").alias("reason"))
 
 
@@ -542,7 +546,7 @@ def C9_corrections(spark, sf):
 
 @query
 def C10_district_coverage(spark, sf):
-    serves = eligibility.serves_district(F.col("geo.districts"), RULES)
+    serves = eligibility.serves_district(F.col("geo.districts"), eligibility.profile_of(RULES))
     return listed(spark, sf).select("k", F.coalesce(serves.cast("string"), F.lit("not known")).alias("serves"))
 
 
@@ -1208,6 +1212,16 @@ def M12_references(spark, sf):
     return lines(report.references(ranked(spark, sf), ranked(spark, sf, "watchlist")))
 
 
+@query
+def M_report_lines(spark, sf):
+    """The whole report as one table of numbered lines."""
+    counts = report.rejections(stored(spark, sf), screened_out(spark, sf))
+    return report.report_lines(
+        ranked(spark, sf), ranked(spark, sf, "watchlist"), changed(spark, sf), second_day(spark, sf), counts, issues(spark, sf), degraded(spark, sf), RULES,
+        run_manifest(spark, sf),
+    )
+
+
 # -- the whole run ---------------------------------------------------------
 @lru_cache(maxsize=8)
 def whole_run(spark: SparkSession, sf: str) -> run.Run:
@@ -1264,6 +1278,19 @@ def N2_own_rules(spark, sf):
     return df.groupBy(g["in_region"].alias("in_region"), g["confidence"].alias("confidence"), joined(g["districts"]).alias("districts")).agg(F.count("*").alias("n"))
 
 
+@query
+def N3_parameters(spark, sf):
+    """Two suppliers, given as a table of parameters, judged in one query."""
+    told = [(name, json.dumps(dict(p))) for name, p in (("default", RULES.profile), ("known", FULL_PROFILE))]
+    profiles = spark.createDataFrame(told, "profile string, settings string").withColumn("settings", F.from_json("settings", eligibility.PROFILE))
+    df = daily.judge_for(analysed(spark, sf), profiles, RULES)
+    e = F.col("eligibility")
+    return df.select(
+        "k", "profile", e["match_level"].alias("match_level"), e["verdict"].alias("fit"), joined(e["gaps"], " | ").alias("gaps"),
+        joined(e["supporting_points"], " | ").alias("supporting"), F.col("score.total").alias("score"), "verdict", "rejected_reason",
+    )
+
+
 @query
 def verdict_summary(spark, sf):
     """Flagship: the whole daily analysis, counted by verdict and reason."""

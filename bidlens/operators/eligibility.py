@@ -17,45 +17,62 @@ LIKELY, POTENTIAL = "Likely Suitable", "Potentially Suitable"
 VERIFY, GAP = "Requires Verification", "Major Requirement Gap"
 
 
-def capability(categories: Column, rules: Rules) -> Column:
+#: A supplier profile as a column; a null field is not known.
+PROFILE = (
+    "struct<legal_name:string,years_in_business:int,msme_registered:boolean,annual_turnover_inr:double,can_arrange_emd_upto_inr:double,"
+    "strong:array<string>,moderate:array<string>,weak:array<string>,oem_held:array<string>,oem_obtainable:array<string>,"
+    "government_supply_experience:boolean,service_districts:array<string>,min_attractive_value_inr:double,max_comfortable_value_inr:double,"
+    "avoid_keywords:array<string>>"
+)
+
+
+def profile_of(rules: Rules) -> Column:
+    """The rules' own profile as one constant."""
+    return literal(rules.profile, PROFILE)
+
+
+def _listed(profile: Column, name: str) -> Column:
+    return F.coalesce(profile[name], strings([]))
+
+
+def configured(profile: Column) -> Column:
+    named = F.coalesce(profile["legal_name"], F.lit("")) != ""
+    return (F.size(_listed(profile, "strong")) > 0) | (F.size(_listed(profile, "moderate")) > 0) | named
+
+
+def capability(categories: Column, profile: Column) -> Column:
     """STRUCT<level, reason>: best profile level that lists one of the categories."""
-    p = rules.profile
-    if not rules.profile_configured:
-        return F.struct(
-            F.lit("unknown").alias("level"), F.lit("company profile not configured").alias("reason")
-        )
     wording = {"strong": "core category", "moderate": "adjacent category", "weak": "outside usual scope"}
     low = F.transform(categories, lambda c: F.lower(c))
     hits = F.array(
         *[
             F.struct(
                 F.lit(level).alias("level"),
-                F.array_sort(F.array_intersect(low, strings([c.lower() for c in p.get(level) or []]))).alias("hit"),
+                F.array_sort(F.array_intersect(low, F.transform(_listed(profile, level), lambda c: F.lower(c)))).alias("hit"),
                 F.lit(words).alias("words"),
             )
             for level, words in wording.items()
         ]
     )
+    known = configured(profile)
 
     def describe(best: Column) -> Column:
         return F.struct(
-            F.coalesce(best["level"], F.lit("unknown")).alias("level"),
-            F.coalesce(
+            F.when(known, F.coalesce(best["level"], F.lit("unknown"))).otherwise("unknown").alias("level"),
+            F.when(known, F.coalesce(
                 F.concat(best["words"], F.lit(" ("), F.array_join(best["hit"], ", "), F.lit(")")),
                 F.lit("category not listed in the company profile"),
-            ).alias("reason"),
+            )).otherwise("company profile not configured").alias("reason"),
         )
 
     return let(F.get(F.filter(hits, lambda h: F.size(h["hit"]) > 0), F.lit(0)), describe)
 
 
-def serves_district(districts: Column, rules: Rules) -> Column:
+def serves_district(districts: Column, profile: Column) -> Column:
     """True / false / null when either side is not known."""
-    mine = rules.profile.get("service_districts") or []
-    if not mine:
-        return F.lit(None).cast("boolean")
+    mine = F.transform(_listed(profile, "service_districts"), lambda d: F.lower(d))
     low = F.transform(districts, lambda d: F.lower(d))
-    return F.when(F.size(districts) > 0, F.arrays_overlap(low, strings([d.lower() for d in mine])))
+    return F.when((F.size(districts) > 0) & (F.size(mine) > 0), F.arrays_overlap(low, mine))
 
 
 def required_turnover(lines: Column) -> Column:
@@ -84,13 +101,14 @@ def _text(*parts: Column | str) -> Column:
     return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
 
 
-def assess_eligibility(df: DataFrame, rules: Rules) -> DataFrame:
-    p = rules.profile
+def assess_eligibility(df: DataFrame, rules: Rules, profile: Column | None = None) -> DataFrame:
+    """By the rules' profile, or by each row's own ``profile`` (a PROFILE struct): the plan is the same for any number of profiles."""
+    p = profile_of(rules) if profile is None else profile
     state = rules.geography["state"]
     df = df.withColumns(
         {
-            "_cap": capability(F.col("classification.categories"), rules),
-            "_serves": serves_district(F.col("geo.districts"), rules),
+            "_cap": capability(F.col("classification.categories"), p),
+            "_serves": serves_district(F.col("geo.districts"), p),
             "_turnover": required_turnover(F.col("requirements.eligibility")),
             "_years": required_years(F.col("requirements.eligibility")),
             "_asked": F.transform("required_documents", lambda d: d["canonical"]),
@@ -105,11 +123,10 @@ def assess_eligibility(df: DataFrame, rules: Rules) -> DataFrame:
     gaps: list[Column] = []
     verify: list[Column] = []
 
-    if not rules.profile_configured:
-        verify.append(F.lit(
-            "Everything below is unverified: the company profile has not "
-            "been filled in, so the system has no basis to judge our capability."
-        ))
+    verify.append(F.when(~configured(p), (
+        "Everything below is unverified: the company profile has not "
+        "been filled in, so the system has no basis to judge our capability."
+    )))
     # Category.
     support.append(
         F.when(level == "strong", _text("Product/service category matches our core business — ", reason, "."))
@@ -130,56 +147,50 @@ def assess_eligibility(df: DataFrame, rules: Rules) -> DataFrame:
     )
     # Manufacturer authorisation.
     needs_oem = F.array_contains("_asked", "oem_authorization")
-    held, obtainable = p.get("oem_held") or [], p.get("oem_obtainable") or []
-    if held:
-        verify.append(F.when(needs_oem, "OEM Authorization (MAF) for the exact make/model this bid asks for — "
-                             f"we hold authorisations for {', '.join(held)}."))
-    elif obtainable:
-        verify.append(F.when(needs_oem, "OEM Authorization (MAF) must be arranged before bidding — "
-                             f"obtainable from {', '.join(obtainable)}."))
-    else:
-        gaps.append(F.when(needs_oem, "OEM Authorization Letter is required and no OEM authorisation is "
-                           "recorded in our profile."))
+    held, obtainable = _listed(p, "oem_held"), _listed(p, "oem_obtainable")
+    names, sources = F.array_join(held, ", "), F.array_join(obtainable, ", ")
+    has, may = F.size(held) > 0, F.size(obtainable) > 0
+    verify.append(F.when(needs_oem & has, _text(
+        "OEM Authorization (MAF) for the exact make/model this bid asks for — we hold authorisations for ", names, "."
+    )).when(needs_oem & may, _text("OEM Authorization (MAF) must be arranged before bidding — obtainable from ", sources, ".")))
+    gaps.append(F.when(needs_oem & ~has & ~may, "OEM Authorization Letter is required and no OEM authorisation is recorded in our profile."))
     # Turnover.
-    ours = p.get("annual_turnover_inr")
-    if ours is None:
-        verify.append(_text("Turnover requirement of about ", rupees(turnover),
-                            " — our turnover is not recorded in the company profile."))
-    else:
-        support.append(F.when(turnover <= ours, _text("Stated turnover requirement (", rupees(turnover), ") appears met.")))
-        gaps.append(F.when(turnover > ours, _text("Turnover requirement of ", rupees(turnover), " exceeds our recorded "
-                                                  "turnover (", rupees(F.lit(float(ours))), ").")))
+    ours = p["annual_turnover_inr"]
+    verify.append(F.when(ours.isNull(), _text(
+        "Turnover requirement of about ", rupees(turnover), " — our turnover is not recorded in the company profile."
+    )))
+    support.append(F.when(turnover <= ours, _text("Stated turnover requirement (", rupees(turnover), ") appears met.")))
+    gaps.append(F.when(turnover > ours, _text(
+        "Turnover requirement of ", rupees(turnover), " exceeds our recorded turnover (", rupees(ours), ")."
+    )))
     # Experience.
-    age = p.get("years_in_business")
-    if age is None:
-        verify.append(_text("Requirement of ", years, " years' experience."))
-    else:
-        support.append(F.when(F.col("_years") <= age, _text(years, "-year experience requirement appears met.")))
-        gaps.append(F.when(F.col("_years") > age, _text(years, f" years' experience required; profile records {age}.")))
+    age = p["years_in_business"]
+    verify.append(F.when(age.isNull(), _text("Requirement of ", years, " years' experience.")))
+    support.append(F.when(F.col("_years") <= age, _text(years, "-year experience requirement appears met.")))
+    gaps.append(F.when(F.col("_years") > age, _text(years, " years' experience required; profile records ", age.cast("string"), ".")))
     past = F.arrays_overlap(F.col("_asked"), strings(["work_order", "completion_certificate", "experience"]))
-    supplied = p.get("government_supply_experience")
-    if supplied is None:
-        verify.append(F.when(past, "Past government supply experience (work orders / completion "
-                             "certificates) — not recorded in our profile."))
-    elif supplied:
-        support.append(F.when(past, "We have prior government supply experience on record."))
-    else:
-        gaps.append(F.when(past, "Past work orders / completion certificates are required and we "
-                           "have no recorded government supply experience."))
+    supplied = p["government_supply_experience"]
+    verify.append(F.when(past & supplied.isNull(), (
+        "Past government supply experience (work orders / completion certificates) — not recorded in our profile."
+    )))
+    support.append(F.when(past & supplied, "We have prior government supply experience on record."))
+    gaps.append(F.when(past & ~supplied, (
+        "Past work orders / completion certificates are required and we have no recorded government supply experience."
+    )))
     # Deposit.
-    cap = p.get("can_arrange_emd_upto_inr")
+    cap = p["can_arrange_emd_upto_inr"]
     no_emd = F.col("emd.status") == NOT_REQUIRED
-    relief = F.lit(bool(p.get("msme_registered"))) & (F.col("emd.msme_exemption") == REQUIRED)
-    unsure = F.when(~emd_known & ~no_emd, "EMD requirement is not stated clearly in the source.")
-    if cap is None:
-        verify.append(F.when(emd_known, _text("Ability to fund EMD of ", rupees(emd), ".")).otherwise(unsure))
-        support.append(F.when(no_emd, "No EMD is required."))
-    else:
-        gaps.append(F.when(emd_known & (emd > cap), _text(
-            "EMD of ", rupees(emd), " exceeds the ", rupees(F.lit(float(cap))), " we have recorded as arrangeable.")))
-        support.append(F.when(emd_known & (emd <= cap) & relief, "MSME EMD exemption appears available to us.")
-                       .when(no_emd, "No EMD is required."))
-        verify.append(unsure)
+    relief = F.coalesce(p["msme_registered"], F.lit(False)) & (F.col("emd.msme_exemption") == REQUIRED)
+    verify.append(
+        F.when(emd_known & cap.isNull(), _text("Ability to fund EMD of ", rupees(emd), "."))
+        .when(~emd_known & ~no_emd, "EMD requirement is not stated clearly in the source.")
+    )
+    gaps.append(F.when(emd_known & (emd > cap), _text(
+        "EMD of ", rupees(emd), " exceeds the ", rupees(cap), " we have recorded as arrangeable."
+    )))
+    support.append(
+        F.when(emd_known & (emd <= cap) & relief, "MSME EMD exemption appears available to us.").when(no_emd, "No EMD is required.")
+    )
     # Performance security.
     head = security.headline()
     verify.append(
@@ -189,14 +200,16 @@ def assess_eligibility(df: DataFrame, rules: Rules) -> DataFrame:
     )
     # Work to stay away from.
     blob = F.lower(F.concat_ws(" ", "title", "item_description"))
-    for keyword in p.get("avoid_keywords") or []:
-        gaps.append(F.when(F.contains(blob, F.lit(keyword.lower())), f"Matches an avoid-list keyword: '{keyword}'."))
+    avoided = F.transform(
+        F.filter(_listed(p, "avoid_keywords"), lambda k: F.contains(blob, F.lower(k))),
+        lambda k: _text("Matches an avoid-list keyword: '", k, "'."),
+    )
 
-    df = df.withColumns({"_support": present(*support), "_gaps": present(*gaps), "_verify": present(*verify)})
+    df = df.withColumns({"_support": present(*support), "_gaps": F.concat(present(*gaps), avoided), "_verify": present(*verify)})
     n_gaps, n_support = F.size("_gaps"), F.size("_support")
     likely = (level == "strong") & (n_support >= 3) & (F.size("_verify") <= 2)
     grade = (
-        F.when(F.lit(not rules.profile_configured), F.lit("UNKNOWN"))
+        F.when(~configured(p), F.lit("UNKNOWN"))
         .when((n_gaps >= 2) | ((n_gaps > 0) & (level == "weak")), "LOW")
         .when(n_gaps > 0, "MEDIUM")
         .when(likely, "HIGH")

@@ -10,7 +10,7 @@ from bidlens.functions.lists import present, strings
 from bidlens.functions.text import blank_to
 from bidlens.functions.values import rupees, short_number
 from bidlens.operators import security
-from bidlens.operators.eligibility import capability, serves_district
+from bidlens.operators.eligibility import capability, profile_of, serves_district
 from bidlens.rules import Rules
 from bidlens.schema import CONFIRMED, INFERRED, NOT_REQUIRED, REQUIRED
 
@@ -49,9 +49,9 @@ def product(m: float) -> tuple[Column, Column]:
     )
 
 
-def location(m: float, rules: Rules) -> tuple[Column, Column]:
+def location(m: float, rules: Rules, profile: Column) -> tuple[Column, Column]:
     g, state = F.col("geo"), rules.geography["state"]
-    outside = F.coalesce(~serves_district(g["districts"], rules), F.lit(False))
+    outside = F.coalesce(~serves_district(g["districts"], profile), F.lit(False))
     sure, inferred = g["confidence"] == CONFIRMED, g["confidence"] == INFERRED
     points = (
         F.when(~g["in_region"], 0.0)
@@ -122,11 +122,10 @@ def preparation(m: float) -> tuple[Column, Column]:
     return points, reason
 
 
-def commercial(m: float, rules: Rules) -> tuple[Column, Column]:
+def commercial(m: float, profile: Column) -> tuple[Column, Column]:
     """An unpublished value is neutral, never zero."""
     value, quantity = F.col("estimated_value"), F.col("quantity")
-    floor = F.lit(rules.profile.get("min_attractive_value_inr")).cast("double")
-    ceiling = F.lit(rules.profile.get("max_comfortable_value_inr")).cast("double")
+    floor, ceiling = profile["min_attractive_value_inr"], profile["max_comfortable_value_inr"]
     large = F.coalesce(quantity >= 25, F.lit(False))
     points = (
         F.when(value.isNull() & large, m * 0.65).when(value.isNull(), m * 0.5)
@@ -180,16 +179,18 @@ def band(total: Column, rules: Rules, key: str) -> Column:
     return out.otherwise("")
 
 
-def score(df: DataFrame, rules: Rules) -> DataFrame:
+def score(df: DataFrame, rules: Rules, profile: Column | None = None) -> DataFrame:
+    """By the rules' profile, or by each row's own ``profile``."""
+    profile = profile_of(rules) if profile is None else profile
     w = {k: float(v) for k, v in rules.decision["weights"].items()}
-    df = df.withColumn("_cap", capability(F.col("classification.categories"), rules))
+    df = df.withColumn("_cap", capability(F.col("classification.categories"), profile))
     parts = {
         "product_match": product(w["product_match"]),
-        "location_match": location(w["location_match"], rules),
+        "location_match": location(w["location_match"], rules, profile),
         "business_capability": business(w["business_capability"]),
         "document_complexity": paperwork(w["document_complexity"], rules),
         "deadline_urgency": preparation(w["deadline_urgency"]),
-        "commercial_potential": commercial(w["commercial_potential"], rules),
+        "commercial_potential": commercial(w["commercial_potential"], profile),
         "procurement_complexity": procurement(w["procurement_complexity"]),
     }
     df = df.withColumn(

@@ -71,3 +71,21 @@ def screened_out(screened: DataFrame) -> DataFrame:
 
 def with_verdict(judged: DataFrame, *verdicts: str) -> DataFrame:
     return keep(judged, F.col("verdict").isin(*verdicts))
+
+
+#: Profiles up to this number are sent to every executor; more are met without a broadcast.
+FEW_PROFILES = 10_000
+
+
+def judge_for(analysed: DataFrame, profiles: DataFrame, rules: Rules) -> DataFrame:
+    """Every analysed bid judged for every supplier of a parameter table ``profile, settings`` (a PROFILE struct each).
+
+    Profiles are data: the plan does not change with them, and what does not depend on
+    a profile (texts, clauses, region) is analysed once. Columns that start with the
+    name of the profile, ``eligibility``, ``score`` and the verdict are each profile's own.
+    """
+    few = profiles.limit(FEW_PROFILES + 1).count() <= FEW_PROFILES
+    asked = profiles.select("profile", F.col("settings").alias("_settings"))
+    each = analysed.drop("eligibility", "score", "verdict", "rejected_reason").crossJoin(F.broadcast(asked) if few else asked)
+    own = F.col("_settings")
+    return judge(score(assess_eligibility(each, rules, own), rules, own).drop("_settings"), rules)

@@ -412,8 +412,8 @@ def references(ranked: DataFrame, ranked_watchlist: DataFrame) -> DataFrame:
 
 
 def report_lines(
-    ranked: DataFrame, ranked_watchlist: DataFrame, changes: DataFrame, counts: DataFrame, issues: DataFrame,
-    degraded: DataFrame, rules: Rules, manifest: DataFrame,
+    ranked: DataFrame, ranked_watchlist: DataFrame, changes: DataFrame, reported: DataFrame, counts: DataFrame,
+    issues: DataFrame, degraded: DataFrame, rules: Rules, manifest: DataFrame,
 ) -> DataFrame:
     """``line, section, kind, text``: the whole report as one table, numbered from 1 in its own order.
 
@@ -425,7 +425,7 @@ def report_lines(
         data_quality(counts, issues, degraded, rules, manifest),
         priority(ranked), urgent(ranked), detailed(ranked), emd_summary(ranked), documents_summary(ranked),
         risks(ranked), actions(ranked), watchlist(ranked_watchlist),
-        change_section(changes, ranked.unionByName(ranked_watchlist)), references(ranked, ranked_watchlist),
+        change_section(changes, reported), references(ranked, ranked_watchlist),
     )
     out = None
     for i, s in enumerate(sections, start=1):

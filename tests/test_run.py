@@ -39,10 +39,11 @@ def test_a_bid_under_two_keys_ends_as_one(spark, rules, now):
     assert got.details_read.count() == 2 and got.documents_read.count() == 2
 
 
-def test_a_run_without_anything(spark, rules, now):
-    none = [df.limit(0) for df in inputs(spark)]
-    got = run.run_report(none[0], None, *none[2:], rules, now)
-    assert got.candidates.count() == got.judged.count() == got.screened_out.count() == 0
+def test_a_run_without_anything(spark, rules):
+    cards, hits, pages, files = (df.limit(0) for df in inputs(spark))
+    found = run.find(cards, hits, rules)
+    bids, read = run.attach(run.complete(found, pages, rules), pages, files, rules)
+    assert found.count() == bids.count() == read.count() == 0
 
 
 def test_dedupe_puts_many_finders_together(spark):
@@ -56,19 +57,39 @@ def test_dedupe_puts_many_finders_together(spark):
     assert sorted({(q.query, q.sightings) for q in one[0].matched_queries}) == [("q0", 100), ("q1", 100), ("q2", 100)]
 
 
-def test_listing_stream_equals_a_batch_run(spark, rules, now, tmp_path):
-    """Three deliveries: new bids, the same pages again, one changed and one older listing."""
-    days = [
-        ("2026-09-04 08:00:00", [card(1, "Blade Server", "Archive, Ranchi, Jharkhand", "12-09-2026"), card(2, "Garden hose", "Park, Ranchi", "12-09-2026")]),
-        ("2026-09-05 08:00:00", [card(1, "Blade Server", "Archive, Ranchi, Jharkhand", "12-09-2026"), card(3, "Router", "Archive, Ranchi, Jharkhand", "12-09-2026")]),
-        ("2026-09-06 08:00:00", [card(1, "Blade Server", "Archive, Ranchi, Jharkhand", "25-12-2026")]),
-        ("2026-09-05 20:00:00", [card(3, "Router", "Archive, Ranchi, Jharkhand", "12-09-2026"), card(1, "Old", "Archive, Ranchi", "12-09-2026")]),
-    ]
-    root, everything = str(tmp_path), None
+DAYS = [
+    ("2026-09-04 08:00:00", [card(1, "Blade Server", "Archive, Ranchi, Jharkhand", "12-09-2026"), card(2, "Garden hose", "Park, Ranchi", "12-09-2026")]),
+    ("2026-09-05 08:00:00", [card(1, "Blade Server", "Archive, Ranchi, Jharkhand", "12-09-2026"), card(3, "Router", "Archive, Ranchi, Jharkhand", "12-09-2026")]),
+    ("2026-09-06 08:00:00", [card(1, "Blade Server", "Archive, Ranchi, Jharkhand", "25-12-2026")]),
+    ("2026-09-05 20:00:00", [card(3, "Router", "Archive, Ranchi, Jharkhand", "12-09-2026"), card(1, "Old", "Archive, Ranchi", "12-09-2026")]),
+]
+
+
+def saved(spark, *days):
+    out = None
     for at, cards in days:
-        saved = page(spark, "".join(cards)).selectExpr("url", "html", f"CAST('{at}' AS TIMESTAMP) AS seen_at")
-        everything = saved if everything is None else everything.union(saved)
-        saved.write.mode("append").parquet(f"{root}/pages")
+        one = page(spark, "".join(cards)).selectExpr("url", "html", f"CAST('{at}' AS TIMESTAMP) AS seen_at")
+        out = one if out is None else out.union(one)
+    return out
+
+
+def test_what_the_stream_lets_through(spark, rules, tmp_path):
+    """Four deliveries: new bids, one of them again, one changed, one older than what is known."""
+    got = []
+    for day in DAYS:
+        saved(spark, day).write.mode("append").parquet(f"{tmp_path}/pages")
+        pages = spark.readStream.schema(listings.PAGES).parquet(f"{tmp_path}/pages")
+        query = listings.versions(listings.seen(pages, rules)).writeStream.foreachBatch(
+            lambda df, i: got.append([(r.action, r.title, str(r.first_seen_at)[:10]) for r in df.orderBy("title").collect()])
+        ).option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+        query.awaitTermination()
+    assert [x for x in got if x] == [[("new", "Blade Server", "2026-09-04"), ("new", "Garden hose", "2026-09-04")], [("new", "Router", "2026-09-05")], [("updated", "Blade Server", "2026-09-04")]]
+
+
+def test_listing_stream_equals_a_batch_run(spark, rules, now, tmp_path):
+    root = str(tmp_path)
+    for days in (DAYS[:1], DAYS[1:3]):
+        saved(spark, *days).write.mode("append").parquet(f"{root}/pages")
         listings.run_available(spark, f"{root}/pages", root, rules, now)
     out = listings.read_verdicts(spark, root).orderBy("batch").collect()
     by_bid = {}
@@ -76,6 +97,6 @@ def test_listing_stream_equals_a_batch_run(spark, rules, now, tmp_path):
         by_bid.setdefault(r.identity_key, []).append((r.action, r.verdict, r.reason))
     assert by_bid[f"bid:{number(1)}"] == [("new", "accepted", None), ("updated", "screened out", "outside_10_day_window")]
     assert by_bid[f"bid:{number(2)}"] == [("new", "screened out", "not_it_related")] and by_bid[f"bid:{number(3)}"] == [("new", "accepted", None)]
-    batch = listings.verdicts(listings.latest(listings.seen(everything, rules)).selectExpr("*", "'' AS action"), rules, now).collect()
+    batch = listings.verdicts(listings.latest(listings.seen(saved(spark, *DAYS[:3]), rules)).selectExpr("*", "'' AS action"), rules, now).collect()
     last = {r.identity_key: (r.verdict, r.reason, r.urgency, r.score) for r in out}
     assert last == {r.identity_key: (r.verdict, r.reason, r.urgency, r.score) for r in batch}
