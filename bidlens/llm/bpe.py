@@ -26,12 +26,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from bidlens.llm.shared import Memory
+from bidlens.llm.shared import Memory, unused
 
 #: Unicode's White_Space property, which is what ``\s`` stands for in the tokenizers' patterns.
 WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: Entries that a Python worker remembers: words with what adjoins them, pieces, pairs of tokens.
-CHUNKS, PIECES, PAIRS = 200_000, 400_000, 300_000
+CHUNKS, PIECES, PAIRS = 120_000, 200_000, 200_000
 #: Rows handled at once, so that a batch's texts, ids and bytes aren't all held.
 ROWS = 500
 
@@ -236,6 +236,23 @@ class Tokenizer:
 
         return decode(ids)
 
+    def coded(self, text: Column) -> Column:
+        """struct<ids array<int>, decoded binary>: the text's ids and the bytes that these ids decode to, in one pass of one worker."""
+        ranks, pattern, key = self.ranks, self.pattern, self.key
+
+        @arrow_udf("struct<ids array<int>, decoded binary>")
+        def code(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            encoder = _encoder(ranks, pattern, key)
+            token = encoder.bytes_of.__getitem__
+            for batch in batches:
+                for rows in _slices(batch):
+                    found = [np.frombuffer(encoder.encode(x.as_py() or ""), np.int32) for x in rows]
+                    ends = np.cumsum([0, *map(len, found)])
+                    ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(found)))
+                    yield pa.StructArray.from_arrays([ids, pa.array([b"".join(map(token, x.tolist())) for x in found], pa.binary())], names=["ids", "decoded"])
+
+        return code(text)
+
 
 def encode(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the token ids of column ``text``."""
@@ -247,9 +264,17 @@ def decode(df: DataFrame, tokenizer: Tokenizer, ids: str = "ids", decoded: str =
     return df.withColumn(decoded, tokenizer.decoded(F.col(ids)))
 
 
+def round_trip(df: DataFrame, tokenizer: Tokenizer, text: str = "text", ids: str = "ids", decoded: str = "decoded") -> DataFrame:
+    """``df`` with the token ids of column ``text`` and the bytes that they decode to: ``decode(encode(df))`` with one vocabulary a worker."""
+    rest = [c for c in df.columns if c.lower() not in (ids.lower(), decoded.lower())]
+    both = unused(df, "_coded")
+    out = df.select(*rest, tokenizer.coded(F.col(text)).alias(both))
+    return out.select(*rest, F.col(both).getField("ids").alias(ids), F.col(both).getField("decoded").alias(decoded))
+
+
 def digests(df: DataFrame, tokenizer: Tokenizer) -> DataFrame:
     """Per document: number of ids and the digests of ids and of the bytes they decode to."""
-    df = decode(encode(df.select("doc_id", "text"), tokenizer), tokenizer)
+    df = round_trip(df.select("doc_id", "text"), tokenizer)
     return df.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),

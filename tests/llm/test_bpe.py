@@ -63,4 +63,6 @@ def test_columns(spark, ranks, theirs):
     out = bpe.decode(bpe.encode(df, tokenizer), tokenizer).orderBy("doc_id").collect()
     assert [r["ids"] for r in out] == [theirs(t or "") for t in texts]
     assert [bytes(r["decoded"]) for r in out] == [(t or "").encode() for t in texts]
+    once = bpe.round_trip(df, tokenizer).orderBy("doc_id").collect()
+    assert [(r["doc_id"], r["ids"], r["decoded"]) for r in once] == [(r["doc_id"], r["ids"], r["decoded"]) for r in out]
     assert bpe.digests(df.limit(0), tokenizer).count() == 0
