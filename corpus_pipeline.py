@@ -52,8 +52,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, with the digest of what they decode to."""
-    out = bpe.encode(docs.select(*COLUMNS), tokenizer(spark))
-    out = bpe.decode(out, tokenizer(spark))
+    out = bpe.round_trip(docs.select(*COLUMNS), tokenizer(spark))
     return out.selectExpr("doc_id", "source", "lang", "ids", "CAST(size(ids) AS BIGINT) AS n_tokens", "sha2(decoded, 256) AS decoded_sha256")
 
 
