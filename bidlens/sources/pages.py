@@ -115,6 +115,48 @@ def inside(fragment: Column) -> Column:
     return F.substring(fragment, F.lit(1), F.aggregate(parts, start, step, lambda s: s["chars"]))
 
 
+TOKEN = "<[^>]*>|[^<]+"
+VOID = "(?i)^<(?:area|base|br|col|embed|hr|img|input|link|meta|source|track|wbr)\\b"
+SIBLING_OF = f"(?is)^<a\\s[^>]*{CLASS.format('bid_no_hover')}"
+
+
+def sibling_text(card: Column) -> Column:
+    """Text of the first ``div`` that follows the card's bid link under the same parent; '' if there is none.
+
+    The card's tags are folded in order with the depth they stand at: ``at`` is the
+    depth of the link's parent while it is open, ``taking`` that of the div being read.
+    """
+    start = F.struct(F.lit(0).alias("depth"), F.lit(-1).alias("at"), F.lit(-1).alias("taking"), F.lit(False).alias("done"), F.lit("").alias("text"))
+
+    def step(s: Column, token: Column) -> Column:
+        tag, shut = token.startswith("<"), token.startswith("</")
+        opens = tag & ~shut & ~token.rlike(VOID) & ~token.startswith("<!")
+        depth = s["depth"] + F.when(opens, 1).when(shut, -1).otherwise(0)
+        takes = opens & ~s["done"] & (s["taking"] < 0) & (s["at"] == s["depth"]) & token.rlike("(?i)^<div\\b")
+        ends = shut & (s["taking"] >= 0) & (depth == s["taking"])
+        at = F.when(opens & (s["at"] < 0) & token.rlike(SIBLING_OF), s["depth"]).when(depth < s["at"], -1).otherwise(s["at"])
+        return F.struct(
+            depth.cast("int").alias("depth"), at.cast("int").alias("at"), F.when(takes, s["depth"]).when(ends, -1).otherwise(s["taking"]).cast("int").alias("taking"),
+            (s["done"] | ends).alias("done"), F.when((s["taking"] >= 0) & ~ends, F.concat(s["text"], F.lit(" "), token)).otherwise(s["text"]).alias("text"),
+        )
+
+    return text_of(F.aggregate(F.regexp_extract_all(card, F.lit(TOKEN), F.lit(0)), start, step, lambda s: s["text"]))
+
+
+def in_tables(html: Column) -> Column:
+    """What stands inside tables of class ``table``, nested ones included; '' if there is none."""
+    start = F.struct(F.lit(0).alias("depth"), F.array().cast("array<string>").alias("kept"))
+    opens = f"(?is)^<table\\b[^>]*{CLASS.format('table')}"
+
+    def step(s: Column, part: Column) -> Column:
+        low = F.lower(F.substring(part, 1, 7))
+        depth = F.when(low == "</table", F.greatest(s["depth"] - 1, F.lit(0))).when((low.startswith("<table")) & ((s["depth"] > 0) | part.rlike(opens)), s["depth"] + 1).otherwise(s["depth"])
+        return F.struct(depth.cast("int").alias("depth"), F.when(depth > 0, F.concat(s["kept"], F.array(part))).otherwise(s["kept"]).alias("kept"))
+
+    parts = F.split(html, "(?i)(?=<table\\b|</table)")
+    return F.array_join(F.aggregate(parts, start, step, lambda s: s["kept"]), "")
+
+
 def listing_cards(pages: DataFrame, rules: Rules, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per card with a bid number: candidates plus ``page_url, pos`` and the pages' columns ``keep``."""
     base = F.lit(rules.portal["base_url"])
@@ -137,8 +179,9 @@ def listing_cards(pages: DataFrame, rules: Rules, keep: tuple[str, ...] = ()) ->
         ]
         first = F.coalesce(*texts, F.lit(""))
         value = text_of(first)
-        if name == "items":  # the link's own text, where the block has one
+        if name == "items":  # the link's own text, where the block has one; without such a block, what follows the bid link
             value = blank_to(text_of(F.regexp_extract(first, LINK_TEXT, 1)), value)
+            value = F.when(F.coalesce(*texts).isNull(), sibling_text(F.col("card"))).otherwise(value)
         for label in (*rules.portal["labels"].get(name, []), name):
             value = strip_label(value, label)
         return value
@@ -201,7 +244,7 @@ def detail_fields(html: Column, rules: Rules) -> Column:
     def div_entry(key: Column, value: Column) -> Column:
         return F.struct(F.element_at(labels, normalize_key(text_of(key))).alias("field"), text_of(value).alias("value"))
 
-    table = F.transform(F.regexp_extract_all(html, F.lit(ROW), F.lit(1)), entry)
+    table = F.transform(F.regexp_extract_all(in_tables(html), F.lit(ROW), F.lit(1)), entry)
     divs = F.zip_with(F.regexp_extract_all(html, F.lit(DIV_ROW), F.lit(1)), F.regexp_extract_all(html, F.lit(DIV_ROW), F.lit(2)), div_entry)
     # The page's table rows, or, where it has none at all, its div rows.
     rows = let(table, lambda t: F.when(F.size(t) > 0, t).otherwise(divs))

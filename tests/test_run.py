@@ -16,7 +16,7 @@ def inputs(spark):
                  + card(3, "Router", "Archive, Ranchi, Jharkhand", "12-09-2026"))
     hits = spark.createDataFrame([notice(1, "Blade Server"), notice(4, "Photocopier"), notice(5, "Plotter")], "query string, query_pos int, pos int, title string, snippet string, link string")
     details = [(n, "".join([row("Bid Number", number(n)), row("Bid End Date/Time", "11-09-2026 12:00:00")]) + extra) for n, extra in ((1, row("EMD Amount", "900")), (2, ""), (4, ""))]
-    pages = spark.createDataFrame([(f"{SITE}/showbidDocument/{n}", f"<table>{body}</table><a href='/files/{n}.pdf'>Scope of Work</a><a href='/files/{n}.pdf'>again</a>") for n, body in details], "url string, html string")
+    pages = spark.createDataFrame([(f"{SITE}/showbidDocument/{n}", f"<table class='table'>{body}</table><a href='/files/{n}.pdf'>Scope of Work</a><a href='/files/{n}.pdf'>again</a>") for n, body in details], "url string, html string")
     files = spark.createDataFrame([(f"{SITE}/files/{n}.pdf", f"The bidder shall upload the PAN Card. Text {n}.") for n in (1, 2, 4)], "url string, text string")
     return cards, hits, pages, files
 

@@ -166,7 +166,7 @@ def test_an_empty_result_replaces_a_partition(spark, tmp_path):
 
 def test_details_never_repeat_a_bid(spark, rules):
     bids = spark.createDataFrame([("",)] * 5 + [(number(1),)], "bid_number string")
-    details = [("", f"{SITE}/d/{i}", "<table></table>") for i in range(7)] + [(number(1), f"{SITE}/d/{x}", f"<table>{row('Ministry/State Name', f'Ministry {x}')}</table>") for x in "ab"]
+    details = [("", f"{SITE}/d/{i}", "<table class='table'></table>") for i in range(7)] + [(number(1), f"{SITE}/d/{x}", f"<table class='table'>{row('Ministry/State Name', f'Ministry {x}')}</table>") for x in "ab"]
     got = pages.merge_details(bids, spark.createDataFrame(details, "bid_number string, url string, html string"), rules).collect()
     assert len(got) == 6 and {r.ministry for r in got if r.bid_number} == {"Ministry b"}
 
@@ -197,3 +197,28 @@ def test_days_in_one_batch_count_as_days_in_several(spark, tmp_path):
     assert apart == together and len(apart[0]) == 3 and len(apart[1]) == 5 and len(apart[2]) == 3
     replay = feed(spark, str(tmp_path / "apart"), days[:0])
     assert replay == apart
+
+
+def test_a_title_may_follow_the_bid_link(spark, rules):
+    link = f'<a class="bid_no_hover" href="/showbidDocument/5">{number(5)}</a>'
+    bodies = [
+        f"<div>{link}<br><div>Rack <b>Server</b><div>with rails</div></div><div>later</div></div>",  # the first div after the link
+        f"<div>{link}</div><div>not a sibling</div>",
+        f'<div>{link}<div>sibling</div></div><div class="col-block">Items: from the block</div>',
+        f'<div>{link}<div>sibling</div></div><div class="col-block">Items: </div>',
+        f"<p>before</p>{link}<span>x</span><div><p>far</p></div>",
+    ]
+    got = {r.page_url[-1]: (r.title, r.item_description) for r in pages.listing_cards(page(spark, *[f'<div class="card">{b}</div>' for b in bodies]), rules).collect()}
+    assert got == {"0": ("Rack Server with rails", "Rack Server with rails"), "1": (number(5), ""), "2": ("from the block", "from the block"), "3": (number(5), ""), "4": ("far", "far")}
+
+
+def test_detail_rows_stand_in_tables_of_their_class(spark, rules):
+    div = '<div class="row bid-detail"><div class="key">Ministry Name</div><div class="value">{}</div></div>'
+    bodies = [
+        f"<table>{row('Ministry Name', 'layout')}</table><table class='x table'>{row('Ministry Name', 'right')}</table>{div.format('div')}",
+        f"<table class='table'><tr><td><table>{row('Ministry Name', 'nested')}</table></td></tr></table>",
+        f"<table class='tablet'>{row('Ministry Name', 'other')}</table>{div.format('div')}",
+        f"<table class=\"table\">{row('Unknown', 'x')}</table>{div.format('div')}",
+    ]
+    got = {r.page_url[-1]: r.value for r in pages.detail_rows(page(spark, *bodies), rules).collect()}
+    assert {k: got.get(k) for k in "023"} == {"0": "right", "2": "div", "3": None}
