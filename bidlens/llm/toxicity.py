@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
@@ -21,6 +22,8 @@ from bidlens.llm.samples import bounded
 
 SIZES, FEATURES = (3, 4, 5), 1 << 18
 PER_CLASS, ROUNDS, PENALTY, SMOOTH = 1_500, 120, 1e-2, 5
+#: Texts whose features are weighed at once (numbered by a byte).
+GROUP = 100
 EDGES = ".,;:!?\"'()[]{}<>*-_/\\"
 
 
@@ -58,14 +61,14 @@ class Reader:
         return found[self.last[found] == places]
 
 
-def train(features: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights of the features and the offset. toxic: 0 or 1 for each text."""
+def train(features: np.ndarray, sizes: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of the features and the offset. features: of all texts one after the other; sizes, toxic (0 or 1): of each text."""
     toxic = toxic.astype(np.float64)
-    # Groups of texts, so that what is computed for each feature of each text stays small.
-    groups = []
-    for i in range(0, len(features), 250):
-        part = features[i : i + 250]
-        groups.append((slice(i, i + len(part)), np.concatenate(part), np.repeat(np.arange(len(part), dtype=np.int32), [len(f) for f in part])))
+    # Groups of texts, so that what is computed for each feature of each text stays small; the features themselves are never copied.
+    groups, ends = [], np.cumsum(sizes)
+    for i in range(0, len(sizes), GROUP):
+        part = sizes[i : i + GROUP]
+        groups.append((slice(i, i + len(part)), features[ends[i] - sizes[i] : ends[i + len(part) - 1]], np.repeat(np.arange(len(part), dtype=np.uint8), part)))
     # Smoothed by SMOOTH texts dealt to the labels by their sizes: an n-gram that few texts hold has a ratio near 1.
     held = [SMOOTH * part.mean() + sum(np.bincount(index, weights=part[at][owner], minlength=FEATURES) for at, index, owner in groups) for part in (toxic, 1 - toxic)]
     ratio = (np.log(held[0] / toxic.sum()) - np.log(held[1] / (1 - toxic).sum())).astype(np.float32)
@@ -94,17 +97,26 @@ def fit(df: DataFrame, id: str = "doc_id", text: str = "text", toxic: str = "tox
     Without rows of both labels, every score is 0.5.
     """
 
-    @arrow_udf("array<int>")
+    @arrow_udf("binary")
     def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         reader = Reader()
         for batch in batches:
-            yield pa.array([reader.features(x.as_py()) for x in batch], pa.list_(pa.int32()))
+            yield pa.array([reader.features(x.as_py()).tobytes() for x in batch], pa.binary())
 
     rows = df.select(F.col(id).alias("key"), F.col(toxic).cast("int").alias("toxic"), F.col(text).alias("text")).where("toxic IN (0, 1) AND key IS NOT NULL")
-    rows = bounded(rows, "key", "toxic", per_class).select("key", "toxic", read("text").alias("f")).toPandas().sort_values(["key", "toxic"], kind="stable")
-    if rows["toxic"].nunique() < 2:
+    rows = bounded(rows, "key", "toxic", per_class).select("key", "toxic", read("text").alias("f"))
+    found = rows.toArrow()
+    toxic, order = found["toxic"].to_numpy(), np.lexsort((found["toxic"].to_numpy(), found["key"].to_numpy()))
+    if len(set(toxic.tolist())) < 2:
         return np.zeros(FEATURES, np.float32), 0.0
-    return train(rows["f"].tolist(), rows["toxic"].to_numpy())
+    sizes = pc.binary_length(found["f"]).to_numpy().astype(np.int64)[order] // 4
+    features = np.empty(int(sizes.sum()), np.int32)
+    end = 0
+    for i, n in zip(order.tolist(), sizes.tolist(), strict=True):
+        features[end : end + n] = np.frombuffer(found["f"][i].as_buffer(), np.int32)
+        end += n
+    del found
+    return train(features, sizes, toxic[order])
 
 
 def labelled(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> DataFrame:
