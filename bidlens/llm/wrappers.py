@@ -25,7 +25,10 @@ import json
 import re
 from collections import Counter
 from collections.abc import Collection, Iterator
+from functools import lru_cache
 from hashlib import blake2b
+from itertools import count
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -55,6 +58,11 @@ _SIDE_NAMES = re.compile(
 )
 
 
+#: What such a name says of the element's neighbours or state, not of the element.
+_ABOUT_OTHERS = re.compile(r"^(?:has|no|with|without|hide|show|is|not)[_-]", re.I)
+_HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
+
+
 def _attributes(text: str) -> dict[str, str]:
     """The attributes that are looked at, by exact name; of several with a name the first counts."""
     found: dict[str, str] = {}
@@ -68,13 +76,25 @@ def _side(tag: str, attributes: dict[str, str]) -> bool:
     """Whether an element is a menu, header, footer, sidebar, notice, advert, form, a reader's comment, or hidden."""
     if tag in _SIDE_TAGS or attributes.get("role", "").lower() in _SIDE_ROLES:
         return True
-    if tag in ("html", "body", "main"):
+    if tag in ("html", "body", "main") or _holds_text(tag, attributes):
         return False
-    if tag == "article" and not re.search(r"comment|repl(?:y|ies)|related|advert|sponsor", f"{attributes.get('class', '')} {attributes.get('id', '')}", re.I):
+    if not attributes:
         return False
-    if "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I):
+    if _hidden(attributes):
+        return True
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    return any(_SIDE_NAMES.search(name) for name in names if not _ABOUT_OTHERS.match(name))
+
+
+def _holds_text(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is an article that isn't a comment or a teaser, or the main part."""
+    if tag == "main" or attributes.get("role", "").lower() == "main":
         return True
-    return bool(_SIDE_NAMES.search(attributes.get("class", "")) or _SIDE_NAMES.search(attributes.get("id", "")))
+    return tag == "article" and not re.search(r"comment|repl(?:y|ies)|related|advert|sponsor", f"{attributes.get('class', '')} {attributes.get('id', '')}", re.I)
+
+
+def _hidden(attributes: dict[str, str]) -> bool:
+    return "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or bool(re.search(r"display\s*:\s*none", attributes.get("style", ""), re.I))
 
 
 def _key(tag: str, attributes: dict[str, str]) -> str:
@@ -94,25 +114,30 @@ def element() -> Element:
 
 
 def align(a: Element, b: Element) -> Element:
-    """The wrapper of what either matches; ``b`` is folded into ``a``, which is changed and returned."""
-    ours, theirs = a[4], b[4]
-    a[0] += b[0]
-    for i in (1, 2, 3):
-        a[i] |= b[i]
-    shared = [k for k in ours if k in theirs]
-    if shared != [k for k in theirs if k in ours]:
-        a[3] = 1
-    for kind in ours:
-        if kind in theirs:
-            align(ours[kind], theirs[kind])
-        else:
-            ours[kind][1] = 1
-    if len(shared) < len(theirs):
-        merged, rest = {}, list(theirs)
+    """The wrapper of what either matches; ``b`` is folded into ``a``, which is changed and returned.
+
+    Pairs of elements wait on a list, so pages may be nested to any depth.
+    """
+    waiting = [(a, b)]
+    while waiting:
+        mine, other = waiting.pop()
+        ours, theirs = mine[4], other[4]
+        mine[0] += other[0]
+        for i in (1, 2, 3):
+            mine[i] |= other[i]
+        shared = [k for k in ours if k in theirs]
+        if shared != [k for k in theirs if k in ours]:
+            mine[3] = 1
+        for kind in ours:
+            if kind in theirs:
+                waiting.append((ours[kind], theirs[kind]))
+            else:
+                ours[kind][1] = 1
+        if len(shared) == len(theirs):
+            continue
         # New kinds come after the shared kind that they follow.
-        follow: dict[str | None, list[str]] = {}
-        last = None
-        for kind in rest:
+        merged, follow, last = {}, {}, None
+        for kind in theirs:
             if kind in ours:
                 last = kind
             else:
@@ -123,40 +148,118 @@ def align(a: Element, b: Element) -> Element:
                 merged[kind] = ours[kind]
             for new in follow.get(kind, ()):
                 merged[new] = theirs[new]
-        a[4] = merged
+        mine[4] = merged
     return a
 
 
-def expression(kind: str, e: Element) -> str:
-    """The wrapper in writing."""
-    inside = [expression(k, x) if k != "#" else "#" + ("?" if x[1] else "") for k, x in e[4].items()]
-    body = "".join(inside)
-    if e[3]:
-        body = f"({''.join(x if x[-1] in '?*' else x + '?' for x in inside)})*"
-    mark = ("*" if e[1] else "+") if e[2] else ("?" if e[1] else "")
-    text = f"<{kind}>{body}</{kind}>"
-    return f"({text}){mark}" if mark else text
+def listed(root: Element) -> list[list]:
+    """An element and all below as rows [depth, kind, characters, optional, repeated, in any order], parents first."""
+    out, waiting = [], [(0, "", root)]
+    while waiting:
+        depth, kind, e = waiting.pop()
+        out.append([depth, kind, *e[:4]])
+        waiting += [(depth + 1, k, x) for k, x in reversed(e[4].items())]
+    return out
+
+
+def unlisted(rows: list[list]) -> Element:
+    """The element that ``listed`` wrote."""
+    above: list[Element] = []
+    for depth, kind, *values in rows:
+        e = [*values, {}]
+        del above[depth:]
+        if above:
+            above[-1][4][kind] = e
+        above.append(e)
+    return above[0]
+
+
+def expression(root: Element) -> str:
+    """The wrapper of what stands below ``root``, in writing."""
+    parts: list[str] = []
+    # Elements to write, and what to write after those before it.
+    waiting: list = [(kind, e, False) for kind, e in reversed(root[4].items()) if kind != "#"]
+    while waiting:
+        item = waiting.pop()
+        if isinstance(item, str):
+            parts.append(item)
+            continue
+        kind, e, loose = item
+        optional = e[1] or loose
+        if kind == "#":
+            parts.append("#?" if optional else "#")
+            continue
+        mark = ("*" if optional else "+") if e[2] else ("?" if optional else "")
+        parts.append(f"(<{kind}>" if mark else f"<{kind}>")
+        if e[3]:
+            parts.append("(")
+        waiting.append((")*" if e[3] else "") + f"</{kind}>" + (f"){mark}" if mark else ""))
+        waiting += [(k, x, bool(e[3])) for k, x in reversed(e[4].items())]
+    return "".join(parts)
+
+
+class Block(NamedTuple):
+    """A text block: a hash of its element's path, its text, and whether it stands below the path that was asked for."""
+
+    path: int
+    text: str
+    inside: bool
+
 
+def _hash(*parts: object) -> int:
+    return int.from_bytes(blake2b("\0".join(map(str, parts)).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
 
-def read(page: str | None) -> tuple[Element, list[tuple[str, str]]]:
-    """A page's own wrapper, and its text blocks outside side parts, in order, each with the path of its element."""
+
+@lru_cache(maxsize=100_000)
+def _path_hash(above: int, kind: str) -> int:
+    return _hash(above, kind)
+
+
+class _Open:
+    """An open element. ``side``: the side parts that it stands in, itself included; ``matched``: how many kinds of the asked path lead to it."""
+
+    __slots__ = ("tag", "kind", "element", "side", "hash", "depth", "matched", "below", "inline", "article")
+
+    def __init__(self, tag: str, kind: str, above: "_Open | None", side: frozenset, path: tuple[str, ...]):
+        self.tag, self.kind, self.element, self.side = tag, kind, element(), side
+        self.hash = _path_hash(above.hash, kind) if above else 0
+        self.depth = above.depth + 1 if above else 0
+        on = above is None or (above.matched == above.depth and above.depth < len(path) and path[above.depth] == kind)
+        self.matched = self.depth if on else above.matched
+        self.below = above is not None and above.below or self.matched == len(path)
+        self.inline = 0
+        self.article = above is not None and above.article
+
+
+def read(page: str | None, path: tuple[str, ...] = ()) -> tuple[Element, list[Block]]:
+    """A page's own wrapper, and its text blocks outside side parts, in order.
+
+    A form that turns out to hold an article or main part is no side part, nor is
+    the heading in an article's own header. Inline elements with a side part's name
+    go if they make up all of a block; within a sentence they stay. What is hidden goes.
+    """
     page = page or ""
-    root = element()
-    # Open elements: (tag, kind, element, path, side part)
-    stack = [("", "", root, "", False)]
-    blocks: list[tuple[str, str]] = []
+    top = _Open("", "", None, frozenset(), path)
+    stack = [top]
+    found: list[tuple[Block, frozenset]] = []
     held: list[str] = []
+    inline: list[tuple[str, int]] = []  # open inline elements: 1 with a side part's name, 2 hidden
+    plain = False  # whether held text stands outside side parts
+    kept: set[int] = set()  # side parts that hold the article
+    numbers = count()
 
     def flush() -> None:
+        nonlocal plain
         if held:
             text = " ".join(entities.unescape("".join(held)).split())
             held.clear()
-            if text:
-                top = stack[-1]
-                blocks.append((top[3], text))
+            if text and plain:
                 child = element()
                 child[0] = len(text)
-                put(top[2], "#", child)
+                found.append((Block(stack[-1].hash, text, stack[-1].below), stack[-1].side))
+                if not stack[-1].side:
+                    put(stack[-1].element, "#", child)
+        plain = False
 
     def put(parent: Element, kind: str, child: Element) -> None:
         kinds = parent[4]
@@ -170,13 +273,17 @@ def read(page: str | None) -> tuple[Element, list[tuple[str, str]]]:
 
     def close() -> None:
         flush()
-        _, kind, child, _, _ = stack.pop()
-        child[0] = sum(x[0] for x in child[4].values())
-        put(stack[-1][2], kind, child)
+        closed = stack.pop()
+        del inline[closed.inline :]
+        closed.element[0] = sum(x[0] for x in closed.element[4].values())
+        put(stack[-1].element, closed.kind, closed.element)
 
     def hold(text: str) -> None:
-        if not stack[-1][4] and text:
+        nonlocal plain
+        state = max(x for _, x in inline) if inline else 0
+        if text and state < 2:
             held.append(text)
+            plain = plain or (state == 0 and not text.isspace())
 
     at, size = 0, len(page)
     while at < size:
@@ -192,8 +299,12 @@ def read(page: str | None) -> tuple[Element, list[tuple[str, str]]]:
         tag = tag.lower()
         if shut:
             if tag in _INLINE:
+                for i in range(len(inline) - 1, stack[-1].inline - 1, -1):
+                    if inline[i][0] == tag:
+                        del inline[i:]
+                        break
                 continue
-            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i][0] == tag), 0)
+            depth = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
             for _ in range(len(stack) - depth if depth else 0):
                 close()
             if not depth:
@@ -207,61 +318,75 @@ def read(page: str | None) -> tuple[Element, list[tuple[str, str]]]:
         if tag in _INLINE:
             if tag == "br":
                 hold(" ")
-            elif (attributes := _attributes(rest)) and _side(tag, attributes):
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-                at = end.end() if end and tag not in _VOID else at
+            elif tag not in _VOID and not rest.endswith("/"):
+                attributes = _attributes(rest) if rest else {}
+                inline.append((tag, 2 if _hidden(attributes) else int(bool(attributes) and _side(tag, attributes))))
             continue
         flush()
         if tag in _VOID:
             continue
-        if stack[-1][0] == "p":  # any block closes a paragraph
+        if stack[-1].tag == "p":  # any block closes a paragraph
             close()
         for i in range(len(stack) - 1, 0, -1):
-            if stack[i][0] in _CLOSES.get(tag, ()):
+            if stack[i].tag in _CLOSES.get(tag, ()):
                 while len(stack) > i:
                     close()
-            elif stack[i][0] in _SCOPE:
+            elif stack[i].tag in _SCOPE:
                 break
-        attributes = _attributes(rest)
-        kind = _key(tag, attributes)
-        top = stack[-1]
-        stack.append((tag, kind, element(), f"{top[3]}/{kind}", top[4] or _side(tag, attributes)))
+        attributes = _attributes(rest) if rest else {}
+        above = stack[-1]
+        side = above.side
+        if _side(tag, attributes):
+            side = side | {(next(numbers), tag if tag in ("form", "header") else "", above.article)}
+        here = _Open(tag, _key(tag, attributes), above, side, path)
+        if _holds_text(tag, attributes):
+            here.article = True
+            kept.update(n for n, what, _ in side if what == "form")
+        if tag in _HEADINGS and side and all(what == "header" and article for _, what, article in side):
+            here.side = frozenset()
+        here.inline = len(inline)
+        stack.append(here)
         if rest.endswith("/") and tag not in ("p", "div"):
             close()
     while len(stack) > 1:
         close()
     flush()
-    root[0] = sum(x[0] for x in root[4].values())
-    return root, blocks
+    top.element[0] = sum(x[0] for x in top.element[4].values())
+    return top.element, [block for block, side in found if all(n in kept for n, _, _ in side)]
 
 
 def main_path(root: Element) -> str:
     """Where a wrapper keeps its main text: the lowest element with all its articles and mains that have text; "", the whole page, if it has none."""
-    found: list[list[str]] = []
-    level: list[tuple[list[str], Element]] = [([], root)]
-    while level:
-        below = [([*path, kind], e) for path, x in level for kind, e in x[4].items() if kind != "#" and e[0]]
-        found += [path for path, _ in below if path[-1].partition(".")[0] in ("article", "main")]
-        level = [(path, e) for path, e in below if path[-1].partition(".")[0] not in ("article", "main")]
-    shared = []
-    for kinds in zip(*found):
-        if len(set(kinds)) > 1:
-            break
-        shared.append(kinds[0])
-    return "".join(f"/{kind}" for kind in shared)
+    shared: list[str] | None = None
+    path: list[str] = []
+    waiting: list[tuple[int, str, Element]] = [(0, kind, e) for kind, e in reversed(root[4].items())]
+    while waiting:
+        depth, kind, e = waiting.pop()
+        if kind == "#" or not e[0]:
+            continue
+        del path[depth:]
+        path.append(kind)
+        if kind.partition(".")[0] in ("article", "main"):
+            if shared is None:
+                shared = list(path)
+            while shared != path[: len(shared)]:
+                shared.pop()
+        else:
+            waiting += [(depth + 1, k, x) for k, x in reversed(e[4].items())]
+    return "".join(f"/{kind}" for kind in shared or ())
 
 
 # A host's wrapper: [root element, the least hashes of its different pages (LEAST_PAGES at most), text tokens of all pages so far].
 Wrapper = list
 
 
-def tokens(blocks: list[tuple[str, str]]) -> list[int]:
+def tokens(blocks: list[Block]) -> list[int]:
     """A token for each block: a hash of its path, its text and how often both stood before, so that tokens of a page differ."""
-    seen: Counter[tuple[str, str]] = Counter()
+    seen: Counter[tuple[int, str]] = Counter()
     out = []
     for block in blocks:
-        out.append(int.from_bytes(blake2b(f"{block[0]}\0{block[1]}\0{seen[block]}".encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True))
-        seen[block] += 1
+        out.append(_hash(block.path, block.text, seen[block[:2]]))
+        seen[block[:2]] += 1
     return out
 
 
@@ -280,8 +405,11 @@ def merge(a: Wrapper, b: Wrapper) -> Wrapper:
 
 
 def template(wrapper: Wrapper) -> list[int]:
-    """Tokens of the text that all pages of a host share; all other text is a slot."""
-    return wrapper[2] if len(wrapper[1]) >= LEAST_PAGES else []
+    """Tokens of the text that all pages of a host share; all other text is a slot.
+
+    Where articles or main parts say what the text is, all of theirs is kept, shared or not.
+    """
+    return wrapper[2] if len(wrapper[1]) >= LEAST_PAGES and not main_path(wrapper[0]) else []
 
 
 def has(root: Element, path: str) -> bool:
@@ -299,16 +427,20 @@ def main_text(page: str | None, path: str | None, template: Collection[int] = ()
     A page without text there is read by its own wrapper, one that holds nothing
     but template text there is read with it.
     """
-    root, blocks = read(page)
+    root, blocks = read(page, _kinds(path))
     if path is None or not has(root, path):
-        path = main_path(root)
-    inside = [(i, text) for i, (where, text) in enumerate(blocks) if where == path or where.startswith(f"{path}/")]
+        root, blocks = read(page, _kinds(main_path(root)))
+    inside = [(i, block.text) for i, block in enumerate(blocks) if block.inside]
     if template:
         known, found = set(template), tokens(blocks)
         inside = [(i, text) for i, text in inside if found[i] not in known] or inside
     return "\n".join(text for _, text in inside)
 
 
+def _kinds(path: str | None) -> tuple[str, ...]:
+    return tuple((path or "").split("/")[1:])
+
+
 def host(url: Column) -> Column:
     """A URL's host in lower case; "" where there is none."""
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
@@ -317,8 +449,13 @@ def host(url: Column) -> Column:
 _ROWS = pa.schema([("host", pa.string()), ("wrapper", pa.string())])
 
 
+def _loaded(text: str) -> Wrapper:
+    rows, *rest = json.loads(text)
+    return [unlisted(rows), *rest]
+
+
 def _emit(found: dict[str, Wrapper]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([json.dumps(e, ensure_ascii=False) for e in found.values()], pa.string())], schema=_ROWS)
+    return pa.RecordBatch.from_arrays([pa.array(list(found)), pa.array([json.dumps([listed(w[0]), *w[1:]], ensure_ascii=False) for w in found.values()], pa.string())], schema=_ROWS)
 
 
 def _fold_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -336,7 +473,7 @@ def _fold_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     name, wrapper = None, None
     for batch in batches:
         for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            other = json.loads(text.as_py())
+            other = _loaded(text.as_py())
             if key == name:
                 wrapper = merge(wrapper, other)
             else:
@@ -362,8 +499,8 @@ def wrappers(df: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     @arrow_udf("struct<wrapper string, main string, template array<bigint>>")
     def describe(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found = [json.loads(x.as_py()) for x in batch]
-            written = ["".join(expression(k, e) for k, e in w[0][4].items() if k != "#") for w in found]
+            found = [_loaded(x.as_py()) for x in batch]
+            written = [expression(w[0]) for w in found]
             yield pa.StructArray.from_arrays([pa.array(written, pa.string()), pa.array([main_path(w[0]) for w in found], pa.string()), pa.array([template(w) for w in found], pa.list_(pa.int64()))], names=["wrapper", "main", "template"])
 
     return infer(df, url, html).select("host", describe("wrapper").alias("d")).select("host", "d.wrapper", "d.main", "d.template")

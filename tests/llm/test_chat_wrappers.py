@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from bidlens.llm import chat, wrappers
@@ -99,7 +100,8 @@ def test_attributes_by_whole_names():
 def test_text_that_all_pages_share_is_template(spark):
     page = "<article><div class=x1><ul><li>Home</li><li>About</li></ul></div><h1>{0}</h1><p>text {0}</p><p>Read on</p></article>"
     pages = [page.format(x) for x in "abc"]
-    assert _texts(spark, *pages) == [f"{x}\ntext {x}" for x in "abc"]
+    # In an article, all of its text is kept, shared or not.
+    assert _texts(spark, *pages) == [f"Home\nAbout\n{x}\ntext {x}\nRead on" for x in "abc"]
     # Without article, and a sentence that also stands in a slot of one page stays there.
     pages = [f"<div class=x1><p>Menu</p></div><div class=x2><p>{x}</p><p>Read on</p></div>" for x in ("a", "b", "c</p><p>Read on")]
     assert _texts(spark, *pages) == ["a", "b", "c\nRead on"]
@@ -110,3 +112,41 @@ def test_text_stays_where_pages_tell_no_template(spark):
     assert _texts(spark, *["<p>one</p><p>two</p>"] * 5, "") == ["one\ntwo"] * 5 + [""]
     assert _texts(spark, "<p>one</p><p>two</p>", "<p>one</p><p>three</p>") == ["one\ntwo", "one\nthree"]
     assert _texts(spark, "<p>one</p>", "<p>one</p><p>two</p>", "<p>one</p><p>three</p>", "") == ["one", "two", "three", ""]
+
+
+PARTS = {
+    "<body><form id=aspnetForm><div class=menu>x</div><article>text of it</article></form></body>": "text of it",
+    "<div class='content has-sidebar'><article>art</article></div>": "art",
+    "<div class='no-sidebar'><main>art</main></div>": "art",
+    "<article><p>pay <span class='notice'>now</span> or <b class=share>x</b></p></article>": "pay now or x",
+    "<article><p><span class='header'>name <span>x</span> rest</span> end</p></article>": "name x rest end",
+    "<article><header><h1>Title</h1><p>By me</p></header><p>body</p></article>": "Title\nbody",
+    "<header><h1>Site</h1></header><article>a</article>": "a",
+    "<article><p>a</p><a class=share href=x>Share</a><p>b</p></article>": "a\nb",
+    "<article><p>x <span hidden>no<span>no</span>no</span> y</p></article>": "x y",
+    "<article><p>t</p><form><input>Sign up <button>b</button></form></article>": "t",
+    "<article><p>t</p></article><div class=comments><article class=comment>c</article></div>": "t",
+    "<article><p>t</p></article><aside><p>s</p></aside><nav>n</nav><footer>f</footer><div role=alert>w</div><dialog>d</dialog>": "t",
+    "<article>t</article><div class=sponsor>s</div><div id=cookie-consent>c</div><div style='display: none'>h</div><script>j</script><style>k</style>": "t",
+}
+
+
+@pytest.mark.parametrize("page", PARTS)
+def test_side_parts_go_and_text_stays(page):
+    assert wrappers.main_text(page, None) == PARTS[page]
+
+
+def test_pages_may_be_nested_to_any_depth(spark):
+    deep = "<div>" * 5_000 + "deep text" + "</div>" * 5_000
+    pages = spark.createDataFrame([(f"https://a.b/{i}", deep.replace("deep", f"deep{i}")) for i in range(3)], "url string, html string")
+    assert sorted(r["text"] for r in wrappers.extract(pages, wrappers.wrappers(pages)).collect()) == ["deep0 text", "deep1 text", "deep2 text"]
+    whole = wrappers.page_wrapper(deep)
+    assert wrappers.listed(wrappers.unlisted(wrappers.listed(whole[0]))) == wrappers.listed(whole[0])
+
+
+def test_text_that_an_articles_pages_share_stays(spark):
+    """However many pages a host has: what stands in the article is the article's."""
+    for n in (1, 2, 3, 6):
+        pages = spark.createDataFrame([(f"https://h.x/{i}", f"<nav>menu</nav><article><p>News {i}</p><p>Licensed under terms.</p></article>") for i in range(n)], "url string, html string")
+        got = {r["text"] for r in wrappers.extract(pages, wrappers.wrappers(pages)).collect()}
+        assert got == {f"News {i}\nLicensed under terms." for i in range(n)}
