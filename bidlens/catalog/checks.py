@@ -471,4 +471,4 @@ _ker = dict(R.geography, state="Kerala", state_aliases=["kerala"], districts=["T
 add("N2_own_rules", base() + "," + located("n", "base", True, _ker), f"SELECT in_region, gconf AS confidence, {J(_init)} AS districts, count(*) AS n FROM ngeo GROUP BY ALL")
 _each = "SELECT k, '{0}' AS profile, grade AS match_level, fit, array_to_string(gaps, ' | ') AS gaps, array_to_string(sup, ' | ') AS supporting, total AS score, verdict, rejected_reason FROM {1}ju"
 add("N3_parameters", FULL + "," + base("x") + "," + screen("x") + "," + analysed("x", KNOWN), _each.format("default", "") + " UNION ALL " + _each.format("known", "x"))
-add("verdict_summary", FULL, "SELECT verdict, coalesce(rejected_reason, '') AS reason, urg AS urgency, count(*) AS bids, round(avg(total), 2) AS mean_score, sum(CASE WHEN estatus = 'required' THEN eamount END) AS emd_total FROM ju GROUP BY ALL")
+add("verdict_summary", FULL, "SELECT verdict, coalesce(rejected_reason, '') AS reason, urg AS urgency, count(*) AS bids, CAST((20 * sum(CAST(round(total * 10) AS BIGINT)) + count(*)) // (2 * count(*)) AS DOUBLE) / 100 AS mean_score, sum(CASE WHEN estatus = 'required' THEN eamount END) AS emd_total FROM ju GROUP BY ALL")

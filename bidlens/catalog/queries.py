@@ -1293,8 +1293,12 @@ def N3_parameters(spark, sf):
 
 @query
 def verdict_summary(spark, sf):
-    """Flagship: the whole daily analysis, counted by verdict and reason."""
-    return judged(spark, sf).groupBy("verdict", F.coalesce("rejected_reason", F.lit("")).alias("reason"), "urgency").agg(
-        F.count("*").alias("bids"), F.round(F.avg("score.total"), 2).alias("mean_score"),
+    """Flagship: the whole daily analysis, counted by verdict and reason.
+
+    Scores have one decimal; their mean is taken on whole tenths, so that it does not depend on the order of the sum.
+    """
+    out = judged(spark, sf).groupBy("verdict", F.coalesce("rejected_reason", F.lit("")).alias("reason"), "urgency").agg(
+        F.count("*").alias("bids"), F.sum(F.round(F.col("score.total") * 10).cast("bigint")).alias("tenths"),
         F.sum(F.when(F.col("emd.status") == "required", F.col("emd.amount"))).alias("emd_total"),
     )
+    return out.withColumn("mean_score", F.expr("CAST((20 * tenths + bids) DIV (2 * bids) AS DOUBLE) / 100")).drop("tenths")

@@ -19,7 +19,7 @@ from check import compare, duck  # noqa: E402
 FOLDER = "/root/testdata/sf0.001"
 SAMPLE = ("A1_listing_cards", "A4_attachments", "A12_document_budget", "B4_gate", "C1_signal_match", "C7_change_detection", "C8_discovery_merge",
           "D5_run_manifest", "E2_ranking", "G1_clean", "H14_required_documents", "I1_classification", "K10_known_profile", "L1_amendment_feed",
-          "M5_detailed", "verdict_summary")
+          "M5_detailed", "M_report_lines", "N3_parameters", "A14_all_sinks", "verdict_summary")
 
 pytestmark = pytest.mark.skipif(not Path(FOLDER).exists(), reason="test tables not here")
 
