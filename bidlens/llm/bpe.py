@@ -31,7 +31,7 @@ from bidlens.llm.shared import Memory, unused
 #: Unicode's White_Space property, which is what ``\s`` stands for in the tokenizers' patterns.
 WHITE = r"\t-\r \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
 #: Entries that a Python worker remembers: words with what adjoins them, pieces, pairs of tokens.
-CHUNKS, PIECES, PAIRS = 120_000, 200_000, 200_000
+CHUNKS, PIECES, PAIRS = 200_000, 250_000, 200_000
 #: Rows handled at once, so that a batch's texts, ids and bytes aren't all held.
 ROWS = 500
 
