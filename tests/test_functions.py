@@ -115,3 +115,12 @@ def test_term_boundaries(spark, term, said, hit):
 def test_clean_works_in_grouping_keys(spark):
     df = spark.createDataFrame([("A  b",), ("a b",), ("Ａ b",)], "x string")
     assert [(r.k, r["count"]) for r in df.groupBy(text.normalize_key("x").alias("k")).count().collect()] == [("a b", 3)]
+
+
+def test_clean_is_the_same_for_plain_and_other_text(spark):
+    """Text of one-byte characters takes the short way; a single other character the long one."""
+    said = [(None, ""), ("", ""), ("a", "a"), (" a  b\tc\n", "a b c"), ("a\x1cb\x7f", "a b\x7f"), ("① a ​ b", "1 a b"), ("ﬁn  é", "fin é"), ("Café", "Café")]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(said)], "i int, a string, b string")
+    got = df.select("i", text.clean("a").alias("c"), "b").orderBy("i").collect()
+    assert [r.c for r in got] == [r.b for r in got]
+    assert sum(r["count"] for r in df.groupBy(text.clean("a").alias("c")).count().collect()) == len(said)

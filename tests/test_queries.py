@@ -6,12 +6,14 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tools"))
 
 import __spark_entry__ as entry  # noqa: E402
+from bidlens.plans import views  # noqa: E402
 from bidlens.catalog.checks import ORACLES  # noqa: E402
 from bidlens.catalog.queries import QUERIES  # noqa: E402
 from check import compare, duck  # noqa: E402
@@ -36,3 +38,11 @@ def test_query_agrees(spark, name):
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_bids_are_dealt_over_tasks_of_bounded_size(spark, monkeypatch):
+    """However large the files of the orders are, and after the join with their customers."""
+    monkeypatch.setattr(views, "BIDS_PER_TASK", 1_000)
+    bids = views.view(spark, "/root/testdata/sf0.01")
+    sizes = bids.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+    assert sizes.sum() == 15_000 and len(sizes) == 15 and sizes.max() <= 1_100
