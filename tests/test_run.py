@@ -100,3 +100,13 @@ def test_listing_stream_equals_a_batch_run(spark, rules, now, tmp_path):
     batch = listings.verdicts(listings.latest(listings.seen(saved(spark, *DAYS[:3]), rules)).selectExpr("*", "'' AS action"), rules, now).collect()
     last = {r.identity_key: (r.verdict, r.reason, r.urgency, r.score) for r in out}
     assert last == {r.identity_key: (r.verdict, r.reason, r.urgency, r.score) for r in batch}
+
+
+def test_a_batch_without_news_plans_no_analysis(spark, rules, now, tmp_path, monkeypatch):
+    """A batch that only moves the watermark writes an empty folder of verdicts and analyses nothing."""
+    analysed = []
+    real = listings.verdicts
+    monkeypatch.setattr(listings, "verdicts", lambda rows, *rest: analysed.append(rows.count()) or real(rows, *rest))
+    saved(spark, DAYS[0]).write.parquet(f"{tmp_path}/pages")
+    listings.run_available(spark, f"{tmp_path}/pages", str(tmp_path), rules, now)
+    assert analysed == [2] and listings.read_verdicts(spark, str(tmp_path)).count() == 2
