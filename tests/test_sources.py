@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from bidlens.functions import values
 from bidlens.operators import corrections, discovery, snapshot
 from bidlens.plans import daily, report, views
 from bidlens.plans.views import SITE, number
@@ -229,3 +230,21 @@ def test_tasks_stay_short_however_many_orders(spark, tmp_path):
     spark.range(10).selectExpr("id AS c_custkey", "'c' AS c_name").write.parquet(f"{tmp_path}/customer.parquet")
     dealt = views.ordered(spark, str(tmp_path)).groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in dealt) == 600_000 and max(r["count"] for r in dealt) <= 21_000
+
+
+def test_short_ways_of_page_parsing_read_what_the_long_ways_read(spark):
+    """Flat cards, pages of one table and plain stamps are read by one pattern; all else, and odd forms of these, as before."""
+    fragments = [
+        "", "a</div>b", "<div>a</div>b</div>c</div>", "<div><div>x</div></div>y</div>", "<div><div><div>z</div></div></div>t</div>u",
+        "<diva>x</div>y</div>", "<DIV class='q'>x</Div >y</DIV>z", "<div>open", "</div></div>", "<b>i</b><!-- <div> -->k</div>l",
+        "<table class=\"table\"><tr><td>A</td></tr></table>", "<table><tr></tr></table>t", "x<table class='x table'>1<table>2</table>3</table>4",
+        "<tablex class=\"table\">q</table>", "<table class=\"table\">open", "</table><table class=\"table\">1</table>", "no table",
+        "01-09-2026 09:00:00", "31-02-2026 09:00:00", "01-09-2026 25:00:00", "01-09-2026 09:00:00\n", " 01-09-2026 09:00:00", "01-09-2026 09:00:60",
+    ]
+    df = spark.createDataFrame([(t,) for t in fragments], "t string")
+    c = F.col("t")
+    for r in df.select(
+        c, pages.inside(c).alias("a"), pages._inside(c).alias("b"), pages.in_tables(c).alias("d"), pages._in_tables(c).alias("e"),
+        values.parse_datetime(c).alias("f"), values._any_datetime(c).alias("g"),
+    ).collect():
+        assert (r["a"], r["d"], r["f"]) == (r["b"], r["e"], r["g"]), r["t"]
