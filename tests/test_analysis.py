@@ -237,3 +237,18 @@ def test_a_later_day_reads_new_texts_only(make, rules, now):
     got = daily.run_again(day_2, marked, rules, later).select("id", "plain_summary").collect()
     assert sorted(r.id for r in got) == [0, 1, 2, 3, 4]
     assert sorted(r.id for r in got if r.plain_summary == "read before") == [0, 1]
+
+
+def test_staged_screen_gives_the_reasons_and_the_shortlist_of_the_whole_one(make, rules, now):
+    bids = make(
+        {}, {"bid_end_at": None}, {"bid_end_at": "2026-12-20 10:00:00"}, {"bid_end_at": "2026-09-01 10:00:00"},
+        {"title": "Supply of garden tools", "category": ""},
+        {"title": "Supply of garden tools", "category": "", "buyer_organization": "", "buyer_address": "", "delivery_location": "Nashik"},
+        {"buyer_organization": "", "buyer_address": "", "delivery_location": "Nashik, Maharashtra"},
+        {"buyer_organization": "Heavy Engineering Corporation", "buyer_address": "", "delivery_location": ""},
+        {"buyer_organization": "", "buyer_address": "", "delivery_location": "Various locations across the country"},
+    )
+    whole = {r["id"]: r["screen_reason"] for r in daily.screen(bids, rules, now).select("id", "screen_reason").collect()}
+    staged = {r["id"]: r["screen_reason"] for r in daily.screen_reasons(bids, rules, now).select("id", "screen_reason").collect()}
+    assert staged == whole and set(whole.values()) > {None, "not_it_related", "not_jharkhand"}
+    assert {r["id"] for r in daily.shortlist(bids, rules, now).select("id").collect()} == {i for i, w in whole.items() if w is None}
