@@ -6,8 +6,10 @@ sets form a class, and one of them stands for it. In each of TREES independent
 trees, a node picks one of the functions at random (or, now and then, two, so
 that a pair at the threshold goes on in one branch on average) and documents
 branch by their token under it. A node of at most LEAF documents is compared
-exhaustively on the sketches, and the groups that these connect are confirmed on
-the full sets, side by side in one place; larger nodes branch on. Nodes that are
+exhaustively on the sketches, of which a byte a token is enough, and the groups
+that these connect are confirmed on the full sets, side by side in one place:
+groups of several trees that share documents are put together, up to GROUP
+documents, so that a text is mostly sent once. Larger nodes branch on. Nodes that are
 still large after DEPTH levels hold near copies: their documents are held
 against a central one, and what that does not join to the rest is held against
 the whole node, block by block. Links leave a task as a forest, never as all
@@ -25,15 +27,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from bidlens.llm.multi_index import forest
-from bidlens.llm.shared import components, cut
+from bidlens.llm.shared import components, cut, sieve
 from bidlens.llm.vectors import deal, runs
 
-SKETCH, TREES, STARS, LEAF, DEPTH, BLOCK = 64, 8, 2, 32, 5, 512
+SKETCH, TREES, STARS, LEAF, GROUP, DEPTH, BLOCK = 64, 8, 2, 32, 64, 5, 512
 #: Standard deviations that an estimate of similarity may lie below the threshold.
 MARGIN = 4.5
 _RANDOM = np.random.default_rng(20_240_611)
@@ -68,6 +70,13 @@ def shingles(text: str | None, words: int) -> np.ndarray:
     return np.unique(_mixed(total))
 
 
+def digest(tokens: np.ndarray) -> np.ndarray:
+    """128 bits that tell sets apart, as two integers."""
+    import hashlib
+
+    return np.frombuffer(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), np.int64)
+
+
 def sketch(tokens: np.ndarray) -> bytes:
     """The smallest token (upper 32 bits) under each hash function."""
     least = np.full(SKETCH, np.iinfo(np.uint64).max, np.uint64)
@@ -79,8 +88,6 @@ def sketch(tokens: np.ndarray) -> bytes:
 
 def sketches(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
     """Rows (id, n, s1, s2, sketch): the set's size, a 128-bit digest and its sketch (null for empty sets)."""
-    import hashlib
-
     schema = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("sketch", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,8 +95,8 @@ def sketches(df: DataFrame, id: str, text: str, words: int) -> DataFrame:
             out: list[list] = [[], [], [], []]
             for value in batch.column(1):
                 tokens = shingles(value.as_py(), words)
-                digest = np.frombuffer(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest(), np.int64)
-                for column, x in zip(out, (len(tokens), int(digest[0]), int(digest[1]), sketch(tokens) if len(tokens) else None), strict=True):
+                s1, s2 = digest(tokens).tolist()
+                for column, x in zip(out, (len(tokens), s1, s2, sketch(tokens) if len(tokens) else None), strict=True):
                     column.append(x)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, f.type) for c, f in zip(out, list(schema)[1:], strict=True))], schema=schema)
 
@@ -123,7 +130,7 @@ def trees(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None, D
     rows = branches(roots, percent).select("tree", F.col("node").alias("top"), "node", "id")
     small, large, first = [], None, None
     for level in range(1, DEPTH + 1):
-        rows = cut(rows, f"level{level}")
+        rows = rows if level == 1 else cut(rows, f"level{level}")
         sizes = rows.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
         rows = cut(rows.join(sizes, "node"), f"nodes{level}")
         first = rows if level == 1 else first
@@ -133,7 +140,7 @@ def trees(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None, D
             large = None
             break
         if level < DEPTH:
-            rows = branches(large.join(reps.select("id", "sketch"), "id"), percent).select("tree", "top", "node", "id")
+            rows = branches(large.join(sieve(reps.select("id", "sketch"), large), "id"), percent).select("tree", "top", "node", "id")
     union = small[0]
     for more in small[1:]:
         union = union.union(more)
@@ -145,35 +152,49 @@ def trees(reps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame | None, D
 
 
 _LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-_CELLS = pa.schema([("cell", pa.int64()), ("id", pa.int64())])
+_CELLS = pa.schema([("cell", pa.int64()), ("id", pa.int64()), ("least", pa.int64())])
+
+
+def short(sketch: str) -> Column:
+    """The lowest byte of each of the sketch's tokens: equal tokens stay equal, one in 256 of the others looks so."""
+    return F.concat(*[F.substring(sketch, 4 * i + 1, 1) for i in range(SKETCH)])
 
 
 def candidates(rows: DataFrame, least: int) -> DataFrame:
-    """Groups (cell, id) of documents in small nodes that their sketches connect, compared exhaustively.
+    """Groups (cell, id, least) of documents in small nodes (node, id, short) that their sketches connect, compared exhaustively.
 
-    A cell's number is the digest of its ids: the same group from several trees is one.
+    A cell's number is the digest of its ids: the same group from several trees is
+    one. ``least`` is the smallest id of the group.
     """
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells: list[np.ndarray] = []
-        ids_out: list[np.ndarray] = []
+        out: list[tuple[np.ndarray, ...]] = []
         for node in runs(batches, 1):
             ids = node.column("id").to_numpy()
-            tokens = np.frombuffer(b"".join(node.column("sketch").to_pylist()), np.uint32).reshape(-1, SKETCH)
+            tokens = np.frombuffer(b"".join(node.column("short").to_pylist()), np.uint8).reshape(-1, SKETCH)
             roots, _ = forest((tokens[:, None, :] == tokens[None, :, :]).sum(axis=2) >= least)
             for root in np.flatnonzero(np.bincount(roots) > 1):
                 group = np.sort(ids[roots == root])
-                cells.append(np.full(len(group), np.frombuffer(hashlib.blake2b(group.tobytes(), digest_size=8).digest(), np.int64)[0]))
-                ids_out.append(group)
-            if len(cells) >= 4096:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(ids_out))], schema=_CELLS)
-                cells, ids_out = [], []
-        if cells:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(cells)), pa.array(np.concatenate(ids_out))], schema=_CELLS)
+                cell = np.frombuffer(hashlib.blake2b(group.tobytes(), digest_size=8).digest(), np.int64)[0]
+                out.append((np.full(len(group), cell), group, np.full(len(group), group[0])))
+            if len(out) >= 4096:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=_CELLS)
+                out = []
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=_CELLS)
+
+    rows = rows.select("node", "id", "short").repartition("node").sortWithinPartitions("node", "id")
+    return rows.mapInArrow(run, "cell long, id long, least long").distinct()
+
 
-    rows = rows.select("node", "id", "sketch").repartition("node").sortWithinPartitions("node", "id")
-    return rows.mapInArrow(run, "cell long, id long").distinct()
+def gathered(cells: DataFrame) -> DataFrame:
+    """Cells (cell, id) that share documents as one, unless that would hold more than GROUP: those stay as they are."""
+    joined = cut(components(cells.selectExpr("id AS a", "least AS b"), "cells"), "joined")
+    sizes = joined.groupBy("component").agg(F.count("*").alias("size"))
+    whole = joined.join(sizes.where(F.col("size") <= GROUP), "component").select(F.col("node").alias("id"), "component")
+    cell = F.coalesce("component", "cell").alias("cell")
+    return cells.join(whole, "id", "left").select(cell, "id").distinct()
 
 
 def exact(asks: list[np.ndarray], base: list[np.ndarray], percent: int) -> np.ndarray:
@@ -197,18 +218,33 @@ def _sets(table: pa.Table) -> list[np.ndarray]:
     return [np.frombuffer(x, np.uint64) for x in table.column("s").to_pylist()]
 
 
-def confirm(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) within small cells, by their full sets: a forest of each cell's links."""
+def own_set(text: str | None, s1: int, words: int) -> np.ndarray | None:
+    """The text's set, if its digest begins with ``s1``: of rows that repeat an id, those of the set that stands for it."""
+    tokens = shingles(text, words)
+    return tokens if digest(tokens)[0] == s1 else None
+
+
+def texts_of(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (id and more columns) with the texts (id, text); other texts are not shuffled for it."""
+    return sieve(texts, wanted).join(wanted, "id")
+
+
+def confirm(cells: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) within small cells (cell, id, s1), by their full sets: a forest of each cell's links."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cell in runs(batches, 1):
-            ids, own = cell.column("id").to_numpy(), _sets(cell)
+            rows = zip(cell.column("id").to_pylist(), cell.column("text"), cell.column("s1").to_pylist(), strict=True)
+            found = {id: tokens for id, text, s1 in rows if (tokens := own_set(text.as_py(), s1, words)) is not None}
+            if len(found) < 2:
+                continue
+            ids, own = np.array(list(found), np.int64), list(found.values())
             roots, _ = forest(exact(own, own, percent))
             far = np.flatnonzero(roots != np.arange(len(ids)))
             if len(far):
                 yield pa.RecordBatch.from_arrays([pa.array(ids[far]), pa.array(ids[roots[far]])], schema=_LINKS)
 
-    rows = cells.join(sets, "id").select("cell", "id", "s").repartition("cell").sortWithinPartitions("cell", "id")
+    rows = texts_of(texts, cells).select("cell", "id", "s1", "text").repartition("cell").sortWithinPartitions("cell", "id")
     return rows.mapInArrow(run, "a long, b long")
 
 
@@ -257,7 +293,7 @@ def confirm_large(large: DataFrame, tops: DataFrame, links: DataFrame, sets: Dat
     counts = rows.groupBy("node", "component").agg(F.count("*").alias("n"))
     main = counts.groupBy("node").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("kinds")).where("kinds > 1")
     rows = rows.join(cut(main.select("node", F.col("main.component").alias("main")), "main"), "node")
-    return links.union(cut(confirm_across(rows, rows.where("component <> main"), sets, percent), "more"))
+    return links.union(cut(confirm_across(rows, rows.where("component <> main"), sieve(sets, rows), percent), "more"))
 
 
 def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words: int = 5, percent: int = 80) -> DataFrame:
@@ -273,26 +309,31 @@ def near_duplicates(df: DataFrame, id: str = "doc_id", text: str = "text", words
     """
     docs = cut(sketches(df, id, text, words), "sketches")
     full = docs.where("n > 0 AND id IS NOT NULL")
-    classes = cut(full.groupBy("s1", "s2").agg(F.min("id").alias("rep")), "classes")
-    chosen = classes.groupBy("rep").agg(F.min(F.struct("s1", "s2")).alias("s")).select(F.col("rep").alias("id"), "s.s1", "s.s2")
-    reps = cut(full.join(chosen, ["id", "s1", "s2"]).dropDuplicates(["id"]).select("id", "s1", "s2", "sketch"), "reps")
-    least = least_agreement(percent)
+    # Equal sets have equal sketches, so a class brings its own along.
+    classes = cut(full.groupBy("s1", "s2").agg(F.min("id").alias("id"), F.first("sketch").alias("sketch")), "classes")
+    chosen = classes.groupBy("id").agg(F.min(F.struct("s1", "s2")).alias("s"), F.count("*").alias("k"))
+    repeated = cut(chosen.where("k > 1").select("id", "s"), "repeated")
+    reps = classes
+    if not repeated.isEmpty():
+        reps = cut(classes.join(repeated, "id", "left").where("s IS NULL OR s = struct(s1, s2)").drop("s"), "reps")
     nodes, large, tops = trees(reps, percent)
-    cells = cut(candidates(nodes.join(reps.select("id", "sketch"), "id"), least), "groups")
-    needed = cells.select("id") if large is None else cells.select("id").union(tops.select("id")).union(large.select("id"))
-
-    @arrow_udf("binary")
-    def tokens(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            yield pa.array([shingles(x.as_py(), words).tobytes() for x in batch], pa.binary())
-
+    cells = cut(candidates(nodes.join(reps.select("id", short("sketch").alias("short")), "id"), least_agreement(percent)), "groups")
     texts = df.select(F.col(id).cast("long").alias("id"), F.col(text).alias("text"))
-    sets = cut(texts.join(needed.distinct(), "id").select("id", tokens("text").alias("s")), "sets")
-    links = cut(confirm(cells, sets, percent), "links")
+    digests = reps.select("id", "s1")
+    links = cut(confirm(cut(gathered(cells).join(digests, "id"), "gathered"), texts, words, percent), "links")
     if large is not None:
+
+        @arrow_udf("binary")
+        def tokens(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+            for batch, of in batches:
+                found = (own_set(x.as_py(), s1.as_py(), words) for x, s1 in zip(batch, of, strict=True))
+                yield pa.array([None if x is None else x.tobytes() for x in found], pa.binary())
+
+        needed = cut(tops.select("id").union(large.select("id")).distinct().join(digests, "id"), "needed")
+        sets = cut(texts_of(texts, needed).select("id", tokens("text", "s1").alias("s")), "sets").where("s IS NOT NULL")
         links = confirm_large(large, tops, links, sets, percent)
     joined = cut(components(links), "components")
-    rep_of = classes.join(joined, classes["rep"] == joined["node"], "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
+    rep_of = classes.join(joined, classes["id"] == joined["node"], "left").select("s1", "s2", F.coalesce("component", "id").alias("component"))
     out = docs.join(rep_of, (docs["s1"] == rep_of["s1"]) & (docs["s2"] == rep_of["s2"]) & (docs["n"] > 0), "left")
     component = F.when(F.col("id").isNotNull(), F.coalesce("component", "id"))
     return out.select(F.col("id").alias(id), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(component == F.col("id"), F.lit(True)).alias("kept"))

@@ -26,6 +26,24 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the map that ``sieve`` broadcasts: at most 262,144 words of 64, whatever the table's size.
+SIEVE = 1 << 24
+
+
+def sieve(rows: DataFrame, keys: DataFrame, column: str = "id") -> DataFrame:
+    """Rows of ``rows`` whose ``column`` may be among those of ``keys``: none that is gets lost, a few others pass.
+
+    What passes is joined exactly afterwards; the rest, mostly wide rows that no
+    one asks for, is not shuffled for it. The map of hashed keys has a fixed
+    number of bits; the fuller it is, the more rows pass.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(SIEVE))
+    word, bit = F.shiftright(place, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), (place % 64).cast("int")).alias("_bit")
+    known = keys.select(word, bit).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    marked = rows.select("*", word, bit).join(F.broadcast(known), "_word")
+    return marked.where(F.col("_bits").bitwiseAND(F.col("_bit")) != 0).select(*rows.columns)
+
+
 def unused(df: DataFrame, stem: str) -> str:
     """A column name that ``df`` does not have, in any case."""
     taken, name = {c.lower() for c in df.columns}, stem

@@ -5,7 +5,7 @@ import random
 import pytest
 
 from bidlens.llm import chosen_path
-from bidlens.llm.shared import components
+from bidlens.llm.shared import components, sieve
 
 
 def brute(rows, words, percent):
@@ -84,3 +84,52 @@ def test_components(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {k: v for k, v in root.items() if k != 300}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def shuffled(spark):
+    """Bytes that the session's stages have written for shuffles so far."""
+    gateway, store = spark.sparkContext._gateway, spark.sparkContext._jsc.sc().statusStore()
+    none = gateway.jvm.java.util.ArrayList()
+    stages = store.stageList(none, False, False, gateway.new_array(gateway.jvm.double, 0), none)
+    return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
+
+
+def test_texts_without_candidates_are_not_shuffled(spark, tmp_path):
+    rng = random.Random(12)
+    rows = [(d, " ".join(f"{rng.getrandbits(64):x}" for _ in range(600))) for d in range(300)]
+    rows += [(1000 + d, t + " end") for d, t in rows[:5]]
+    path = str(tmp_path / "docs")
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(path)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for tables too large to be broadcast
+    try:
+        before = shuffled(spark)
+        got = {r["doc_id"]: r["component_id"] for r in chosen_path.near_duplicates(spark.read.parquet(path), words=3, percent=85).collect()}
+        moved = shuffled(spark) - before
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert got == {d: d % 1000 for d, _ in rows}
+    assert 0 < moved < sum(len(t) for _, t in rows) / 4
+
+
+def test_sieve_keeps_all_keys(spark):
+    rows, keys = spark.range(20_000), spark.range(0, 20_000, 40)
+    passed = {r["id"] for r in sieve(rows, keys).collect()}
+    assert passed >= set(range(0, 20_000, 40)) and len(passed) < 600
+    assert sieve(rows, keys.limit(0)).count() == 0
+
+
+def test_groups_of_several_trees_are_one(spark):
+    """Cells that share documents are one up to GROUP documents; a larger chain stays in its cells."""
+    chain = [(1000 + k, 2 * k + i, 2 * k) for k in range(60) for i in range(3)]
+    cells = spark.createDataFrame([(7, 501, 501), (7, 502, 501), (8, 502, 502), (8, 503, 502), *chain], "cell long, id long, least long")
+    got = {(r["cell"], r["id"]) for r in chosen_path.gathered(cells).collect()}
+    assert got == {(501, 501), (501, 502), (501, 503)} | {(c, d) for c, d, _ in chain}
+
+
+def test_an_id_repeated_without_text(spark):
+    text = " ".join(f"t{i}" for i in range(200))
+    rows = [(1, text), (2, text + " end"), (2, None), (2, "")]
+    out = chosen_path.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=85)
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect())
+    assert got == [(1, 198, 1), (2, 0, 2), (2, 0, 2), (2, 199, 1)]
