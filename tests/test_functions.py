@@ -7,8 +7,9 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from bidlens.functions import identity, lists, text, values
+from bidlens.functions import identity, lists, terms, text, values
 from bidlens.functions.terms import TermTable
+from bidlens.operators import geo
 
 
 def apply(spark, fn, inputs):
@@ -124,3 +125,22 @@ def test_clean_is_the_same_for_plain_and_other_text(spark):
     got = df.select("i", text.clean("a").alias("c"), "b").orderBy("i").collect()
     assert [r.c for r in got] == [r.b for r in got]
     assert sum(r["count"] for r in df.groupBy(text.clean("a").alias("c")).count().collect()) == len(said)
+
+
+def test_alternation_is_longest_first_and_tries_few_branches():
+    """What literals begin with is written once, and no choice has more than a few branches at its start."""
+    words = ["ab", "abc", "abd", "b", "c c", "c.c", "d", "e", "f", "g", "ab-c", "gh"]
+    tree = terms.alternation(words)
+    assert "(?=[" in tree and "(?:ab(?:" in tree
+    for text in [*words, *(w + x for w in words for x in "abc-. ")]:
+        want = max((w for w in words if text.startswith(w)), key=len)
+        assert re.match(tree, text).group() == want
+    assert terms.alternation([]) == "" and terms.alternation(["a"]) == "a"
+
+
+def test_places_whose_ends_are_no_letters(spark):
+    """One may stand right behind the other."""
+    df = spark.createDataFrame([("(A)(b) x(a)",)], "t string")
+    for places, want in ((["(a)", "(b)"], ["(A)", "(b)"]), (["a", "b"], ["A", "b", "a"])):
+        got = df.select(F.regexp_extract_all(terms.spaced("t"), F.lit(geo.place_pattern(places)), F.lit(1))).first()[0]
+        assert got == want
